@@ -38,14 +38,31 @@ def mean(c: str | Column, scale: int | None = None) -> Column:
     return F.try_divide(F.round(F.sum(col(c)), scale), F.count(col(c)).cast("double"))
 
 
+def fraction(numerator: Column, denominator: Column, digits: int = 2) -> Column:
+    """ROUND(numerator / denominator, digits) for non-negative counts, exactly.
+
+    Half-up rounding on the exact rational ``n / m`` using integer arithmetic:
+    ``floor((2 * n * 10^d + m) / (2 * m)) / 10^d``.  Rounding the floating
+    quotient instead can go either way when the exact value ends in 5
+    (e.g. 29/200 = 0.145 is stored as 0.14499999...).  NULL when m is 0.
+    """
+    scale = 10 ** digits
+    n = numerator.cast("long")
+    m = denominator.cast("long")
+    q = F.floor(F.try_divide((n * F.lit(2 * scale) + m).cast("double"), (m * F.lit(2)).cast("double")))
+    return q / F.lit(float(scale))
+
+
 def percent(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    """ROUND(numerator / denominator * 100, digits); NULL when denominator is 0."""
-    return F.round(F.try_divide(numerator.cast("double"), denominator.cast("double")) * 100, digits)
+    """ROUND(numerator / denominator * 100, digits) for counts, exactly."""
+    return fraction(numerator.cast("long") * F.lit(100), denominator, digits)
 
 
-def fraction(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    """ROUND(numerator / denominator, digits); NULL when denominator is 0."""
-    return F.round(F.try_divide(numerator.cast("double"), denominator.cast("double")), digits)
+def order_columns(ts: str, tiebreak: str | list[str] | None) -> list[str]:
+    """``[ts, *tiebreak]``: the time column plus the columns that make it total."""
+    if tiebreak is None:
+        return [ts]
+    return [ts, tiebreak] if isinstance(tiebreak, str) else [ts, *tiebreak]
 
 
 def micros_between(start: str | Column, end: str | Column) -> Column:

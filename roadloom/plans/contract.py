@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.operators import bookings
+import datetime as dt
+
+from roadloom.operators import bookings, customers, events, parking, trips, vehicles
 from roadloom.session import apply_sql_defaults
 from roadloom.sources import read_table
 
@@ -42,8 +44,195 @@ def booking_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumnsRenamed({"o_custkey": "vehicle_id", "c_mktsegment": "vehicle_type"})
 
 
+def user_profiles_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers are users, nations their profiles."""
+    return customers.user_profiles_join(
+        _t(spark, sf_dir, "customer"),
+        _t(spark, sf_dir, "nation"),
+        user_key="c_nationkey",
+        profile_key="n_nationkey",
+        columns=CUSTOMER_COLUMNS,
+    )
+
+
+CUSTOMER_COLUMNS = {
+    "user_id": "u.c_custkey",
+    "name": "u.c_name",
+    "segment": "u.c_mktsegment",
+    "balance": "u.c_acctbal",
+    "nation": "p.n_name",
+    "region_key": "p.n_regionkey",
+}
+
+
+def customers_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live users (balance >= 0) and deleted users (< 0)."""
+    cust = _t(spark, sf_dir, "customer")
+    nation = _t(spark, sf_dir, "nation")
+    live = cust.where(F.col("c_acctbal") >= 0)
+    gone = cust.where(F.col("c_acctbal") < 0)
+    return customers.customers_full(
+        live, nation, gone, nation,
+        user_key="c_nationkey", profile_key="n_nationkey",
+        identity_key="c_custkey", out_key="user_id", columns=CUSTOMER_COLUMNS,
+    )
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "events")
+
+
+def event_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 A4 F1."""
+    return events.event_rollup(
+        _events(spark, sf_dir), user="user_id", ts="ts", event_type="event_type",
+        amount="value", float_scale=FLOAT_SCALE,
+    )
+
+
+def net_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 F9 A2 (the data has no 'refund' type; 'error' plays it)."""
+    return events.net_purchases(
+        _events(spark, sf_dir), user="user_id", event_type="event_type", amount="value",
+        purchase="purchase", refund="error", float_scale=FLOAT_SCALE,
+    )
+
+
+def customer_activity_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollup rows and net rows, null-filled, flagged deleted."""
+    gone = _t(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
+    return customers.customer_activity_union(
+        event_rollup(spark, sf_dir), net_purchases(spark, sf_dir),
+        deleted_users=gone, key="user_id", deleted_key="c_custkey",
+    )
+
+
+def parking_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers are areas, return flags A/N/R the statuses."""
+    return parking.parking_occupancy(
+        _t(spark, sf_dir, "lineitem"), "1999-01-01 00:00:00",
+        lookback=dt.timedelta(days=365), closed="both",
+        area="l_suppkey", status="l_returnflag", ts="l_shipdate",
+        occupied="A", available="N", reserved="R",
+    ).withColumnRenamed("l_suppkey", "area_id")
+
+
+def event_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 F2."""
+    return events.event_sequence(
+        _events(spark, sf_dir), key="user_id", ts="ts", tiebreak="event_id",
+        columns=["event_type", "value", "props"],
+    )
+
+
+def event_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W2 P7."""
+    return events.event_first(
+        _events(spark, sf_dir), keys=["user_id", "event_type"], ts="ts", tiebreak="event_id",
+        columns=["value"],
+    ).withColumnRenamed("ts", "event_date")
+
+
+def event_gaps_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 W5 F3."""
+    return events.event_gaps_days(
+        _events(spark, sf_dir), keys=["user_id", "event_type"], ts="ts", tiebreak="event_id",
+    ).withColumnRenamed("ts", "event_date")
+
+
+def monthly_event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users are vehicles, 'error' is maintenance, props.k the location."""
+    ev = _events(spark, sf_dir)
+    return events.monthly_event_profile(
+        ev, vehicle="user_id", ts="ts", tiebreak="event_id", event_type="event_type",
+        location=F.from_json("props", "k INT").getField("k"), maintenance="error",
+    )
+
+
+def warranty_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order date is the purchase, ship date the expiry."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    items = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+    return vehicles.warranty_status(
+        items, "1999-01-01", ids=["l_orderkey", "l_linenumber"],
+        purchase_date="o_orderdate", expiry_date="l_shipdate",
+    )
+
+
+def trip_first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's events are the points of one trip."""
+    return trips.trip_first_last(
+        _events(spark, sf_dir), trip="user_id", ts="ts", tiebreak="event_id",
+        columns=["value", "event_type"],
+    )
+
+
+def trip_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points after the mark, first/last joined to trip facts (customers)."""
+    facts = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    return trips.trip_summary(
+        _events(spark, sf_dir), facts, since="2024-01-10 00:00:00",
+        trip="user_id", trips_key="c_custkey", ts="ts", tiebreak="event_id", columns=["value"],
+    )
+
+
+def distance_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier x ship year, quantity as kilometres."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("vehicle_id"),
+        F.year("l_shipdate").alias("year"),
+        F.col("l_quantity").alias("distance_traveled"),
+    )
+    return trips.distance_by_year(li, vehicle="vehicle_id", year="year", distance="distance_traveled")
+
+
+def customer_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lifetime value and last purchase per customer."""
+    cust = _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name")
+    )
+    return customers.customer_enrichment(
+        cust, _t(spark, sf_dir, "orders"), customer_key="user_id", purchase_key="o_custkey",
+        amount="o_totalprice", purchased_at="o_orderdate", float_scale=FLOAT_SCALE,
+    )
+
+
+def vehicle_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers are vehicles, their line items the route points."""
+    return trips.vehicle_routes(
+        _t(spark, sf_dir, "lineitem"), vehicle="l_suppkey", ts="l_shipdate",
+        tiebreak=["l_orderkey", "l_linenumber"], latitude="l_quantity", longitude="l_discount",
+        speed="l_extendedprice", float_scale=FLOAT_SCALE,
+    ).withColumnRenamed("l_suppkey", "vehicle_id")
+
+
+def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest event per (user, type)."""
+    return events.dedupe_latest(
+        _events(spark, sf_dir), ["user_id", "event_type"], ts="ts", tiebreak="event_id",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "booking_stats": booking_stats,
+    "user_profiles_join": user_profiles_join,
+    "customers_full": customers_full,
+    "event_rollup": event_rollup,
+    "net_purchases": net_purchases,
+    "customer_activity_union": customer_activity_union,
+    "parking_occupancy": parking_occupancy,
+    "event_sequence": event_sequence,
+    "event_first": event_first,
+    "event_gaps_days": event_gaps_days,
+    "monthly_event_profile": monthly_event_profile,
+    "warranty_status": warranty_status,
+    "trip_first_last": trip_first_last,
+    "trip_summary": trip_summary,
+    "distance_by_year": distance_by_year,
+    "customer_enrichment": customer_enrichment,
+    "vehicle_routes": vehicle_routes,
+    "dedupe_latest": dedupe_latest,
 }
 
 

@@ -7,7 +7,16 @@ Spark ones (DuckDB widens SUM of integers and EXTRACT to BIGINT/HUGEINT).
 
 ORACLE_SQL: dict[str, str] = {}
 
-ORACLE_SQL["booking_stats"] = """
+
+
+def _frac(n: str, m: str, digits: int = 2) -> str:
+    """Exact half-up ROUND(n / m, digits) for non-negative integer counts."""
+    scale = 10 ** digits
+    return (f"CAST(((({n}) * {2 * scale} + ({m})) // (2 * ({m}))) AS DOUBLE) "
+            f"/ CAST({scale} AS DOUBLE)")
+
+
+ORACLE_SQL["booking_stats"] = f"""
 SELECT o.o_custkey AS vehicle_id, c.c_mktsegment AS vehicle_type,
        COUNT(o.o_orderkey) AS total_bookings,
        ROUND(SUM(o.o_totalprice), 6) AS total_duration,
@@ -15,9 +24,185 @@ SELECT o.o_custkey AS vehicle_id, c.c_mktsegment AS vehicle_type,
        MIN(o.o_orderdate) AS earliest_booking,
        MAX(o.o_orderdate) AS latest_booking,
        COUNT(*) FILTER (WHERE o.o_orderstatus = 'F') AS total_cancelled_bookings,
-       ROUND(CAST(COUNT(*) FILTER (WHERE o.o_orderstatus = 'F') AS DOUBLE)
-             / CAST(COUNT(o.o_orderkey) AS DOUBLE) * 100, 2) AS cancellation_rate
+       {_frac("COUNT(*) FILTER (WHERE o.o_orderstatus = 'F') * 100", "COUNT(o.o_orderkey)")} AS cancellation_rate
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 WHERE c.c_mktsegment = 'AUTOMOBILE'
 GROUP BY o.o_custkey, c.c_mktsegment
 """
+
+_CUSTOMER_SELECT = """
+SELECT c.c_custkey AS user_id, c.c_name AS name, c.c_mktsegment AS segment,
+       c.c_acctbal AS balance, n.n_name AS nation, n.n_regionkey AS region_key
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+ORACLE_SQL["user_profiles_join"] = _CUSTOMER_SELECT
+
+ORACLE_SQL["customers_full"] = f"""
+WITH live AS ({_CUSTOMER_SELECT} WHERE c.c_acctbal >= 0),
+     gone AS ({_CUSTOMER_SELECT} WHERE c.c_acctbal < 0),
+     allc AS (SELECT * FROM live UNION ALL SELECT * FROM gone)
+SELECT allc.*,
+       COALESCE(allc.user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0), false) AS deleted_user
+FROM allc
+"""
+
+_ROLLUP = """
+SELECT user_id, month, year, event_type,
+       ROUND(SUM(value), 6) AS event_amount_sum,
+       COUNT(DISTINCT ts) AS distinct_event_dates,
+       ROUND(SUM(value), 6) / CAST(COUNT(value) AS DOUBLE) AS event_amount_avg,
+       CAST(GROUPING(user_id, month, year, event_type) AS BIGINT) AS grouping_id
+FROM (SELECT user_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month,
+             CAST(date_trunc('year', ts) AS TIMESTAMP) AS year, event_type, value, ts
+      FROM events) e
+GROUP BY ROLLUP (user_id, month, year, event_type)
+"""
+ORACLE_SQL["event_rollup"] = _ROLLUP
+
+_NET = """
+SELECT user_id,
+       ROUND(SUM(CASE WHEN event_type = 'purchase' THEN value ELSE CAST(0 AS DOUBLE) END), 6)
+         - ROUND(SUM(CASE WHEN event_type = 'error' THEN value ELSE CAST(0 AS DOUBLE) END), 6) AS net_purchases,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') AS total_purchases,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS total_refunds
+FROM events GROUP BY user_id
+"""
+ORACLE_SQL["net_purchases"] = _NET
+
+ORACLE_SQL["customer_activity_union"] = f"""
+WITH u AS (SELECT * FROM ({_ROLLUP}) UNION ALL BY NAME SELECT * FROM ({_NET}))
+SELECT u.*,
+       COALESCE(u.user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0), false) AS deleted_user
+FROM u
+"""
+
+ORACLE_SQL["parking_occupancy"] = f"""
+WITH g AS (
+  SELECT l_suppkey AS area_id,
+         COUNT(*) FILTER (WHERE l_returnflag = 'A') AS occupied_spaces,
+         COUNT(*) FILTER (WHERE l_returnflag = 'N') AS available_spaces,
+         COUNT(*) FILTER (WHERE l_returnflag = 'R') AS reserved_spaces,
+         COUNT(*) AS total_spaces
+  FROM lineitem
+  WHERE l_shipdate >= TIMESTAMP '1998-01-01 00:00:00' AND l_shipdate <= TIMESTAMP '1999-01-01 00:00:00'
+  GROUP BY l_suppkey)
+SELECT *, {_frac("occupied_spaces", "total_spaces")} AS occupancy_rate,
+          {_frac("available_spaces + reserved_spaces", "total_spaces")} AS availability_rate
+FROM g
+"""
+
+ORACLE_SQL["event_sequence"] = """
+SELECT user_id, ts, event_id, event_type, value, props,
+       CAST(month(ts) AS INTEGER) AS event_month, CAST(year(ts) AS INTEGER) AS event_year,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS event_num
+FROM events
+"""
+
+ORACLE_SQL["event_first"] = """
+SELECT user_id, event_type, ts AS event_date, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn = 1
+"""
+
+ORACLE_SQL["event_gaps_days"] = """
+SELECT user_id, event_type, ts AS event_date, event_id,
+       lag(ts) OVER w AS prev_event_date,
+       CAST(date_diff('day', lag(ts) OVER w, ts) AS INTEGER) AS days_since_prev_event
+FROM events
+WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)
+"""
+
+ORACLE_SQL["monthly_event_profile"] = r"""
+WITH s AS (
+  SELECT user_id, ts, event_type,
+         CAST(NULLIF(regexp_extract(props, '"k"\s*:\s*(-?[0-9]+)', 1), '') AS INTEGER) AS loc,
+         epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS gap
+  FROM events)
+SELECT user_id, CAST(month(ts) AS INTEGER) AS event_month, CAST(year(ts) AS INTEGER) AS event_year,
+       COUNT(*) AS total_events,
+       COUNT(DISTINCT loc) AS unique_locations,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS maintenance_events,
+       CAST(SUM(gap) AS DOUBLE) / CAST(COUNT(gap) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS avg_time_between_events
+FROM s
+GROUP BY user_id, CAST(month(ts) AS INTEGER), CAST(year(ts) AS INTEGER)
+"""
+
+ORACLE_SQL["warranty_status"] = """
+WITH b AS (
+  SELECT l.l_orderkey, l.l_linenumber,
+         CAST(o.o_orderdate AS DATE) AS purchase_date,
+         CAST(l.l_shipdate AS DATE) AS warranty_expiration_date
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+c AS (
+  SELECT *,
+         CAST(date_diff('day', purchase_date, warranty_expiration_date) AS INTEGER) AS warranty_duration,
+         ROUND(CAST(date_diff('day', purchase_date, DATE '1999-01-01') AS DOUBLE) / CAST(365.25 AS DOUBLE), 2)
+           + CAST(0 AS DOUBLE) AS age_in_years,
+         CASE WHEN purchase_date IS NULL OR warranty_expiration_date IS NULL THEN 'N/A'
+              WHEN DATE '1999-01-01' > warranty_expiration_date THEN 'out of warranty'
+              ELSE 'in warranty' END AS warranty_status
+  FROM b)
+SELECT *, COUNT(*) OVER (PARTITION BY warranty_status) AS total_by_warranty_status FROM c
+"""
+
+_FIRST_LAST = """
+WITH r AS (
+  SELECT user_id, ts, event_id, value, event_type,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn_a,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn_d
+  FROM events {where})
+SELECT s.user_id,
+       s.ts AS start_ts, s.event_id AS start_event_id, s.value AS start_value{start_extra},
+       e.ts AS end_ts, e.event_id AS end_event_id, e.value AS end_value{end_extra}
+FROM (SELECT * FROM r WHERE rn_a = 1) s JOIN (SELECT * FROM r WHERE rn_d = 1) e ON s.user_id = e.user_id
+"""
+
+ORACLE_SQL["trip_first_last"] = _FIRST_LAST.format(
+    where="", start_extra=", s.event_type AS start_event_type", end_extra=", e.event_type AS end_event_type")
+
+ORACLE_SQL["trip_summary"] = f"""
+SELECT fl.*, c.c_name, c.c_mktsegment, c.c_acctbal
+FROM ({_FIRST_LAST.format(where="WHERE ts > TIMESTAMP '2024-01-10 00:00:00'", start_extra="", end_extra="")}) fl
+JOIN customer c ON fl.user_id = c.c_custkey
+"""
+
+ORACLE_SQL["distance_by_year"] = """
+SELECT l_suppkey AS vehicle_id, CAST(year(l_shipdate) AS INTEGER) AS year,
+       SUM(l_quantity) * CAST(0.621371 AS DOUBLE) AS distance_traveled
+FROM lineitem
+WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL
+GROUP BY l_suppkey, CAST(year(l_shipdate) AS INTEGER)
+"""
+
+ORACLE_SQL["customer_enrichment"] = """
+SELECT c.c_custkey AS user_id, c.c_name AS name,
+       ROUND(SUM(o.o_totalprice), 6) AS lifetime_value,
+       MAX(o.o_orderdate) AS last_purchase_date,
+       COUNT(o.o_orderkey) AS purchase_count
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+GROUP BY c.c_custkey, c.c_name
+"""
+
+ORACLE_SQL["vehicle_routes"] = """
+WITH r AS (
+  SELECT l_suppkey, l_quantity, l_discount, l_extendedprice,
+         row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS rn_a,
+         row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn_d
+  FROM lineitem)
+SELECT l_suppkey AS vehicle_id,
+       COUNT(*) AS route_points,
+       MAX(CASE WHEN rn_a = 1 THEN l_quantity END) AS first_latitude,
+       MAX(CASE WHEN rn_a = 1 THEN l_discount END) AS first_longitude,
+       MAX(CASE WHEN rn_d = 1 THEN l_quantity END) AS last_latitude,
+       MAX(CASE WHEN rn_d = 1 THEN l_discount END) AS last_longitude,
+       ROUND(SUM(l_extendedprice), 6) / CAST(COUNT(l_extendedprice) AS DOUBLE) AS average_speed
+FROM r GROUP BY l_suppkey
+"""
+
+ORACLE_SQL["dedupe_latest"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events)
+WHERE rn = 1
+"""
