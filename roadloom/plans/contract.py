@@ -15,7 +15,19 @@ from pyspark.sql import functions as F
 
 import datetime as dt
 
-from roadloom.operators import bookings, customers, events, parking, trips, vehicles
+from roadloom.operators import (
+    bookings,
+    customers,
+    events,
+    geo,
+    gps,
+    incremental,
+    nested,
+    parking,
+    quality,
+    trips,
+    vehicles,
+)
 from roadloom.session import apply_sql_defaults
 from roadloom.sources import read_table
 
@@ -214,6 +226,231 @@ def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as planar shapes: a right triangle for every third key, else a
+    rectangle; corner (key % 100, size), width size % 7 + 1, height key % 5 + 1."""
+    part = _t(spark, sf_dir, "part")
+    k, sz = F.col("p_partkey"), F.col("p_size")
+    x0, y0 = (k % 100).cast("string"), sz.cast("string")
+    x1, y1 = (k % 100 + sz % 7 + 1).cast("string"), (sz + k % 5 + 1).cast("string")
+    pt = lambda x, y: F.concat_ws(" ", x, y)
+    rect = F.concat(F.lit("POLYGON(("), F.concat_ws(", ", pt(x0, y0), pt(x1, y0), pt(x1, y1), pt(x0, y1), pt(x0, y0)), F.lit("))"))
+    tri = F.concat(F.lit("POLYGON(("), F.concat_ws(", ", pt(x0, y0), pt(x1, y0), pt(x0, y1), pt(x0, y0)), F.lit("))"))
+    return part.select(
+        F.col("p_partkey").alias("id"),
+        F.when(k % 3 == 0, tri).otherwise(rect).alias("geometry"),
+        F.col("p_name"),
+    )
+
+
+def geometry_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F22 F23."""
+    return geo.geometry_features(_shapes(spark, sf_dir), id_col="id", wkt="geometry", properties=["p_name"])
+
+
+def geometry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 J4."""
+    return geo.geometry_groups(geometry_features(spark, sf_dir))
+
+
+def within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer has a location and its own reference point."""
+    c = _t(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    plane = c.select(
+        k.alias("id"),
+        (k % 100).cast("double").alias("location_x"),
+        ((k * 7) % 100).cast("double").alias("location_y"),
+        (F.col("c_nationkey") * 4).cast("double").alias("longitude"),
+        ((k % 13) * 7).cast("double").alias("latitude"),
+    )
+    return geo.within_radius(plane, radius=40.0, keep=["id", "location_x", "location_y"])
+
+
+def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest supplier within 60 units of each customer."""
+    k = F.col("c_custkey")
+    s = F.col("s_suppkey")
+    points = _t(spark, sf_dir, "customer").select(
+        k.alias("id"), ((k * 7919) % 1000).cast("double").alias("x"), ((k * 104729) % 1000).cast("double").alias("y")
+    )
+    sites = _t(spark, sf_dir, "supplier").select(
+        s.alias("site_id"), ((s * 3571) % 1000).cast("double").alias("site_x"),
+        ((s * 7247) % 1000).cast("double").alias("site_y"),
+    )
+    return geo.nearest_within(points, sites, 60.0)
+
+
+def _gps_parts(k):
+    """Integer parts of a synthetic position derived from key ``k``."""
+    lpad3 = lambda c: F.lpad(c.cast("string"), 3, "0")
+    return {
+        "latd": ((k * 37) % 90).cast("string"), "latm": ((k * 11) % 60).cast("string"),
+        "lats": ((k * 13) % 60).cast("string"), "latf": lpad3((k * 17) % 1000),
+        "lond": ((k * 53) % 180).cast("string"), "lonm": ((k * 7) % 60).cast("string"),
+        "lons": ((k * 19) % 60).cast("string"), "lonf": lpad3((k * 23) % 1000),
+        "hlat": F.when(k % 2 == 0, F.lit("N")).otherwise(F.lit("S")),
+        "hlon": F.when(k % 4 < 2, F.lit("E")).otherwise(F.lit("W")),
+    }
+
+
+def _gps_text(k, fmt):
+    p = _gps_parts(k)
+    cat = F.concat
+    latdec = cat(p["latd"], F.lit("."), p["latf"])
+    londec = cat(p["lond"], F.lit("."), p["lonf"])
+    sgn = lambda h, neg: F.when(h == F.lit(neg), F.lit("-")).otherwise(F.lit(""))
+    texts = {
+        0: cat(sgn(p["hlat"], "S"), latdec, F.lit(","), sgn(p["hlon"], "W"), londec),
+        1: cat(latdec, F.lit(" "), p["hlat"], F.lit(", "), londec, F.lit(" "), p["hlon"]),
+        2: cat(p["latd"], F.lit("°"), p["latm"], F.lit("'"), p["lats"], F.lit("."), p["latf"], F.lit('"'), p["hlat"],
+               F.lit(", "), p["lond"], F.lit("°"), p["lonm"], F.lit("'"), p["lons"], F.lit("."), p["lonf"], F.lit('"'), p["hlon"]),
+        3: cat(p["latd"], F.lit("° "), p["latm"], F.lit("' "), p["lats"], F.lit("."), p["latf"], F.lit("'' "), p["hlat"],
+               F.lit(", "), p["lond"], F.lit("° "), p["lonm"], F.lit("' "), p["lons"], F.lit("."), p["lonf"], F.lit("'' "), p["hlon"]),
+        4: cat(p["latd"], F.lit("° "), p["latm"], F.lit("."), p["latf"], F.lit("' "), p["hlat"],
+               F.lit(", "), p["lond"], F.lit("° "), p["lonm"], F.lit("."), p["lonf"], F.lit("' "), p["hlon"]),
+        5: cat(p["latd"], F.lit("degrees "), p["latm"], F.lit("minutes "), p["lats"], F.lit("seconds "), p["hlat"],
+               F.lit(", "), p["lond"], F.lit("degrees "), p["lonm"], F.lit("minutes "), p["lons"], F.lit("seconds "), p["hlon"]),
+        # decimal with hemispheres and a trailing minutes/seconds suffix
+        6: cat(latdec, F.lit(" "), p["hlat"], F.lit(", "), londec, F.lit(" "), p["hlon"], F.lit(" "),
+               p["latm"], F.lit(".5' "), p["lats"], F.lit('.25"')),
+    }
+    out = F.lit(None).cast("string")
+    for i in sorted(texts, reverse=True):
+        out = F.when(fmt == i, texts[i]).otherwise(out)
+    return out
+
+
+def gps_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six notations built from the customer key."""
+    k = F.col("c_custkey")
+    raw = _t(spark, sf_dir, "customer").select(k.alias("id"), _gps_text(k, k % 6).alias("gps_coordinates"))
+    return gps.normalize_gps(raw, "gps_coordinates").drop("gps_reason")
+
+
+def gps_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted / rejected rows per reason, with junk rows."""
+    k = F.col("c_custkey")
+    fmt = F.when(k % 4 == 3, F.lit(2)).when(k % 4 == 2, F.lit(6)).otherwise(k % 4)
+    text = (
+        F.when(k % 11 == 0, F.lit(None).cast("string"))
+        .when(k % 13 == 0, F.lit("not a position"))
+        .when(k % 17 == 0, F.concat(F.lit("95."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(",10.250")))
+        .otherwise(_gps_text(k, fmt))
+    )
+    raw = _t(spark, sf_dir, "customer").select(k.alias("id"), text.alias("gps_coordinates"))
+    checked = gps.validate_gps(raw, "gps_coordinates")
+    return checked.groupBy("gps_reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def geo_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers placed around the city box, NULL positions dropped."""
+    k = F.col("c_custkey")
+    pts = _t(spark, sf_dir, "customer").select(
+        k.alias("id"),
+        F.when(k % 23 == 0, F.lit(None).cast("double"))
+        .otherwise((F.lit(4110) + k % 50).cast("double") / F.lit(100.0)).alias("latitude"),
+        ((F.lit(190) + (k * 7) % 40).cast("double") / F.lit(100.0)).alias("longitude"),
+    )
+    return geo.fence_zone(pts.na.drop("any"))
+
+
+def _raw_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as raw nested contact records (struct address, typed phone array)."""
+    c = _t(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    phone = lambda t, n: F.struct(F.lit(t).alias("type"), F.concat(F.lit("555-"), F.lpad(n.cast("string"), 4, "0")).alias("number"))
+    phones = F.when(k % 4 == 0, F.array(phone("home", k % 10000))).otherwise(
+        F.array(phone("home", k % 10000), phone("work", (k * 7) % 10000)))
+    two = lambda c_: F.lpad(c_.cast("string"), 2, "0")
+    return c.select(
+        k.alias("id"),
+        F.col("c_name").alias("name"),
+        (k % 60 + 18).alias("age"),
+        F.struct(
+            F.concat((k % 999 + 1).cast("string"), F.lit(" Main St")).alias("street"),
+            F.initcap(F.col("c_mktsegment")).alias("city"),
+            F.lit("CA").alias("state"),
+            F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip"),
+        ).alias("address"),
+        phones.alias("phoneNumbers"),
+        F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+        (F.col("c_acctbal") >= 0).alias("isActive"),
+        F.concat(F.lit("2022-"), two(k % 12 + 1), F.lit("-"), two(k % 28 + 1), F.lit("T12:00:00Z")).alias("createdAt"),
+    )
+
+
+def flatten_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested records built then flattened back."""
+    return nested.flatten_contacts(_raw_contacts(spark, sf_dir))
+
+
+def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON Feature text per customer, parsed with an explicit schema."""
+    c = _t(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    lon = ((k % 1440).cast("double") / F.lit(4.0) - F.lit(180.0)).cast("string")
+    lat = ((k % 720).cast("double") / F.lit(8.0) - F.lit(45.0)).cast("string")
+    text = F.concat(
+        F.lit('{"type": "Feature", "properties": {"vehicleId": "C'), k.cast("string"),
+        F.lit('", "name": "'), F.col("c_name"), F.lit('", "speed": '), (k % 120).cast("string"),
+        F.lit('}, "geometry": {"type": "Point", "coordinates": ['), lon, F.lit(", "), lat, F.lit("]}}"),
+    )
+    return nested.geojson_features(c.select(k.alias("id"), text.alias("feature_json")), "feature_json", keep=["id"])
+
+
+def metadata_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stated character counts vs the texts, per language and source."""
+    docs = _t(spark, sf_dir, "documents")
+    return quality.metadata_reconcile(
+        docs, group_cols=["lang", "source"], stated="n_chars", actual=F.length("text").cast("long"),
+        count_name="n_docs",
+    )
+
+
+def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents left join labels."""
+    docs = _t(spark, sf_dir, "documents")
+    labels = _t(spark, sf_dir, "labels")
+    return quality.null_report(docs.join(labels, "doc_id", "left"))
+
+
+SNAPSHOT_CUT = "1999-01-01 00:00:00"
+
+
+def delta_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-6 P6 A10: orders before the cut are the snapshot; rows past its mark."""
+    orders = _t(spark, sf_dir, "orders")
+    snapshot = orders.where(F.col("o_orderdate") < F.lit(SNAPSHOT_CUT).cast("timestamp_ntz"))
+    mark = incremental.high_watermark(snapshot, "o_orderdate")
+    return incremental.rows_after(orders, "o_orderdate", mark)
+
+
+def _order_changes(orders: DataFrame) -> DataFrame:
+    """A change feed: every order from 1998-07 re-sent closed a day later; orders
+    of the overlap also re-sent open two days later (the newest must win)."""
+    recent = orders.where(F.col("o_orderdate") >= F.lit("1998-07-01").cast("timestamp_ntz"))
+    v1 = recent.withColumns({"o_orderstatus": F.lit("F"), "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")})
+    v2 = recent.where(F.col("o_orderdate") < F.lit(SNAPSHOT_CUT).cast("timestamp_ntz")).withColumns(
+        {"o_orderstatus": F.lit("O"), "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 2 DAYS")})
+    return v1.unionByName(v2)
+
+
+def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-1..D-6: snapshot upserted with the change feed, newest version wins."""
+    orders = _t(spark, sf_dir, "orders")
+    snapshot = orders.where(F.col("o_orderdate") < F.lit(SNAPSHOT_CUT).cast("timestamp_ntz"))
+    return incremental.apply_delta(snapshot, _order_changes(orders), ["o_orderkey"], "o_orderdate", mode="upsert")
+
+
+def key_set_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys added and removed between two overlapping slices."""
+    orders = _t(spark, sf_dir, "orders")
+    old = orders.where(F.col("o_orderdate") < F.lit(SNAPSHOT_CUT).cast("timestamp_ntz"))
+    new = orders.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
+    return incremental.key_set_changes(old, new, ["o_orderkey"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "booking_stats": booking_stats,
     "user_profiles_join": user_profiles_join,
@@ -233,6 +470,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_enrichment": customer_enrichment,
     "vehicle_routes": vehicle_routes,
     "dedupe_latest": dedupe_latest,
+    "geometry_features": geometry_features,
+    "geometry_groups": geometry_groups,
+    "within_radius": within_radius,
+    "nearest_site": nearest_site,
+    "gps_normalize": gps_normalize,
+    "gps_validate": gps_validate,
+    "geo_fence": geo_fence,
+    "flatten_contacts": flatten_contacts,
+    "geojson_features": geojson_features,
+    "metadata_reconcile": metadata_reconcile,
+    "null_report": null_report,
+    "delta_new_rows": delta_new_rows,
+    "delta_upsert": delta_upsert,
+    "key_set_changes": key_set_changes,
 }
 
 

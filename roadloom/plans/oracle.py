@@ -206,3 +206,198 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   FROM events)
 WHERE rn = 1
 """
+
+
+def _d(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+_SHAPES = """
+SELECT p_partkey AS id, p_name, p_partkey % 3 = 0 AS tri,
+       CAST(p_partkey % 100 AS BIGINT) AS x0, CAST(p_size AS BIGINT) AS y0,
+       CAST(p_size % 7 + 1 AS BIGINT) AS w, CAST(p_partkey % 5 + 1 AS BIGINT) AS h
+FROM part
+"""
+
+_FEATURES = f"""
+SELECT id, 'POLYGON' AS geom_type,
+       CASE WHEN tri THEN {_d('3 * x0 + w')} / {_d(3)} ELSE {_d('2 * x0 + w')} / {_d(2)} END AS centroid_x,
+       CASE WHEN tri THEN {_d('3 * y0 + h')} / {_d(3)} ELSE {_d('2 * y0 + h')} / {_d(2)} END AS centroid_y,
+       CASE WHEN tri THEN {_d('w * h')} / {_d(2)} ELSE {_d('w * h')} END AS area,
+       CASE WHEN tri THEN ({_d('w')} + sqrt({_d('w * w + h * h')})) + {_d('h')} ELSE {_d('2 * (w + h)')} END AS perimeter,
+       {_d(0)} AS length, p_name
+FROM ({_SHAPES}) s
+"""
+ORACLE_SQL["geometry_features"] = _FEATURES
+
+ORACLE_SQL["geometry_groups"] = f"""
+SELECT f.*, COUNT(*) OVER (PARTITION BY centroid_x, centroid_y, area, perimeter) AS count
+FROM ({_FEATURES}) f
+"""
+
+ORACLE_SQL["within_radius"] = f"""
+SELECT id, location_x, location_y, distance FROM (
+  SELECT id, location_x, location_y,
+         sqrt((px - location_x) * (px - location_x) + (py - location_y) * (py - location_y)) AS distance
+  FROM (SELECT c_custkey AS id, {_d('c_custkey % 100')} AS location_x, {_d('(c_custkey * 7) % 100')} AS location_y,
+               {_d('c_nationkey * 4')} AS px, {_d('(c_custkey % 13) * 7')} AS py FROM customer) t) u
+WHERE distance <= {_d(40)}
+"""
+
+ORACLE_SQL["nearest_site"] = f"""
+WITH p AS (SELECT c_custkey AS point_id, {_d('(c_custkey * 7919) % 1000')} AS px,
+                  {_d('(c_custkey * 104729) % 1000')} AS py FROM customer),
+     s AS (SELECT s_suppkey AS site_id, {_d('(s_suppkey * 3571) % 1000')} AS site_x,
+                  {_d('(s_suppkey * 7247) % 1000')} AS site_y FROM supplier),
+     d AS (SELECT point_id, site_id, site_x, site_y,
+                  sqrt((site_x - px) * (site_x - px) + (site_y - py) * (site_y - py)) AS distance
+           FROM p CROSS JOIN s),
+     r AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY distance, site_id) AS rn
+           FROM d WHERE distance <= {_d(60)})
+SELECT point_id, site_id, site_x, site_y, distance FROM r WHERE rn = 1
+"""
+
+_GPS_PARTS = """
+SELECT c_custkey AS id,
+       CAST((c_custkey * 37) % 90 AS VARCHAR) AS latd, CAST((c_custkey * 11) % 60 AS VARCHAR) AS latm,
+       CAST((c_custkey * 13) % 60 AS VARCHAR) AS lats, lpad(CAST((c_custkey * 17) % 1000 AS VARCHAR), 3, '0') AS latf,
+       CAST((c_custkey * 53) % 180 AS VARCHAR) AS lond, CAST((c_custkey * 7) % 60 AS VARCHAR) AS lonm,
+       CAST((c_custkey * 19) % 60 AS VARCHAR) AS lons, lpad(CAST((c_custkey * 23) % 1000 AS VARCHAR), 3, '0') AS lonf,
+       CASE WHEN c_custkey % 2 = 0 THEN 'N' ELSE 'S' END AS hlat,
+       CASE WHEN c_custkey % 4 < 2 THEN 'E' ELSE 'W' END AS hlon
+FROM customer
+"""
+
+ORACLE_SQL["gps_normalize"] = f"""
+WITH b AS (SELECT *, id % 6 AS fmt FROM ({_GPS_PARTS}) g),
+t AS (
+  SELECT id, fmt, hlat, hlon,
+    CASE fmt
+      WHEN 0 THEN (CASE WHEN hlat = 'S' THEN '-' ELSE '' END) || latd || '.' || latf || ','
+                  || (CASE WHEN hlon = 'W' THEN '-' ELSE '' END) || lond || '.' || lonf
+      WHEN 1 THEN latd || '.' || latf || ' ' || hlat || ', ' || lond || '.' || lonf || ' ' || hlon
+      WHEN 2 THEN latd || '°' || latm || '''' || lats || '.' || latf || '"' || hlat || ', '
+                  || lond || '°' || lonm || '''' || lons || '.' || lonf || '"' || hlon
+      WHEN 3 THEN latd || '° ' || latm || ''' ' || lats || '.' || latf || ''''' ' || hlat || ', '
+                  || lond || '° ' || lonm || ''' ' || lons || '.' || lonf || ''''' ' || hlon
+      WHEN 4 THEN latd || '° ' || latm || '.' || latf || ''' ' || hlat || ', '
+                  || lond || '° ' || lonm || '.' || lonf || ''' ' || hlon
+      ELSE latd || 'degrees ' || latm || 'minutes ' || lats || 'seconds ' || hlat || ', '
+           || lond || 'degrees ' || lonm || 'minutes ' || lons || 'seconds ' || hlon
+    END AS gps_coordinates,
+    CASE WHEN fmt IN (0, 1) THEN {_d("latd || '.' || latf")}
+         WHEN fmt IN (2, 3) THEN ({_d('latd')} + {_d('latm')} / {_d(60)}) + {_d("lats || '.' || latf")} / {_d(3600)}
+         WHEN fmt = 4 THEN {_d('latd')} + {_d("latm || '.' || latf")} / {_d(60)}
+         ELSE ({_d('latd')} + {_d('latm')} / {_d(60)}) + {_d('lats')} / {_d(3600)} END AS lat_abs,
+    CASE WHEN fmt IN (0, 1) THEN {_d("lond || '.' || lonf")}
+         WHEN fmt IN (2, 3) THEN ({_d('lond')} + {_d('lonm')} / {_d(60)}) + {_d("lons || '.' || lonf")} / {_d(3600)}
+         WHEN fmt = 4 THEN {_d('lond')} + {_d("lonm || '.' || lonf")} / {_d(60)}
+         ELSE ({_d('lond')} + {_d('lonm')} / {_d(60)}) + {_d('lons')} / {_d(3600)} END AS lon_abs
+  FROM b)
+SELECT id, gps_coordinates,
+       CASE WHEN hlat = 'S' THEN -lat_abs ELSE lat_abs END AS latitude,
+       CASE WHEN hlon = 'W' THEN -lon_abs ELSE lon_abs END AS longitude,
+       CASE fmt WHEN 0 THEN 'decimal' WHEN 1 THEN 'hemisphere' WHEN 2 THEN 'dms' WHEN 3 THEN 'dms'
+                WHEN 4 THEN 'dm' ELSE 'worded' END AS gps_format
+FROM t
+"""
+
+ORACLE_SQL["gps_validate"] = """
+SELECT gps_reason, COUNT(*) AS n_rows FROM (
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN 'null'
+              WHEN c_custkey % 13 = 0 THEN 'bad_format'
+              WHEN c_custkey % 17 = 0 THEN 'out_of_range'
+              WHEN c_custkey % 4 = 3 THEN 'bad_format'
+              ELSE 'accepted' END AS gps_reason
+  FROM customer) r
+GROUP BY gps_reason
+"""
+
+ORACLE_SQL["geo_fence"] = f"""
+SELECT id, latitude, longitude,
+       CASE WHEN latitude < {_d(41.5)} AND latitude > {_d(41.2)} AND longitude > {_d(2.0)} AND longitude < {_d(2.2)}
+            THEN 'inside' ELSE 'outside' END AS zone
+FROM (SELECT c_custkey AS id,
+             CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE {_d('4110 + c_custkey % 50')} / {_d(100)} END AS latitude,
+             {_d('190 + (c_custkey * 7) % 40')} / {_d(100)} AS longitude
+      FROM customer) p
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+"""
+
+ORACLE_SQL["flatten_contacts"] = """
+SELECT c_custkey AS user_id, c_name AS name, c_custkey % 60 + 18 AS age,
+       CAST(c_custkey % 999 + 1 AS VARCHAR) || ' Main St, '
+         || upper(left(c_mktsegment, 1)) || lower(substr(c_mktsegment, 2)) || ' CA '
+         || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS address,
+       '555-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS phone_home,
+       CASE WHEN c_custkey % 4 = 0 THEN NULL
+            ELSE '555-' || lpad(CAST((c_custkey * 7) % 10000 AS VARCHAR), 4, '0') END AS phone_work,
+       lower(replace(c_name, '#', '.')) || '@example.com' AS email,
+       c_acctbal >= 0 AS is_active,
+       CAST('2022-' || lpad(CAST(c_custkey % 12 + 1 AS VARCHAR), 2, '0') || '-'
+            || lpad(CAST(c_custkey % 28 + 1 AS VARCHAR), 2, '0') || ' 12:00:00' AS TIMESTAMP) AS created_at
+FROM customer
+"""
+
+ORACLE_SQL["geojson_features"] = f"""
+SELECT c_custkey AS id, 'C' || CAST(c_custkey AS VARCHAR) AS vehicle_id, c_name AS name,
+       c_custkey % 120 AS speed, 'Point' AS geometry_type,
+       {_d('c_custkey % 1440')} / {_d(4)} - {_d(180)} AS longitude,
+       {_d('c_custkey % 720')} / {_d(8)} - {_d(45)} AS latitude
+FROM customer
+"""
+
+ORACLE_SQL["metadata_reconcile"] = """
+SELECT lang, source, COUNT(*) AS n_docs,
+       CAST(SUM(n_chars) AS BIGINT) AS stated_n_chars,
+       CAST(SUM(length(text)) AS BIGINT) AS actual_n_chars,
+       SUM(n_chars) = SUM(length(text)) AS consistent
+FROM documents GROUP BY lang, source
+"""
+
+ORACLE_SQL["null_report"] = """
+SELECT COUNT(*) AS total_rows,
+       COUNT(*) FILTER (WHERE d.doc_id IS NOT NULL AND d.text IS NOT NULL AND d.lang IS NOT NULL
+                        AND d.source IS NOT NULL AND d.n_chars IS NOT NULL
+                        AND l.quality IS NOT NULL AND l.toxic IS NOT NULL) AS clean_rows,
+       COUNT(*) FILTER (WHERE d.doc_id IS NULL) AS null_doc_id,
+       COUNT(*) FILTER (WHERE d.text IS NULL) AS null_text,
+       COUNT(*) FILTER (WHERE d.lang IS NULL) AS null_lang,
+       COUNT(*) FILTER (WHERE d.source IS NULL) AS null_source,
+       COUNT(*) FILTER (WHERE d.n_chars IS NULL) AS null_n_chars,
+       COUNT(*) FILTER (WHERE l.quality IS NULL) AS null_quality,
+       COUNT(*) FILTER (WHERE l.toxic IS NULL) AS null_toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+ORACLE_SQL["delta_new_rows"] = """
+SELECT * FROM orders
+WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00')
+"""
+
+ORACLE_SQL["delta_upsert"] = """
+WITH snap AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+recent AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01 00:00:00'),
+feed AS (
+  SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice,
+         o_orderdate + INTERVAL 1 DAY AS o_orderdate, o_orderpriority FROM recent
+  UNION ALL
+  SELECT o_orderkey, o_custkey, 'O' AS o_orderstatus, o_totalprice,
+         o_orderdate + INTERVAL 2 DAY AS o_orderdate, o_orderpriority
+  FROM recent WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+latest AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) AS rn FROM feed) f
+  WHERE rn = 1)
+SELECT * FROM snap WHERE NOT EXISTS (SELECT 1 FROM latest WHERE latest.o_orderkey = snap.o_orderkey)
+UNION ALL
+SELECT * FROM latest
+"""
+
+ORACLE_SQL["key_set_changes"] = """
+WITH o AS (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+     n AS (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00')
+SELECT o_orderkey, 'added' AS change FROM (SELECT o_orderkey FROM n EXCEPT SELECT o_orderkey FROM o) a
+UNION ALL
+SELECT o_orderkey, 'removed' AS change FROM (SELECT o_orderkey FROM o EXCEPT SELECT o_orderkey FROM n) r
+"""

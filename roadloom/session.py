@@ -32,7 +32,11 @@ def build_session(
     On a cluster leave ``master`` unset so spark-submit decides; for local runs
     pass ``local[N]``.  The UI stays off: nothing here opens a web port.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     if driver_memory:
