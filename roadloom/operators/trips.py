@@ -141,3 +141,46 @@ def route_points(
     order = order_columns(ts, tiebreak)
     base = points.select(vehicle, *order, latitude, longitude)
     return ordered_sequence(base, [vehicle], order, row_number="point_index", max_group_rows=max_group_rows)
+
+
+def run_fleet_pipeline(
+    tracks: DataFrame,
+    *,
+    gps_col: str = "gps_coordinates",
+    vehicle: str = "vehicle_id",
+    ts: str = "time_stamp",
+    distance: str = "distance_traveled",
+    unit: str = "mile",
+) -> DataFrame:
+    """The JSON pipeline's transformation chain as one lazy plan:
+    validate positions -> distance per vehicle and year -> unit conversion.
+
+    ``year`` comes from the timestamp (ISO text or a timestamp column).
+    """
+    from roadloom.operators.gps import ACCEPTED, validate_gps
+
+    checked = validate_gps(tracks, gps_col)
+    good = checked.where(F.col("gps_reason") == F.lit(ACCEPTED)).drop("gps_reason")
+    ts_col = F.col(ts)
+    if tracks.schema[ts].dataType.simpleString() == "string":
+        ts_col = F.try_to_timestamp(ts_col, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
+    with_year = good.withColumn("year", F.year(ts_col))
+    return distance_by_year(with_year, vehicle=vehicle, year="year", distance=distance, unit=unit)
+
+
+def clean_positions(
+    df: DataFrame,
+    *,
+    gps_col: str = "gps_coordinates",
+    box: dict[str, float] | None = None,
+    mode: str = "inside",
+) -> DataFrame:
+    """The ingestion cleaning step: drop rows with NULLs, convert positions to
+    decimal degrees, then fence (conversion first, so the fence compares
+    numbers, not text)."""
+    from roadloom.operators.geo import geo_fence
+    from roadloom.operators.gps import ACCEPTED, normalize_gps
+
+    pos = normalize_gps(df.na.drop("any"), gps_col)
+    pos = pos.where(F.col("gps_reason") == F.lit(ACCEPTED)).drop("gps_reason")
+    return geo_fence(pos, latitude="latitude", longitude="longitude", box=box, mode=mode, drop_nulls=None)
