@@ -65,8 +65,27 @@ def order_columns(ts: str, tiebreak: str | list[str] | None) -> list[str]:
     return [ts, tiebreak] if isinstance(tiebreak, str) else [ts, *tiebreak]
 
 
-def micros_between(start: str | Column, end: str | Column) -> Column:
-    """Exact microseconds from ``start`` to ``end`` (works on NTZ and LTZ)."""
+def epoch_micros_ntz(c: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, without any time zone.
+
+    (Spark converts NTZ to the session zone inside ``timestampdiff`` and
+    ``unix_micros``; across a DST change that shifts the result by an hour.)
+    """
+    t = col(c)
+    day = F.unix_date(t.cast("date")).cast("long") * F.lit(86_400_000_000)
+    clock = (F.hour(t).cast("long") * F.lit(3_600_000_000) + F.minute(t).cast("long") * F.lit(60_000_000)
+             + (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long"))
+    return day + clock
+
+
+def micros_between(start: str | Column, end: str | Column, ntz: bool = False) -> Column:
+    """Exact microseconds from ``start`` to ``end``.
+
+    ``ntz=True`` for TIMESTAMP_NTZ columns: zone-free arithmetic.  Otherwise
+    ``timestampdiff`` (TIMESTAMP columns; NTZ would be read in the session zone).
+    """
+    if ntz:
+        return epoch_micros_ntz(end) - epoch_micros_ntz(start)
     return F.timestamp_diff("MICROSECOND", col(start), col(end))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadloom.functions.columns import (
     order_columns,
@@ -186,7 +187,7 @@ def monthly_event_profile(
     seq = ordered_sequence(
         base, [vehicle], order, row_number=None, lags={"__prev": ts}, max_group_rows=max_group_rows
     )
-    gap = micros_between("__prev", ts)
+    gap = micros_between("__prev", ts, ntz=isinstance(df.schema[ts].dataType, T.TimestampNTZType))
     seq = seq.withColumns(
         {"event_month": F.month(ts), "event_year": F.year(ts), "__gap": gap}
     )

@@ -5,7 +5,8 @@ If one key holds a third of the table, that task is a third of the job.  This
 operator keeps the window but splits hot keys first:
 
 1. rows per key (partial aggregation; the hot-key table has at most
-   ``rows / max_group_rows`` rows, so it is safe to broadcast);
+   ``rows / max_group_rows`` rows, so it is safe to broadcast).  This small
+   job runs first: when no key is hot the plain window is used as is;
 2. for hot keys only, ``split - 1`` approximate quantiles of the first order
    column (a small table: hot keys x split values);
 3. every row gets a bucket: 0 for normal keys, the quantile interval of its
@@ -26,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadloom.functions.columns import epoch_micros_ntz
+
 _ORD = "__rl_ord"
 _BKT = "__rl_bucket"
 _BOUNDS = "__rl_bounds"
@@ -37,7 +40,7 @@ DEFAULT_SPLIT = 32
 def _as_long(c: Column, dtype: T.DataType) -> Column:
     """Monotone map of an order column to a long (for quantile sketches)."""
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        return epoch_micros_ntz(c)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, T.DateType):
@@ -81,27 +84,34 @@ def ordered_sequence(
     """
     lags = lags or {}
     src_cols = df.columns
-    w_cols = keys + ([_BKT] if max_group_rows else [])
-    if not max_group_rows:
+
+    def plain(frame: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*order)
-        out = df
+        out = frame
         if row_number:
-            out = out.withColumn(row_number, F.row_number().over(w))
+            out = out.withColumn(row_number, F.row_number().over(w).cast("long"))
         for name, src in lags.items():
             out = out.withColumn(name, F.lag(src, 1).over(w))
         return out
 
+    if not max_group_rows:
+        return plain(df)
+
     first = order[0]
     base = df.withColumn(_ORD, _as_long(F.col(first), df.schema[first].dataType))
 
-    # 1. hot keys (bounded: at most rows / max_group_rows of them)
+    # 1. hot keys (bounded: at most rows / max_group_rows of them).  One small
+    # job (key columns only, partial aggregation) decides the plan: with no
+    # hot key the plain window is already balanced.
     hk = _key_names(keys, "__rl_hk")
     hot = (
-        base.groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rl_n"))
         .where(F.col("__rl_n") > F.lit(max_group_rows))
         .select(*[F.col(k).alias(h) for k, h in zip(keys, hk)])
     )
+    if hot.isEmpty():
+        return plain(df)
     # 2. quantile bounds of the order value, hot keys only
     fractions = [i / split for i in range(1, split)]
     hot_rows = base.join(F.broadcast(hot), _same_keys(base, hot, keys, hk), "left_semi")
@@ -121,7 +131,7 @@ def ordered_sequence(
     ).drop(*bk)
 
     # 4. the window, per (key, bucket)
-    w = Window.partitionBy(*w_cols).orderBy(*order)
+    w = Window.partitionBy(*keys, _BKT).orderBy(*order)
     local = bucketed.withColumn("__rl_rn", F.row_number().over(w))
     for name, src in lags.items():
         local = local.withColumn(f"__rl_lag_{name}", F.lag(src, 1).over(w))
