@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions.columns import col
-from roadloom.functions.geometry import distance, geometry_type, measures, parse_wkt
+from roadloom.functions.geometry import (
+    distance,
+    geometry_type,
+    measures_from,
+    parse_wkt,
+    path_moments,
+    ring_stats,
+    ring_totals,
+)
 
 # The reference's city bounding box (strict bounds), degrees.
 BARCELONA_BOX = {"north": 41.5, "south": 41.2, "west": 2.0, "east": 2.2}
@@ -15,12 +23,17 @@ BARCELONA_BOX = {"north": 41.5, "south": 41.2, "west": 2.0, "east": 2.2}
 def geometry_features(
     df: DataFrame, *, id_col: str = "id", wkt: str = "geometry", properties: list[str] | None = None
 ) -> DataFrame:
-    """WKT text -> type, centroid, area, perimeter and length per row."""
+    """WKT text -> type, centroid, area, perimeter and length per row.
+
+    Staged projections (rings -> per-ring sums -> totals -> measures) so each
+    array expression is evaluated once per row, not once per output field.
+    """
     props = properties if properties is not None else [c for c in df.columns if c not in (id_col, wkt)]
-    g = df.select(
-        id_col, *props, geometry_type(wkt).alias("geom_type"), parse_wkt(wkt).alias("__rl_rings")
-    )
-    m = measures("__rl_rings", "geom_type")
+    g = df.select(id_col, *props, geometry_type(wkt).alias("geom_type"), parse_wkt(wkt).alias("__rl_rings"))
+    g = g.withColumn("__rl_stats", ring_stats("__rl_rings"))
+    g = g.withColumns({"__rl_tot": ring_totals("__rl_stats"), "__rl_mom": path_moments("__rl_rings")})
+    g = g.withColumn("__rl_m", measures_from("__rl_tot", "__rl_mom", "geom_type"))
+    m = F.col("__rl_m")
     return g.select(
         id_col, "geom_type",
         m["centroid_x"].alias("centroid_x"), m["centroid_y"].alias("centroid_y"),
