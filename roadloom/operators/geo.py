@@ -120,8 +120,13 @@ def nearest_within(
         F.col(site_x).cast("double").alias("site_x"),
         F.col(site_y).cast("double").alias("site_y"),
         (F.col(site_radius).cast("double") if site_radius else F.lit(cell)).alias("__sr"),
-        F.explode(offsets).alias("__o"),
-    ).select(
+    )
+    if k == 1 and site_radius is None:
+        # Sites at the same position: only the smallest id can win a tie, so
+        # one per position is enough (a pile of co-located sites cannot
+        # multiply the candidate pairs).
+        s = s.groupBy("site_x", "site_y", "__sr").agg(F.min("site_id").alias("site_id"))
+    s = s.select("*", F.explode(offsets).alias("__o")).select(
         "*",
         (F.floor(F.col("site_x") / cell) + F.col("__o.dx")).alias("__scx"),
         (F.floor(F.col("site_y") / cell) + F.col("__o.dy")).alias("__scy"),

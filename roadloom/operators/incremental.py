@@ -27,14 +27,17 @@ def rows_after(df: DataFrame, ts_col: str, watermark) -> DataFrame:
 def key_set_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Keys added in ``new`` and removed from ``old`` with a ``change`` label.
 
-    Two anti joins on the key columns only (pruned scans); AQE broadcasts
-    the smaller key set when it fits.
+    One aggregation over the tagged union of both key sets: a single shuffle
+    of key columns (map-side combined), instead of two distincts and two anti
+    joins.  A key present on both sides drops out.
     """
-    o = old.select(*keys).distinct()
-    n = new.select(*keys).distinct()
-    added = n.join(o, keys, "left_anti").withColumn("change", F.lit("added"))
-    removed = o.join(n, keys, "left_anti").withColumn("change", F.lit("removed"))
-    return added.unionByName(removed)
+    tagged = old.select(*keys, F.lit(1).alias("__rl_old"), F.lit(0).alias("__rl_new")).unionByName(
+        new.select(*keys, F.lit(0).alias("__rl_old"), F.lit(1).alias("__rl_new"))
+    )
+    sides = tagged.groupBy(*keys).agg(F.max("__rl_old").alias("__rl_o"), F.max("__rl_new").alias("__rl_n"))
+    return sides.where(F.col("__rl_o") != F.col("__rl_n")).select(
+        *keys, F.when(F.col("__rl_n") == 1, F.lit("added")).otherwise(F.lit("removed")).alias("change")
+    )
 
 
 def key_sets_equal(old: DataFrame, new: DataFrame, keys: list[str]) -> bool:

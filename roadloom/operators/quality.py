@@ -24,6 +24,40 @@ def null_report(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
+def null_report_of_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "left",
+) -> DataFrame:
+    """``null_report(left.join(right, on, how))`` without moving the data.
+
+    Each side is first reduced to its join keys plus one boolean per column
+    ("is NULL"), so the join shuffles keys and flags, never wide values such
+    as document texts.  After a left join an unmatched right row counts as
+    NULL in every right column, as in the joined table.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    lcols = [c for c in left.columns if c not in on]
+    rcols = [c for c in right.columns if c not in on]
+    lf = left.select(*on, *[F.col(c).isNull().alias(f"__rl_l_{c}") for c in lcols])
+    rf = right.select(*on, F.lit(True).alias("__rl_hit"), *[F.col(c).isNull().alias(f"__rl_r_{c}") for c in rcols])
+    j = lf.join(rf, on, how)
+    flags = {c: F.col(c).isNull() for c in on}
+    flags.update({c: F.col(f"__rl_l_{c}") for c in lcols})
+    flags.update({c: F.coalesce(F.col(f"__rl_r_{c}"), F.lit(True)) for c in rcols})
+    any_null = None
+    for f in flags.values():
+        any_null = f if any_null is None else (any_null | f)
+    order = left.columns + rcols
+    return j.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(~any_null).alias("clean_rows"),
+        *[F.count_if(flags[c]).alias(f"null_{c}") for c in order],
+    )
+
+
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Rows without NULL in ``subset`` (all columns when omitted)."""
     return df.na.drop("any", subset=subset)

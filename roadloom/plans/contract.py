@@ -412,7 +412,7 @@ def null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents left join labels."""
     docs = _t(spark, sf_dir, "documents")
     labels = _t(spark, sf_dir, "labels")
-    return quality.null_report(docs.join(labels, "doc_id", "left"))
+    return quality.null_report_of_join(docs, labels, ["doc_id"], "left")
 
 
 SNAPSHOT_CUT = "1999-01-01 00:00:00"
