@@ -81,6 +81,36 @@ def within_radius(
 
 _OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
+DEFAULT_MAX_CANDIDATES = 4096
+
+
+def _offsets() -> Column:
+    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
+
+
+def _cells(df: DataFrame, x: str, y: str, size: float, cx: str = "__cx", cy: str = "__cy") -> DataFrame:
+    return df.withColumns({cx: F.floor(F.col(x) / F.lit(size)), cy: F.floor(F.col(y) / F.lit(size))})
+
+
+def _spread(sites: DataFrame, size: float) -> DataFrame:
+    """Every site copied to the 3 x 3 cells around its own cell."""
+    s = _cells(sites, "site_x", "site_y", size, "__sx0", "__sy0").select("*", F.explode(_offsets()).alias("__o"))
+    return s.withColumns(
+        {"__cx": F.col("__sx0") + F.col("__o.dx"), "__cy": F.col("__sy0") + F.col("__o.dy")}
+    ).drop("__sx0", "__sy0", "__o")
+
+
+def _grid_pairs(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
+    """(point, site, distance) for every site in the point's 3 x 3 cells."""
+    p = _cells(points, "__px", "__py", size)
+    pairs = p.join(_spread(sites, size), ["__cx", "__cy"], "inner")
+    return pairs.withColumn("distance", distance(F.col("__px"), F.col("__py"), F.col("site_x"), F.col("site_y")))
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    best = pairs.groupBy("point_id").agg(F.min(F.struct("distance", "site_id", "site_x", "site_y")).alias("__b"))
+    return best.select("point_id", "__b.site_id", "__b.site_x", "__b.site_y", "__b.distance")
+
 
 def nearest_within(
     points: DataFrame,
@@ -95,59 +125,96 @@ def nearest_within(
     site_y: str = "site_y",
     site_radius: str | None = None,
     k: int = 1,
+    max_candidates: int | None = DEFAULT_MAX_CANDIDATES,
+    target_sites_per_cell: int = 64,
 ) -> DataFrame:
     """For every point, the ``k`` nearest sites within the radius.
 
     Grid join instead of a theta join: both sides get the cell
     ``floor(coord / radius)``; every site is copied to its 3 x 3 neighbour
-    cells (the smaller side is the one copied); an equi-join on the cell then
-    the exact distance filter give the same pairs as the cross join, with no
-    nested loop.  ``radius`` is the cell size and must be >= every per-site
-    radius when ``site_radius`` names a column.  Ties are broken by site id.
-    k = 1 is an aggregation (min of (distance, site)), so a dense cell does
-    not become one task; k > 1 is a row_number filter that Spark turns into a
+    cells; an equi-join on the cell then the exact distance filter give the
+    same pairs as the cross join, with no nested loop.  ``radius`` is the cell
+    size and must be >= every per-site radius when ``site_radius`` names a
+    column.  Ties are broken by site id.  k = 1 is an aggregation (min of
+    (distance, site)); k > 1 is a row_number filter that Spark turns into a
     partial top-k before the shuffle.
+
+    Dense cells (k = 1, one radius): one small job over the sites only counts
+    the sites of every 3 x 3 neighbourhood, i.e. the candidates a point of that
+    cell would meet.  While no neighbourhood holds more than
+    ``max_candidates`` sites the plain grid join is used.  Points of denser
+    cells are resolved on finer grids first (cell r / 2^L, finest first): a
+    site found within one fine cell of the point is provably the nearest,
+    because every site outside the 3 x 3 fine cells is farther than that.
+    Dense points therefore meet only the few sites of their fine
+    neighbourhood; only points left unresolved move to the next coarser grid,
+    and the coarse grid handles the rest.  Each level's unresolved points are
+    checkpointed (lineage cut, survives lost executors).
     """
     cell = float(radius)
     p = points.select(
         F.col(point_id).alias("point_id"),
         F.col(point_x).cast("double").alias("__px"),
         F.col(point_y).cast("double").alias("__py"),
-    ).withColumns({"__cx": F.floor(F.col("__px") / cell), "__cy": F.floor(F.col("__py") / cell)})
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
+    )
     s = sites.select(
         F.col(site_id).alias("site_id"),
         F.col(site_x).cast("double").alias("site_x"),
         F.col(site_y).cast("double").alias("site_y"),
         (F.col(site_radius).cast("double") if site_radius else F.lit(cell)).alias("__sr"),
     )
-    if k == 1 and site_radius is None:
-        # Sites at the same position: only the smallest id can win a tie, so
-        # one per position is enough (a pile of co-located sites cannot
-        # multiply the candidate pairs).
-        s = s.groupBy("site_x", "site_y", "__sr").agg(F.min("site_id").alias("site_id"))
-    s = s.select("*", F.explode(offsets).alias("__o")).select(
-        "*",
-        (F.floor(F.col("site_x") / cell) + F.col("__o.dx")).alias("__scx"),
-        (F.floor(F.col("site_y") / cell) + F.col("__o.dy")).alias("__scy"),
-    )
-    pairs = p.join(s, (p["__cx"] == s["__scx"]) & (p["__cy"] == s["__scy"]), "inner")
-    pairs = pairs.withColumn(
-        "distance", distance(F.col("__px"), F.col("__py"), F.col("site_x"), F.col("site_y"))
-    ).where(F.col("distance") <= F.col("__sr"))
-    if k == 1:
-        best = pairs.groupBy("point_id").agg(
-            F.min(F.struct("distance", "site_id", "site_x", "site_y")).alias("__b")
+    if k != 1 or site_radius is not None:
+        pairs = _grid_pairs(p, s, cell).where(F.col("distance") <= F.col("__sr"))
+        if k == 1:
+            return _best(pairs)
+        from pyspark.sql import Window
+
+        w = Window.partitionBy("point_id").orderBy("distance", "site_id")
+        return (
+            pairs.withColumn("rank", F.row_number().over(w))
+            .where(F.col("rank") <= k)
+            .select("point_id", "site_id", "site_x", "site_y", "distance", "rank")
         )
-        return best.select("point_id", "__b.site_id", "__b.site_x", "__b.site_y", "__b.distance")
-    from pyspark.sql import Window
 
-    w = Window.partitionBy("point_id").orderBy("distance", "site_id")
-    return (
-        pairs.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-        .select("point_id", "site_id", "site_x", "site_y", "distance", "rank")
-    )
+    # Sites at the same position: only the smallest id can win a tie, so one
+    # per position is enough (a pile of co-located sites cannot multiply pairs).
+    s = s.groupBy("site_x", "site_y").agg(F.min("site_id").alias("site_id")).select("site_id", "site_x", "site_y")
+
+    def coarse(pts: DataFrame) -> DataFrame:
+        return _best(_grid_pairs(pts, s, cell).where(F.col("distance") <= F.lit(cell)))
+
+    if not max_candidates:
+        return coarse(p)
+
+    # Candidates per point = sites in the 3 x 3 cells around its cell.
+    n_nb = _spread(s, cell).groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("__ns"))
+    hot = n_nb.where(F.col("__ns") > F.lit(max_candidates)).select("__cx", "__cy", "__ns")
+    densest = hot.agg(F.max("__ns")).first()[0]
+    if densest is None:
+        return coarse(p)
+
+    from roadloom.session import checkpoint_dir
+
+    checkpoint_dir(points.sparkSession)
+    located = _cells(p, "__px", "__py", cell)
+    in_hot = located.join(hot.select("__cx", "__cy"), ["__cx", "__cy"], "left_semi").drop("__cx", "__cy")
+    cold = located.join(hot.select("__cx", "__cy"), ["__cx", "__cy"], "left_anti").drop("__cx", "__cy")
+    # enough halvings that the densest neighbourhood holds ~target sites per fine cell
+    levels = 1
+    while levels < 40 and densest / (4 ** levels) > target_sites_per_cell:
+        levels += 1
+    unresolved = in_hot.checkpoint(eager=True)
+    found = []
+    for level in range(levels, 0, -1):
+        size = cell / (2 ** level)
+        best = _best(_grid_pairs(unresolved, s, size).where(F.col("distance") <= F.lit(size)))
+        best = best.checkpoint(eager=True)
+        found.append(best)
+        unresolved = unresolved.join(best.select("point_id"), "point_id", "left_anti").checkpoint(eager=True)
+    out = coarse(cold).unionByName(coarse(unresolved))
+    for best in found:
+        out = out.unionByName(best)
+    return out
 
 
 def fence_predicate(lat: str | Column, lon: str | Column, box: dict[str, float]) -> Column:

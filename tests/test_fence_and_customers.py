@@ -82,3 +82,40 @@ def test_clean_positions_normalises_then_fences(spark):
     rows = [(1, "41.38 N, 2.17 E"), (2, "41.38,2.25"), (3, "41°22'48.0\"N, 2°10'12.0\"E")]
     df = spark.createDataFrame(rows, "id int, gps_coordinates string")
     assert sorted(r["id"] for r in clean_positions(df).collect()) == [1, 3]
+
+
+def _brute_nearest(pts, sites, r):
+    import numpy as np
+
+    P = np.array([(p["id"], p["x"], p["y"]) for p in pts.collect()])
+    S = np.array([(s["site_id"], s["site_x"], s["site_y"]) for s in sites.collect()])
+    out = set()
+    for pid, x, y in P:
+        d = np.sqrt((S[:, 1] - x) ** 2 + (S[:, 2] - y) ** 2)
+        ok = d <= r
+        if ok.any():
+            cand = sorted(zip(d[ok], S[ok, 0]))
+            out.add((int(pid), int(cand[0][1]), float(cand[0][0])))
+    return out
+
+
+def test_nearest_within_dense_cell_path_is_exact(spark):
+    # a hot spot: 2000 points and 300 sites packed into one corner, plus sparse ones
+    pts = spark.range(2600).select(
+        F.col("id"),
+        F.when(F.col("id") < 2000, (F.col("id") * 7919 % 1000) / 200.0).otherwise((F.col("id") * 37) % 997 * 1.0).alias("x"),
+        F.when(F.col("id") < 2000, (F.col("id") * 104729 % 1000) / 200.0).otherwise((F.col("id") * 53) % 991 * 1.0).alias("y"),
+    )
+    sites = spark.range(400).select(
+        F.col("id").alias("site_id"),
+        F.when(F.col("id") < 300, (F.col("id") * 3571 % 997) / 199.4).otherwise((F.col("id") * 29) % 1009 * 1.0).alias("site_x"),
+        F.when(F.col("id") < 300, (F.col("id") * 7247 % 991) / 198.2).otherwise((F.col("id") * 31) % 983 * 1.0).alias("site_y"),
+    )
+    # co-located duplicates with larger ids must never win
+    sites = sites.unionByName(sites.where("site_id < 50").withColumn("site_id", F.col("site_id") + 10_000))
+    fast = {(r["point_id"], r["site_id"], r["distance"]) for r in nearest_within(pts, sites, 25.0, max_candidates=None).collect()}
+    hot = nearest_within(pts, sites, 25.0, max_candidates=50, target_sites_per_cell=4)
+    got = {(r["point_id"], r["site_id"], r["distance"]) for r in hot.collect()}
+    want = _brute_nearest(pts, sites, 25.0)
+    assert fast == want
+    assert got == want
