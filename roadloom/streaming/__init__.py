@@ -5,5 +5,6 @@ from roadloom.streaming.streams import (  # noqa: F401
     dedupe_within_watermark,
     run_available_now,
     stream_files,
+    stream_upsert,
     trip_sessions,
 )

@@ -115,3 +115,16 @@ def run_available_now(df: DataFrame, *, checkpoint: str, sink: str | None = None
     q = w.start()
     q.awaitTermination()
     return q
+
+
+def stream_upsert(stream: DataFrame, snapshot_base: str, keys: list[str], ts_col: str, *, checkpoint: str):
+    """Merge every micro-batch into a versioned snapshot (the delta loads as a
+    stream).  A batch replayed after a failure is merged again with the same
+    result: the upsert is idempotent.  Returns the finished query."""
+    from roadloom.plans.pipelines import delta_load
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        if not batch.isEmpty():
+            delta_load(batch.sparkSession, snapshot_base, batch, keys, ts_col, mode="upsert", change_test="always")
+
+    return run_available_now(stream, checkpoint=checkpoint, foreach_batch=merge)

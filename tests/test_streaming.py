@@ -73,3 +73,22 @@ def test_dedupe_within_watermark(spark, tmp_dir):
     run_available_now(stream, checkpoint=os.path.join(tmp_dir, "ck"), fmt="memory", query_name="dedupe_stream")
     assert spark.table("dedupe_stream").count() == ev.count()
     assert dedupe_latest(ev.unionByName(ev), ["event_id"], ts="ts").count() == ev.count()
+
+
+def test_stream_upsert_into_snapshot(spark, tmp_dir):
+    from roadloom.sinks import read_current
+    from roadloom.streaming import stream_upsert
+
+    ev = _events(spark)
+    src, base, ck = (os.path.join(tmp_dir, d) for d in ("src", "snap", "ck"))
+    first = ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    first.write.parquet(os.path.join(src, "batch=1"))
+    stream_upsert(stream_files(spark, os.path.join(src, "*"), ev.schema), base, ["event_id"], "ts", checkpoint=ck)
+    assert read_current(spark, base).count() == first.count()
+    # the second file re-sends some rows (changed values) and adds the rest
+    resend = ev.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")).withColumn("value", F.lit(-1.0))
+    resend.write.parquet(os.path.join(src, "batch=2"))
+    stream_upsert(stream_files(spark, os.path.join(src, "*"), ev.schema), base, ["event_id"], "ts", checkpoint=ck)
+    snap = read_current(spark, base)
+    assert snap.count() == ev.count()
+    assert snap.where(F.col("value") == -1.0).count() == resend.count()
