@@ -55,14 +55,21 @@ def test_trip_sessions_first_last(spark, tmp_dir):
     ev = _events(spark)
     src = os.path.join(tmp_dir, "src")
     ev.write.parquet(src)
-    stream = trip_sessions(stream_files(spark, src, ev.schema), trip="user_id", ts="ts",
-                           tiebreak="event_id", gap="100 days", watermark="1 hour")
+    kw = dict(trip="user_id", ts="ts", tiebreak="event_id", columns=["value"], gap="6 hours", watermark="1 hour")
+    stream = trip_sessions(stream_files(spark, src, ev.schema), **kw)
     run_available_now(stream, checkpoint=os.path.join(tmp_dir, "ck"), fmt="memory", query_name="sess_stream")
-    # one month of data and a 100-day gap: no session is closed by the watermark yet
-    assert spark.table("sess_stream").count() == 0
-    # the same aggregation in batch mode gives each user's first and last event
-    batch = trip_first_last(ev, trip="user_id", ts="ts", tiebreak="event_id", columns=[])
-    assert batch.count() == ev.select("user_id").distinct().count()
+    got = spark.table("sess_stream")
+    batch = trip_sessions(ev, **kw)
+    # sessions closed by the final watermark come out, exactly as in batch
+    closed = batch.join(got.select("user_id", "session_start"), ["user_id", "session_start"], "left_semi")
+    assert got.count() > 0
+    assert sorted(map(tuple, got.select(*batch.columns).collect())) == sorted(
+        map(tuple, closed.select(*batch.columns).collect()))
+    # every user's first event starts its first session
+    firsts = trip_first_last(ev, trip="user_id", ts="ts", tiebreak="event_id", columns=["value"])
+    first_sessions = batch.groupBy("user_id").agg(F.min("start_event_id").alias("e"))
+    assert first_sessions.join(firsts, (first_sessions.user_id == firsts.user_id) & (
+        first_sessions.e == firsts.start_event_id)).count() == firsts.count()
 
 
 def test_dedupe_within_watermark(spark, tmp_dir):
