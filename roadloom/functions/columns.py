@@ -118,10 +118,30 @@ def lit_date(value: str | _dt.date) -> Column:
 
 
 def month_start(c: str | Column) -> Column:
-    """DATE_TRUNC('month', c) kept as TIMESTAMP_NTZ."""
-    return F.date_trunc("month", col(c)).cast("timestamp_ntz")
+    """DATE_TRUNC('month', c) as TIMESTAMP_NTZ (date arithmetic, no time zone)."""
+    return F.trunc(col(c).cast("date"), "month").cast("timestamp_ntz")
 
 
 def year_start(c: str | Column) -> Column:
-    """DATE_TRUNC('year', c) kept as TIMESTAMP_NTZ."""
-    return F.date_trunc("year", col(c)).cast("timestamp_ntz")
+    """DATE_TRUNC('year', c) as TIMESTAMP_NTZ (date arithmetic, no time zone)."""
+    return F.trunc(col(c).cast("date"), "year").cast("timestamp_ntz")
+
+
+def instant_to_utc_ntz(c: str | Column) -> Column:
+    """A TIMESTAMP (instant) as its UTC wall time, TIMESTAMP_NTZ.
+
+    Goes through exact epoch microseconds, so the session zone plays no part
+    (a plain cast would give the wall time in the session zone).
+    """
+    secs = (F.unix_micros(col(c)).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs)
+
+
+def utc_ntz_to_instant(c: str | Column) -> Column:
+    """A TIMESTAMP_NTZ read as UTC wall time -> TIMESTAMP (instant)."""
+    return F.timestamp_micros(epoch_micros_ntz(c))
+
+
+def parse_iso_utc(c: str | Column, fmt: str = "yyyy-MM-dd'T'HH:mm:ssX") -> Column:
+    """ISO-8601 text with an offset -> UTC wall time as TIMESTAMP_NTZ; NULL if unparsable."""
+    return instant_to_utc_ntz(F.try_to_timestamp(col(c), F.lit(fmt)))

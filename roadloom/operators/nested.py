@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadloom.functions.columns import col
+from roadloom.functions.columns import col, parse_iso_utc
 from roadloom.functions.naming import snake_case, snake_case_type
 
 # Fixed value: ISO-8601 UTC timestamps as written in the sample documents.
@@ -63,7 +63,7 @@ def flatten_contacts(
         elif name == phones:
             cols.extend(typed_value(name, t).alias(f"phone_{t}") for t in phone_types)
         elif name in timestamp_cols:
-            cols.append(F.try_to_timestamp(F.col(name), F.lit(ISO_UTC_FORMAT)).cast("timestamp_ntz").alias(name))
+            cols.append(parse_iso_utc(name, ISO_UTC_FORMAT).alias(name))
         else:
             cols.append(F.col(name))
     flat = to_snake_case(records.select(*cols))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.functions.columns import lit_ts, mean, order_columns
+from roadloom.functions.columns import instant_to_utc_ntz, lit_ts, mean, order_columns, parse_iso_utc
 from roadloom.operators.sequence import DEFAULT_MAX_GROUP_ROWS, ordered_sequence
 
 # Fixed value: kilometres to miles, as used by the reference.
@@ -161,9 +161,13 @@ def run_fleet_pipeline(
 
     checked = validate_gps(tracks, gps_col)
     good = checked.where(F.col("gps_reason") == F.lit(ACCEPTED)).drop("gps_reason")
-    ts_col = F.col(ts)
-    if tracks.schema[ts].dataType.simpleString() == "string":
-        ts_col = F.try_to_timestamp(ts_col, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
+    kind = tracks.schema[ts].dataType.simpleString()
+    if kind == "string":
+        ts_col = parse_iso_utc(ts)
+    elif kind == "timestamp":
+        ts_col = instant_to_utc_ntz(ts)
+    else:
+        ts_col = F.col(ts)
     with_year = good.withColumn("year", F.year(ts_col))
     return distance_by_year(with_year, vehicle=vehicle, year="year", distance=distance, unit=unit)
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadloom.functions.columns import utc_ntz_to_instant
+
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -26,9 +28,10 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def _event_time(df: DataFrame, ts: str) -> DataFrame:
-    # watermarks need TIMESTAMP; the tables hold TIMESTAMP_NTZ (UTC wall time)
+    # watermarks need TIMESTAMP; the tables hold TIMESTAMP_NTZ (UTC wall time),
+    # converted through epoch microseconds so the session zone plays no part
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+        return df.withColumn(ts, utc_ntz_to_instant(ts))
     return df
 
 
