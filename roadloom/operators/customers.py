@@ -47,7 +47,7 @@ def flag_existing(
     """
     kk = keys_key or key
     present = keys.select(F.col(kk).alias("__rl_key")).distinct().withColumn("__rl_hit", F.lit(True))
-    out = df.join(present, df[key].eqNullSafe(present["__rl_key"]) & df[key].isNotNull(), "left")
+    out = df.join(present, df[key] == present["__rl_key"], "left")  # NULL keys never match
     return out.withColumn(flag, F.coalesce(F.col("__rl_hit"), F.lit(False))).drop("__rl_key", "__rl_hit")
 
 

@@ -65,6 +65,11 @@ def split_rejects(df: DataFrame, reason_col: str = "gps_reason") -> tuple[DataFr
     return df.where(ok).drop(reason_col), df.where(~ok)
 
 
+def normalize_gps_split(df: DataFrame, column: str = "gps_coordinates") -> tuple[DataFrame, DataFrame]:
+    """``normalize_gps`` as (accepted rows, rejected rows with ``gps_reason``)."""
+    return split_rejects(normalize_gps(df, column))
+
+
 def strict(df: DataFrame, reason_col: str = "gps_reason") -> DataFrame:
     """Fail the job on the first rejected row (the reference raised)."""
     return df.withColumn(

@@ -23,6 +23,9 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
     return reader.json(path)
 
 
+read_documents = read_json_documents
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON-lines files (the stage written by ``write_json_lines``); splittable."""
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
