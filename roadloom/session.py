@@ -81,3 +81,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def cluster_settings(
+    shuffle_bytes: int,
+    *,
+    executors: int = 1000,
+    cores_per_executor: int = 4,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    broadcast_bytes: int = 64 * 1024 * 1024,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
+    """Settings for a large run, sized from the expected shuffle volume.
+
+    ``shuffle_bytes`` is the largest stage's shuffle write (after column
+    pruning and partial aggregation; for a full-table join or window it is
+    about the projected size of that table).  Shuffle partitions are chosen so
+    each reducer gets about ``target_partition_bytes`` (AQE then coalesces
+    small ones and splits skewed ones), never fewer than two waves of the
+    cluster's cores.  File splits use the same size, so a scan task and a
+    reduce task hold similar amounts of data.  The broadcast threshold stays
+    bounded: a side is broadcast only when its measured size is below it.
+    """
+    cores = executors * cores_per_executor
+    partitions = min(max_partitions, max(2 * cores, -(-shuffle_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -88,3 +88,13 @@ def test_strict_mode_fails_on_bad_row(spark):
 def test_read_table_missing(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         read_table(spark, "nope", tmp_dir)
+
+
+def test_cluster_settings_scale_with_volume():
+    from roadloom.session import cluster_settings
+
+    small = cluster_settings(10 * 2**30, executors=10, cores_per_executor=4)
+    big = cluster_settings(100 * 2**40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80            # two waves of 40 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000         # capped
+    assert int(cluster_settings(2 * 2**40)["spark.sql.shuffle.partitions"]) == 8192
