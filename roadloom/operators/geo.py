@@ -112,6 +112,19 @@ def _best(pairs: DataFrame) -> DataFrame:
     return best.select("point_id", "__b.site_id", "__b.site_x", "__b.site_y", "__b.distance")
 
 
+def _top_k(pairs: DataFrame, k: int) -> DataFrame:
+    """The k nearest per point (rank 1..k); Spark plans the ``rank <= k``
+    filter as a partial top-k before the shuffle (WindowGroupLimit)."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("point_id").orderBy("distance", "site_id")
+    return (
+        pairs.withColumn("rank", F.row_number().over(w))
+        .where(F.col("rank") <= k)
+        .select("point_id", "site_id", "site_x", "site_y", "distance", "rank")
+    )
+
+
 def nearest_within(
     points: DataFrame,
     sites: DataFrame,
@@ -135,21 +148,23 @@ def nearest_within(
     cells; an equi-join on the cell then the exact distance filter give the
     same pairs as the cross join, with no nested loop.  ``radius`` is the cell
     size and must be >= every per-site radius when ``site_radius`` names a
-    column.  Ties are broken by site id.  k = 1 is an aggregation (min of
-    (distance, site)); k > 1 is a row_number filter that Spark turns into a
-    partial top-k before the shuffle.
-
-    Dense cells (k = 1, one radius): one small job over the sites only counts
-    the sites of every 3 x 3 neighbourhood, i.e. the candidates a point of that
-    cell would meet.  While no neighbourhood holds more than
-    ``max_candidates`` sites the plain grid join is used.  Points of denser
-    cells are resolved on finer grids first (cell r / 2^L, finest first): a
-    site found within one fine cell of the point is provably the nearest,
-    because every site outside the 3 x 3 fine cells is farther than that.
-    Dense points therefore meet only the few sites of their fine
-    neighbourhood; only points left unresolved move to the next coarser grid,
-    and the coarse grid handles the rest.  Each level's unresolved points are
-    checkpointed (lineage cut, survives lost executors).
+    column (a site then counts only within its own radius).  Ties are broken
+    by site id.  k = 1 is an aggregation (min of (distance, site)); k > 1 is
+    a ``rank <= k`` filter that Spark runs as a partial top-k before the
+    shuffle.  Output: point_id, site_id, site_x, site_y, distance (+ rank
+    when k > 1).
+
+    Dense cells: one small job over the sites only counts the sites of every
+    3 x 3 neighbourhood, i.e. the candidates a point of that cell would meet.
+    While no neighbourhood holds more than ``max_candidates`` sites the plain
+    grid join is used.  Points of denser cells are resolved on finer grids
+    first (cell c = r / 2^L, finest first): every site outside the point's
+    3 x 3 fine cells is farther than c, so once k qualifying sites lie within
+    c of the point they are exactly its k nearest.  Dense points therefore
+    meet only the few sites of their fine neighbourhood; points left
+    unresolved move to the next coarser grid, and the coarse grid handles the
+    rest.  Each level's unresolved points are checkpointed (lineage cut,
+    survives lost executors).
     """
     cell = float(radius)
     p = points.select(
@@ -163,25 +178,27 @@ def nearest_within(
         F.col(site_y).cast("double").alias("site_y"),
         (F.col(site_radius).cast("double") if site_radius else F.lit(cell)).alias("__sr"),
     )
-    if k != 1 or site_radius is not None:
-        pairs = _grid_pairs(p, s, cell).where(F.col("distance") <= F.col("__sr"))
-        if k == 1:
-            return _best(pairs)
+    # Sites at the same position (and radius): only the k smallest ids can
+    # win, so at most k per position are kept (a pile of co-located sites
+    # cannot multiply the candidate pairs).
+    if k == 1:
+        s = s.groupBy("site_x", "site_y", "__sr").agg(F.min("site_id").alias("site_id"))
+    else:
         from pyspark.sql import Window
 
-        w = Window.partitionBy("point_id").orderBy("distance", "site_id")
-        return (
-            pairs.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k)
-            .select("point_id", "site_id", "site_x", "site_y", "distance", "rank")
-        )
+        wl = Window.partitionBy("site_x", "site_y", "__sr").orderBy("site_id")
+        s = s.withColumn("__n", F.row_number().over(wl)).where(F.col("__n") <= k).drop("__n")
+    s = s.select("site_id", "site_x", "site_y", "__sr")
+
+    def qualifying(pts: DataFrame, size: float, reach: float) -> DataFrame:
+        pairs = _grid_pairs(pts, s, size)
+        return pairs.where((F.col("distance") <= F.col("__sr")) & (F.col("distance") <= F.lit(reach)))
 
-    # Sites at the same position: only the smallest id can win a tie, so one
-    # per position is enough (a pile of co-located sites cannot multiply pairs).
-    s = s.groupBy("site_x", "site_y").agg(F.min("site_id").alias("site_id")).select("site_id", "site_x", "site_y")
+    def pick(pairs: DataFrame) -> DataFrame:
+        return _best(pairs) if k == 1 else _top_k(pairs, k)
 
     def coarse(pts: DataFrame) -> DataFrame:
-        return _best(_grid_pairs(pts, s, cell).where(F.col("distance") <= F.lit(cell)))
+        return pick(qualifying(pts, cell, cell))
 
     if not max_candidates:
         return coarse(p)
@@ -207,13 +224,17 @@ def nearest_within(
     found = []
     for level in range(levels, 0, -1):
         size = cell / (2 ** level)
-        best = _best(_grid_pairs(unresolved, s, size).where(F.col("distance") <= F.lit(size)))
-        best = best.checkpoint(eager=True)
-        found.append(best)
-        unresolved = unresolved.join(best.select("point_id"), "point_id", "left_anti").checkpoint(eager=True)
+        picked = pick(qualifying(unresolved, size, size))
+        if k > 1:
+            # resolved only with k qualifying sites within one fine cell
+            full = picked.groupBy("point_id").agg(F.max("rank").alias("__m")).where(F.col("__m") >= k)
+            picked = picked.join(full.select("point_id"), "point_id", "left_semi")
+        picked = picked.checkpoint(eager=True)
+        found.append(picked)
+        unresolved = unresolved.join(picked.select("point_id").distinct(), "point_id", "left_anti").checkpoint(eager=True)
     out = coarse(cold).unionByName(coarse(unresolved))
-    for best in found:
-        out = out.unionByName(best)
+    for picked in found:
+        out = out.unionByName(picked)
     return out
 
 

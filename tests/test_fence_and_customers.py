@@ -119,3 +119,41 @@ def test_nearest_within_dense_cell_path_is_exact(spark):
     want = _brute_nearest(pts, sites, 25.0)
     assert fast == want
     assert got == want
+
+
+def _brute_topk(pts, sites, r, k, radius_col=None):
+    import numpy as np
+
+    P = [(p["id"], p["x"], p["y"]) for p in pts.collect()]
+    S = [(s["site_id"], s["site_x"], s["site_y"], s[radius_col] if radius_col else r) for s in sites.collect()]
+    out = set()
+    for pid, x, y in P:
+        cand = sorted((float(np.sqrt((sx - x) ** 2 + (sy - y) ** 2)), sid) for sid, sx, sy, sr in S
+                      if np.sqrt((sx - x) ** 2 + (sy - y) ** 2) <= min(sr, r))
+        for rank, (d, sid) in enumerate(cand[:k], start=1):
+            out.add((int(pid), int(sid), d, rank))
+    return out
+
+
+def test_nearest_within_top_k_and_site_radius_dense_path(spark):
+    pts = spark.range(1500).select(
+        F.col("id"),
+        F.when(F.col("id") < 1000, (F.col("id") * 7919 % 1000) / 200.0).otherwise((F.col("id") * 37) % 997 * 1.0).alias("x"),
+        F.when(F.col("id") < 1000, (F.col("id") * 104729 % 1000) / 200.0).otherwise((F.col("id") * 53) % 991 * 1.0).alias("y"),
+    )
+    sites = spark.range(300).select(
+        F.col("id").alias("site_id"),
+        F.when(F.col("id") < 200, (F.col("id") * 3571 % 997) / 199.4).otherwise((F.col("id") * 29) % 1009 * 1.0).alias("site_x"),
+        F.when(F.col("id") < 200, (F.col("id") * 7247 % 991) / 198.2).otherwise((F.col("id") * 31) % 983 * 1.0).alias("site_y"),
+        (F.lit(10.0) + F.col("id") % 15).alias("reach"),
+    )
+    sites = sites.unionByName(sites.where("site_id < 30").withColumn("site_id", F.col("site_id") + 10_000))
+    for kw in (dict(k=3), dict(k=1, site_radius="reach"), dict(k=2, site_radius="reach")):
+        want = _brute_topk(pts, sites, 25.0, kw["k"], kw.get("site_radius"))
+        for mc in (None, 40):
+            got_df = nearest_within(pts, sites, 25.0, max_candidates=mc, target_sites_per_cell=4, **kw)
+            if kw["k"] == 1:
+                got = {(r["point_id"], r["site_id"], r["distance"], 1) for r in got_df.collect()}
+            else:
+                got = {(r["point_id"], r["site_id"], r["distance"], r["rank"]) for r in got_df.collect()}
+            assert got == want, (kw, mc)
