@@ -178,6 +178,7 @@ def nearest_within(
         F.col(site_y).cast("double").alias("site_y"),
         (F.col(site_radius).cast("double") if site_radius else F.lit(cell)).alias("__sr"),
     )
+    raw_sites = s
     # Sites at the same position (and radius): only the k smallest ids can
     # win, so at most k per position are kept (a pile of co-located sites
     # cannot multiply the candidate pairs).
@@ -203,12 +204,13 @@ def nearest_within(
     if not max_candidates:
         return coarse(p)
 
-    # Candidates per point = sites in the 3 x 3 cells around its cell.
-    n_nb = _spread(s, cell).groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("__ns"))
-    hot = n_nb.where(F.col("__ns") > F.lit(max_candidates)).select("__cx", "__cy", "__ns")
-    densest = hot.agg(F.max("__ns")).first()[0]
-    if densest is None:
+    # Candidates per point <= sites (before the co-location cut) in the 3 x 3
+    # cells around its cell: one small job over the sites decides the plan.
+    n_nb = _spread(raw_sites, cell).groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("__ns"))
+    densest = n_nb.agg(F.max("__ns")).first()[0]
+    if densest is None or densest <= max_candidates:
         return coarse(p)
+    hot = n_nb.where(F.col("__ns") > F.lit(max_candidates)).select("__cx", "__cy", "__ns")
 
     from roadloom.session import checkpoint_dir
 
