@@ -63,6 +63,30 @@ def delta_load(
     return {"changed": True, "initial": False, "version": write_versioned(merged, snapshot_base)}
 
 
+def refresh_if_changed(
+    spark: SparkSession,
+    snapshot_base: str,
+    source: DataFrame,
+    ts_col: str,
+    build,
+) -> dict:
+    """Publish ``build(source)`` when the source's newest ``ts_col`` moved.
+
+    For outputs that are aggregates (booking statistics, monthly profiles):
+    the change test runs on the source rows (the output has no timestamp),
+    and the mark is stored next to the snapshot.  The mark is written after
+    the new version, so a crash in between only republishes the same result.
+    """
+    mark_path = f"{snapshot_base.rstrip('/')}/_MARK"
+    mark = incremental.high_watermark(source, ts_col)
+    mark_text = "" if mark is None else str(mark)
+    if _exists(spark, mark_path) and spark.read.text(mark_path).first()["value"] == mark_text:
+        return {"changed": False, "version": None, "mark": mark_text}
+    version = write_versioned(build(source), snapshot_base)
+    spark.createDataFrame([(mark_text,)], "value string").coalesce(1).write.mode("overwrite").text(mark_path)
+    return {"changed": True, "version": version, "mark": mark_text}
+
+
 def trips_delta(
     spark: SparkSession,
     snapshot_base: str,

@@ -72,3 +72,23 @@ def test_null_report_of_join_equals_joined_report(spark):
     a = null_report(docs.join(labels, "doc_id", "left")).first().asDict()
     b = null_report_of_join(docs, labels, ["doc_id"], "left").first().asDict()
     assert a == b
+
+
+def test_refresh_if_changed_tests_source_rows(spark, tmp_dir):
+    from roadloom.operators.bookings import booking_stats
+    from roadloom.plans.pipelines import refresh_if_changed
+
+    orders = read_table(spark, "orders", SF_SMALL).withColumn("is_cancelled", F.col("o_orderstatus") == "F")
+    cust = read_table(spark, "customer", SF_SMALL)
+
+    def build(b):
+        return booking_stats(b, cust, vehicle_type=None, booking_id="o_orderkey", vehicle_id="o_custkey",
+                             vehicles_key="c_custkey", type_col="c_mktsegment", duration="o_totalprice",
+                             start_time="o_orderdate", end_time="o_orderdate")
+
+    base = os.path.join(tmp_dir, "bookings")
+    early = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    assert refresh_if_changed(spark, base, early, "o_orderdate", build)["changed"]
+    assert not refresh_if_changed(spark, base, early, "o_orderdate", build)["changed"]
+    assert refresh_if_changed(spark, base, orders, "o_orderdate", build)["changed"]
+    assert read_current(spark, base).agg(F.sum("total_bookings")).first()[0] == orders.count()
