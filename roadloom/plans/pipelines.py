@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadloom.operators import geo, incremental, nested, trips
 from roadloom.sinks import append_table, read_current, write_json_lines, write_versioned
@@ -126,3 +127,46 @@ def run_etl(spark: SparkSession, tracks_path: str, target: str, rejects: str) ->
     processed = trips.run_fleet_pipeline(tracks)
     return append_table([processed], target, required=["vehicle_id", "year"], rejects=rejects)
 
+
+
+def upsert_partitions(
+    spark: SparkSession,
+    path: str,
+    delta: DataFrame,
+    keys: list[str],
+    ts_col: str,
+    *,
+    partition_col: str = "year",
+    partition_value=None,
+    compression: str = "gzip",
+) -> dict:
+    """Upsert ``delta`` into a partitioned Parquet snapshot, rewriting only
+    the partitions it touches (dynamic partition overwrite).
+
+    Touched partitions are those of the delta's rows plus those already
+    holding a delta key (found from the key and partition columns only, so a
+    record that moves to another partition leaves no stale copy).  The merged
+    partitions are checkpointed to the cluster's checkpoint folder first:
+    Spark will not overwrite files a job is reading.  Untouched partitions are
+    neither read nor written.  ``partition_value`` computes the partition from
+    a row (default: year of ``ts_col``).
+    """
+    from roadloom.operators.events import dedupe_latest
+    from roadloom.session import checkpoint_dir
+
+    part = partition_value if partition_value is not None else F.year(F.col(ts_col))
+    latest = dedupe_latest(delta, keys, ts=ts_col).withColumn(partition_col, part)
+    if not _exists(spark, path):
+        latest.write.mode("overwrite").option("compression", compression).partitionBy(partition_col).parquet(path)
+        return {"initial": True, "partitions": None}
+    existing = spark.read.parquet(path)
+    delta_keys = latest.select(*keys).distinct()
+    holding = existing.select(*keys, partition_col).join(delta_keys, keys, "left_semi").select(partition_col)
+    touched = [r[0] for r in latest.select(partition_col).union(holding).distinct().collect()]
+    checkpoint_dir(spark)
+    current = existing.where(F.col(partition_col).isin(touched))
+    kept = current.join(delta_keys, keys, "left_anti")
+    merged = kept.unionByName(latest.select(*existing.columns)).checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("compression", compression)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    return {"initial": False, "partitions": sorted(touched)}
