@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadloom.operators.events import dedupe_latest
 
@@ -17,11 +20,25 @@ def high_watermark(df: DataFrame, ts_col: str):
     return df.agg(F.max(ts_col).alias("wm")).first()["wm"]
 
 
+def typed_literal(df: DataFrame, column: str, value):
+    """``value`` as a literal of ``column``'s type.
+
+    A TIMESTAMP_NTZ value comes back to Python as a naive datetime; a plain
+    ``lit`` would make it a session-zone TIMESTAMP and shift the comparison
+    in a non-UTC session.  Going through text keeps it zone-free.
+    """
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value).cast(dtype)
+
+
 def rows_after(df: DataFrame, ts_col: str, watermark) -> DataFrame:
-    """Rows strictly after the mark (all rows when the mark is None)."""
+    """Rows strictly after the mark (all rows when the mark is None).  The
+    mark is a literal of the column's type, so it is pushed to the scan."""
     if watermark is None:
         return df
-    return df.where(F.col(ts_col) > F.lit(watermark))
+    return df.where(F.col(ts_col) > typed_literal(df, ts_col, watermark))
 
 
 def key_set_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

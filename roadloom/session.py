@@ -8,9 +8,10 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every session should carry.  They are SQL confs, so they can also be
-# applied to a session someone else built (see ``apply_sql_defaults``).
+# applied to a session someone else built (see ``apply_sql_defaults``).  The
+# operators do not depend on the session time zone (NTZ arithmetic is
+# zone-free), so a foreign session keeps its own; our sessions use UTC.
 SQL_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -43,7 +44,7 @@ def build_session(
         builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**SQL_DEFAULTS, **(extra or {})}.items():
+    for key, value in {**SQL_DEFAULTS, "spark.sql.session.timeZone": "UTC", **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
