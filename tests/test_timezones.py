@@ -48,3 +48,18 @@ def test_operators_same_in_any_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert utc == other
+
+
+def test_every_contract_query_is_zone_free(spark):
+    import __spark_entry__ as entry
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name, fn in sorted(entry.queries().items()):
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            utc = _rows(fn(spark, SF_SMALL))
+            spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+            la = _rows(fn(spark, SF_SMALL))
+            assert utc == la, name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
