@@ -4,6 +4,7 @@ from roadloom.sinks.writers import (  # noqa: F401
     append_table,
     read_current,
     write_envelope,
+    write_bucketed_table,
     write_json_lines,
     write_snapshot,
     write_versioned,

@@ -15,7 +15,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="roadloom-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="roadloom-warehouse-", dir=tempfile.gettempdir())
+    s = build_session("local[4]", app_name="roadloom-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     checkpoint_dir(s, fallback_base=tempfile.gettempdir())
     yield s
     s.stop()

@@ -68,3 +68,22 @@ def test_envelope_is_two_tables(spark, tmp_dir):
     write_envelope(spark.range(4), out, "2024-01-01 00:00:00")
     assert spark.read.json(os.path.join(out, "data")).count() == 4
     assert spark.read.json(os.path.join(out, "metadata")).first()["total_count"] == 4
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from roadloom.plans.checks import executed_plan
+    from roadloom.sinks import write_bucketed_table
+
+    orders = read_table(spark, "orders", SF_SMALL)
+    items = read_table(spark, "lineitem", SF_SMALL)
+    write_bucketed_table(orders, "orders_b", ["o_orderkey"], 8)
+    write_bucketed_table(items.withColumnRenamed("l_orderkey", "o_orderkey"), "lineitem_b", ["o_orderkey"], 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("lineitem_b").join(spark.table("orders_b"), "o_orderkey")
+        plan = executed_plan(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == items.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
