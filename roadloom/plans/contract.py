@@ -8,13 +8,12 @@ value is independent of the order of additions (same value in every engine).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from roadloom.operators import (
     bookings,
     customers,
@@ -33,6 +32,17 @@ from roadloom.sources import read_table
 
 FLOAT_SCALE = 6
 
+# Output name -> user ("u") or profile ("p") column, for the customer joins.
+CUSTOMER_COLUMNS = {
+    "user_id": "u.c_custkey",
+    "name": "u.c_name",
+    "segment": "u.c_mktsegment",
+    "balance": "u.c_acctbal",
+    "nation": "p.n_name",
+    "region_key": "p.n_regionkey",
+}
+
+
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, name, sf_dir)
@@ -67,16 +77,6 @@ def user_profiles_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CUSTOMER_COLUMNS = {
-    "user_id": "u.c_custkey",
-    "name": "u.c_name",
-    "segment": "u.c_mktsegment",
-    "balance": "u.c_acctbal",
-    "nation": "p.n_name",
-    "region_key": "p.n_regionkey",
-}
-
-
 def customers_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live users (balance >= 0) and deleted users (< 0)."""
     cust = _t(spark, sf_dir, "customer")
