@@ -18,3 +18,19 @@ def test_bench_prints_one_json_line():
     assert result["unit"] == "sec" and result["sf"] == 0.001
     assert set(result["queries"]) == {"booking_stats", "event_first"}
     assert result["value"] == round(sum(result["queries"].values()), 4)
+
+
+def test_checkpoint_dir_comes_from_the_cluster_setting(tmp_path):
+    script = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from roadloom.session import build_session, checkpoint_dir
+spark = build_session("local[1]", extra={{"spark.checkpoint.dir": {str(tmp_path / 'shared')!r}}})
+print(checkpoint_dir(spark, fallback_base="/nonexistent"))
+df = spark.range(10).checkpoint(eager=True)
+print(df.count())
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300,
+                         check=True).stdout.split()
+    assert out[0].endswith("shared") and out[1] == "10"
+    assert any((tmp_path / "shared").iterdir())
