@@ -34,7 +34,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_customer_envelopes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``{data: [...], metadata: {...}}`` files -> (customer rows, metadata rows)."""
     docs = read_json_documents(spark, path, CUSTOMER_ENVELOPE)
-    docs = docs.where(F.col(CORRUPT).isNull()).withColumn("__file", F.input_file_name())
+    docs = docs.where(F.col(CORRUPT).isNull()).withColumn("__file", F.col("_metadata.file_path"))
     rows = docs.select(F.explode("data").alias("r")).select("r.*")
     meta = docs.select("__file", "metadata.*", F.size("data").alias("rows_in_file"))
     return rows, meta
