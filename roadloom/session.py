@@ -16,8 +16,6 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Dynamic overwrite so a write only replaces the partitions it produces.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -44,7 +42,8 @@ def build_session(
         builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**SQL_DEFAULTS, "spark.sql.session.timeZone": "UTC", **(extra or {})}.items():
+    own = {"spark.sql.session.timeZone": "UTC", "spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    for key, value in {**SQL_DEFAULTS, **own, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

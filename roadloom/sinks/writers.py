@@ -24,11 +24,11 @@ def write_snapshot(
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
 ) -> None:
-    """Full load as compressed Parquet (K1).  With ``partition_by`` and the
-    session's dynamic overwrite only the produced partitions are replaced."""
+    """Full load as compressed Parquet (K1).  With ``partition_by`` the
+    overwrite is dynamic: only the partitions present in ``df`` are replaced."""
     w = df.write.mode(mode).option("compression", compression)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
