@@ -218,9 +218,17 @@ def nearest_within(
     located = _cells(p, "__px", "__py", cell)
     in_hot = located.join(hot.select("__cx", "__cy"), ["__cx", "__cy"], "left_semi").drop("__cx", "__cy")
     cold = located.join(hot.select("__cx", "__cy"), ["__cx", "__cy"], "left_anti").drop("__cx", "__cy")
-    # enough halvings that the densest neighbourhood holds ~target sites per fine cell
+    # Depth from the data: halve the cell until no fine 3 x 3 neighbourhood of
+    # the sites near hot cells holds more than ~9 x target sites (small jobs
+    # over those sites only; a packed corner needs more levels than the
+    # coarse count suggests).
+    near_hot = _spread(s, cell).join(hot.select("__cx", "__cy"), ["__cx", "__cy"], "left_semi") \
+        .select("site_id", "site_x", "site_y", "__sr").distinct()
     levels = 1
-    while levels < 40 and densest / (4 ** levels) > target_sites_per_cell:
+    while levels < 40:
+        fine = _spread(near_hot, cell / (2 ** levels)).groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("__n"))
+        if (fine.agg(F.max("__n")).first()[0] or 0) <= 9 * target_sites_per_cell:
+            break
         levels += 1
     unresolved = in_hot.checkpoint(eager=True)
     found = []
@@ -234,6 +242,8 @@ def nearest_within(
         picked = picked.checkpoint(eager=True)
         found.append(picked)
         unresolved = unresolved.join(picked.select("point_id").distinct(), "point_id", "left_anti").checkpoint(eager=True)
+        if unresolved.isEmpty():
+            break
     out = coarse(cold).unionByName(coarse(unresolved))
     for picked in found:
         out = out.unionByName(picked)
