@@ -254,7 +254,7 @@ def geometry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer has a location and its own reference point."""
+    """Each customer has a location, its own reference point and radius."""
     c = _t(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     plane = c.select(
@@ -263,8 +263,9 @@ def within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((k * 7) % 100).cast("double").alias("location_y"),
         (F.col("c_nationkey") * 4).cast("double").alias("longitude"),
         ((k % 13) * 7).cast("double").alias("latitude"),
+        (F.lit(20) + (k % 5) * 10).cast("double").alias("radius"),
     )
-    return geo.within_radius(plane, radius=40.0, keep=["id", "location_x", "location_y"])
+    return geo.within_radius(plane, radius="radius", keep=["id", "location_x", "location_y"])
 
 
 def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -237,11 +237,12 @@ FROM ({_FEATURES}) f
 
 ORACLE_SQL["within_radius"] = f"""
 SELECT id, location_x, location_y, distance FROM (
-  SELECT id, location_x, location_y,
+  SELECT id, location_x, location_y, radius,
          sqrt((px - location_x) * (px - location_x) + (py - location_y) * (py - location_y)) AS distance
   FROM (SELECT c_custkey AS id, {_d('c_custkey % 100')} AS location_x, {_d('(c_custkey * 7) % 100')} AS location_y,
-               {_d('c_nationkey * 4')} AS px, {_d('(c_custkey % 13) * 7')} AS py FROM customer) t) u
-WHERE distance <= {_d(40)}
+               {_d('c_nationkey * 4')} AS px, {_d('(c_custkey % 13) * 7')} AS py,
+               {_d('20 + (c_custkey % 5) * 10')} AS radius FROM customer) t) u
+WHERE distance <= radius
 """
 
 ORACLE_SQL["nearest_site"] = f"""
