@@ -34,3 +34,22 @@ print(df.count())
                          check=True).stdout.split()
     assert out[0].endswith("shared") and out[1] == "10"
     assert any((tmp_path / "shared").iterdir())
+
+
+def test_entry_in_a_plain_session():
+    script = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false").getOrCreate())
+import __spark_entry__ as e
+df = e.entry(spark)
+rows = df.collect()
+print(len(rows), ",".join(df.columns))
+"""
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300,
+                         check=True).stdout.split()
+    assert int(out[0]) > 0
+    assert out[1] == ("vehicle_id,vehicle_type,total_bookings,total_duration,avg_duration,earliest_booking,"
+                      "latest_booking,total_cancelled_bookings,cancellation_rate")
