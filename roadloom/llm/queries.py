@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from roadloom.llm.exact import OP5_SQL, op5_chunk_recipes
+from roadloom.llm.langid import op8_marginal_unigrams
 from roadloom.llm.packing import op6_concat_cut
+from roadloom.llm.sampling import op4_gumbel_topk
 from roadloom.llm.sharding import op9_uniform_shards
 from roadloom.llm.topk import OP1_SQL, op1_exact_topk
 
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op4_gumbel_topk": op4_gumbel_topk,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_concat_cut": op6_concat_cut,
+    "op8_marginal_unigrams": op8_marginal_unigrams,
     "op9_uniform_shards": op9_uniform_shards,
 }
 
