@@ -7,6 +7,7 @@ from roadloom.llm.langid import op8_marginal_unigrams
 from roadloom.llm.packing import op6_concat_cut
 from roadloom.llm.sampling import op4_gumbel_topk
 from roadloom.llm.sharding import op9_uniform_shards
+from roadloom.llm.toxicity import op7_lexicon_automata
 from roadloom.llm.topk import OP1_SQL, op1_exact_topk
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_gumbel_topk": op4_gumbel_topk,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_concat_cut": op6_concat_cut,
+    "op7_lexicon_automata": op7_lexicon_automata,
     "op8_marginal_unigrams": op8_marginal_unigrams,
     "op9_uniform_shards": op9_uniform_shards,
 }
