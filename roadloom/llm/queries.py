@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from roadloom.llm.exact import OP5_SQL, op5_chunk_recipes
 from roadloom.llm.langid import op8_marginal_unigrams
+from roadloom.llm.minhash import OP3_SQL, op3_bayes_minhash
 from roadloom.llm.packing import op6_concat_cut
 from roadloom.llm.sampling import op4_gumbel_topk
 from roadloom.llm.sharding import op9_uniform_shards
@@ -12,6 +13,7 @@ from roadloom.llm.topk import OP1_SQL, op1_exact_topk
 
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op3_bayes_minhash": op3_bayes_minhash,
     "op4_gumbel_topk": op4_gumbel_topk,
     "op5_chunk_recipes": op5_chunk_recipes,
     "op6_concat_cut": op6_concat_cut,
@@ -22,5 +24,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_exact_topk": OP1_SQL,
+    "op3_bayes_minhash": OP3_SQL,
     "op5_chunk_recipes": OP5_SQL,
 }
