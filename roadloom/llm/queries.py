@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from roadloom.llm.chunkdedup import op2_gear_chunks
 from roadloom.llm.exact import OP5_SQL, op5_chunk_recipes
 from roadloom.llm.langid import op8_marginal_unigrams
 from roadloom.llm.minhash import OP3_SQL, op3_bayes_minhash
@@ -9,10 +10,12 @@ from roadloom.llm.packing import op6_concat_cut
 from roadloom.llm.sampling import op4_gumbel_topk
 from roadloom.llm.sharding import op9_uniform_shards
 from roadloom.llm.toxicity import op7_lexicon_automata
+from roadloom.llm.suffixes import op10_radix_windows
 from roadloom.llm.topk import OP1_SQL, op1_exact_topk
 
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_gear_chunks": op2_gear_chunks,
     "op3_bayes_minhash": op3_bayes_minhash,
     "op4_gumbel_topk": op4_gumbel_topk,
     "op5_chunk_recipes": op5_chunk_recipes,
@@ -20,6 +23,7 @@ QUERIES = {
     "op7_lexicon_automata": op7_lexicon_automata,
     "op8_marginal_unigrams": op8_marginal_unigrams,
     "op9_uniform_shards": op9_uniform_shards,
+    "op10_radix_windows": op10_radix_windows,
 }
 
 ORACLE_SQL = {
