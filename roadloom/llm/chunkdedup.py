@@ -17,10 +17,10 @@ from roadloom.llm.exchange import Batch, Corpus, as_unsigned, first_owners, look
 from roadloom.llm.lattice import ranges
 
 #: A cut where the top bits of the hash of the last 16 bytes are zero, no such place in the LEAST bytes before it;
-#: chunks have at most MOST bytes.  They have about 50 on average.
-CUT_BITS, LEAST, MOST = 5, 16, 160
-#: Bytes of consecutive copied chunks that are taken out; a passage of 50 words has about twice as many.
-RUN_BYTES = 128
+#: chunks have at most MOST bytes.  They have about 33 on average.
+CUT_BITS, LEAST, MOST = 4, 12, 128
+#: Bytes of consecutive copied chunks that are taken out; a passage of 50 words has about three times as many.
+RUN_BYTES = 80
 
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
@@ -73,7 +73,7 @@ def without_repeats(docs: DataFrame, carried=None, run_bytes: int = RUN_BYTES) -
     not take from each other.  Empty texts and tables are fine.
     """
     ship(docs.sparkSession)
-    corpus = Corpus(docs, F.col("doc_id") if carried is None else carried, 1 / 50)
+    corpus = Corpus(docs, F.col("doc_id") if carried is None else carried, 1 / 30)
 
     def prints(batch, _):
         begin, _, digest = chunked(batch)

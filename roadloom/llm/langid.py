@@ -159,12 +159,13 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SC
     if not model.languages:
         return docs
 
+    at, width = docs.columns.index("text"), len(docs.columns)
+
     def keep(batches):
-        at = docs.columns.index("text")
         for batch in batches:
             for low, high in slices(batch.column(at)):
                 part = batch.slice(low, high - low)
-                best, prob = verdicts(model, part.column(at), part.column(len(docs.columns)).to_numpy(zero_copy_only=False).astype(bool))
+                best, prob = verdicts(model, part.column(at), part.column(width).to_numpy(zero_copy_only=False).astype(bool))
                 fine = (best < len(model.languages)) & (prob >= least_score)
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(fine)) for c in part.columns[:-1]], names=part.schema.names[:-1])
 

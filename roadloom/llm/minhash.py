@@ -348,6 +348,15 @@ def near_groups(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def drop_near(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
+    """``docs`` without near duplicates: of each component the document with the smallest doc_id stays.
+
+    All columns are kept; rows without doc_id, words or text stay.
+    """
+    gone = near_groups(docs.select("doc_id", "text"), rule).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+
+
 def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all ``documents`` under CONTRACT; see `near_groups`."""
     return near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), CONTRACT)
