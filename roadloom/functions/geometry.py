@@ -21,14 +21,22 @@ def _expr(sql: str) -> Column:
     return F.expr(" ".join(sql.split()))
 
 
+MEASURED = ("POINT", "LINESTRING", "POLYGON")
+
+
+def _no_srid(wkt: str) -> str:
+    """SQL of the text without the ``SRID=n;`` prefix of EWKT."""
+    return rf"regexp_replace({_q(wkt)}, r'^\s*SRID\s*=\s*\d+\s*;', '')"
+
+
 def geometry_type(wkt: str) -> Column:
-    """Upper-case WKT type name (POINT, LINESTRING, POLYGON)."""
-    return _expr(rf"upper(regexp_extract({_q(wkt)}, r'^\s*([A-Za-z]+)', 1))")
+    """Upper-case WKT type name (POINT, LINESTRING, POLYGON; others have no measures)."""
+    return _expr(rf"upper(regexp_extract({_no_srid(wkt)}, r'^\s*([A-Za-z]+)', 1))")
 
 
 def parse_wkt(wkt: str) -> Column:
     """WKT POINT / LINESTRING / POLYGON (with holes) to rings of (x, y)."""
-    w = _q(wkt)
+    w = _no_srid(wkt)
     body = rf"regexp_extract({w}, r'\((.*)\)', 1)"
     return _expr(rf"""
         transform(
@@ -55,12 +63,20 @@ _SEG_LEN = "sqrt((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))"
 
 def ring_stats(rings: str) -> Column:
     """Per ring, oriented so the outer ring counts positive and holes negative
-    whatever their winding: twice the area, six times the first moments, length."""
-    raw = f"""transform({_q(rings)}, ring -> named_struct(
+    whatever their winding: twice the area, six times the first moments, length.
+
+    Sums run from the geometry's first vertex as the origin: on small shapes far from (0, 0), such as
+    longitudes and latitudes, products of raw coordinates would cancel to noise.
+    """
+    origin = f"get(get({_q(rings)}, 0), 0)"
+    local = f"transform({_q(rings)}, r -> transform(r, v -> named_struct('x', v.x - {origin}.x, 'y', v.y - {origin}.y)))"
+    near = f"""transform({local}, ring -> named_struct(
         'a2', {_sum(_segments('ring', _CROSS))},
         'mx6', {_sum(_segments('ring', f'(p.x + q.x) * {_CROSS}'))},
         'my6', {_sum(_segments('ring', f'(p.y + q.y) * {_CROSS}'))},
         'len', {_sum(_segments('ring', _SEG_LEN))}))"""
+    raw = f"""transform({near}, s -> named_struct(
+        'a2', s.a2, 'mx6', s.mx6 + 3 * s.a2 * {origin}.x, 'my6', s.my6 + 3 * s.a2 * {origin}.y, 'len', s.len))"""
     sign = "CASE WHEN i = 0 THEN signum(s.a2) ELSE -signum(s.a2) END"
     return _expr(f"""transform({raw}, (s, i) -> named_struct(
         'a2', s.a2 * {sign}, 'mx6', s.mx6 * {sign}, 'my6', s.my6 * {sign}, 'len', s.len))""")
@@ -88,11 +104,12 @@ def measures_from(totals: str, moments: str, gtype: str) -> Column:
     Polygon: area = sum / 2, centroid = moment sum / (3 * twice-area sum),
     perimeter = all ring lengths; ``length`` is 0 as for ST_Length.
     Linestring: length, centroid = length-weighted segment midpoints.
-    Point: the point itself.  With integer vertices every sum is exact and the
+    Point: the point itself.  Any other type: NULL measures.  With integer vertices every sum is exact and the
     centroid is one division, so the result is the correctly rounded value.
     """
     t, m, g = _q(totals), _q(moments), _q(gtype)
-    return _expr(f"""named_struct(
+    known = ", ".join(f"'{k}'" for k in MEASURED)
+    return _expr(f"""CASE WHEN {g} IN ({known}) THEN named_struct(
         'area', CASE WHEN {g} = 'POLYGON' THEN abs({t}.a2) / 2 ELSE 0D END,
         'perimeter', CASE WHEN {g} IN ('POLYGON', 'LINESTRING') THEN {t}.len ELSE 0D END,
         'length', CASE WHEN {g} = 'LINESTRING' THEN {t}.len ELSE 0D END,
@@ -101,7 +118,7 @@ def measures_from(totals: str, moments: str, gtype: str) -> Column:
                            ELSE {m}.first.x END,
         'centroid_y', CASE WHEN {g} = 'POLYGON' THEN try_divide({t}.my6, {t}.a2 * 3)
                            WHEN {g} = 'LINESTRING' THEN try_divide({m}.ly, {t}.len)
-                           ELSE {m}.first.y END)""")
+                           ELSE {m}.first.y END) END""")
 
 
 def point(x: str | Column, y: str | Column) -> Column:

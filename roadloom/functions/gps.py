@@ -15,7 +15,7 @@ from roadloom.functions.columns import col
 
 _D = r"(-?\d{1,3}(?:\.\d+)?)"          # signed degrees, optional fraction
 _I = r"(-?\d{1,3})"                    # signed whole degrees
-_M = r"(\d{1,2}(?:\.\d+)?)"            # minutes or seconds with optional fraction
+_M = r"([0-5]?\d(?:\.\d+)?)"           # minutes or seconds below 60 with optional fraction
 _NS = r"([NSns])"
 _EW = r"([EWew])"
 _SEP = r"\s*,\s*"
@@ -45,13 +45,19 @@ def _halves(text: Column, name: str) -> tuple[Column, Column]:
         return n(1), n(2)
     if name == "hemisphere":
         return _signed(n(1), h(2), "S"), _signed(n(3), h(4), "W")
+    # minutes and seconds lead away from zero, whatever the sign of the degrees
+    def part(i: int, count: int) -> Column:
+        more = [n(i + k) / F.lit(60.0**k) for k in range(1, count)]
+        up = down = n(i)
+        for m in more:
+            up, down = up + m, down - m
+        return F.when(h(i).startswith("-"), down).otherwise(up)
+
     if name in ("dms", "worded"):
-        lat = n(1) + n(2) / F.lit(60.0) + n(3) / F.lit(3600.0)
-        lon = n(5) + n(6) / F.lit(60.0) + n(7) / F.lit(3600.0)
+        lat, lon = part(1, 3), part(5, 3)
         return _signed(lat, h(4), "S"), _signed(lon, h(8), "W")
     if name == "dm":
-        lat = n(1) + n(2) / F.lit(60.0)
-        lon = n(4) + n(5) / F.lit(60.0)
+        lat, lon = part(1, 2), part(4, 2)
         return _signed(lat, h(3), "S"), _signed(lon, h(6), "W")
     raise KeyError(name)
 
