@@ -16,7 +16,7 @@ operator keeps the window but splits hot keys first:
    hot key per task;
 5. per (key, bucket) of hot keys: row count and last row (small table); a
    window over it gives each bucket the rows before it and the last row of the
-   previous bucket; a broadcast join adds them back.
+   previous bucket; a join adds them back (Spark broadcasts it when it is small).
 
 The result equals the plain window exactly (tested against it).
 """
@@ -50,6 +50,9 @@ def _as_long(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         # floor keeps the map monotone (ties share a bucket)
         return F.floor(c).cast("long")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # the first seven bytes as a number
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
     raise TypeError(f"cannot split groups on an order column of type {dtype.simpleString()}")
 
 
@@ -98,8 +101,6 @@ def ordered_sequence(
         return plain(df)
 
     first = order[0]
-    base = df.withColumn(_ORD, _as_long(F.col(first), df.schema[first].dataType))
-
     # 1. hot keys (bounded: at most rows / max_group_rows of them).  One small
     # job (key columns only, partial aggregation) decides the plan: with no
     # hot key the plain window is already balanced.
@@ -113,8 +114,9 @@ def ordered_sequence(
     if hot.isEmpty():
         return plain(df)
     # 2. quantile bounds of the order value, hot keys only
+    base = df.withColumn(_ORD, _as_long(F.col(first), df.schema[first].dataType))
     fractions = [i / split for i in range(1, split)]
-    hot_rows = base.join(F.broadcast(hot), _same_keys(base, hot, keys, hk), "left_semi")
+    hot_rows = base.join(hot, _same_keys(base, hot, keys, hk), "left_semi")
     bk = _key_names(keys, "__rl_bk")
     bounds = (
         hot_rows.groupBy(*keys)
@@ -122,7 +124,7 @@ def ordered_sequence(
         .select(*[F.col(k).alias(b) for k, b in zip(keys, bk)], _BOUNDS)
     )
     # 3. bucket per row
-    bucketed = base.join(F.broadcast(bounds), _same_keys(base, bounds, keys, bk), "left")
+    bucketed = base.join(bounds, _same_keys(base, bounds, keys, bk), "left")
     bucketed = bucketed.withColumn(
         _BKT,
         F.when(
@@ -152,7 +154,7 @@ def ordered_sequence(
         F.lag("__rl_last", 1).over(wk).alias("__rl_prev"),
     )
     cond = _same_keys(local, carry, keys, fk) & (local[_BKT] == carry["__rl_fb"])
-    joined = local.join(F.broadcast(carry), cond, "left")
+    joined = local.join(carry, cond, "left")
     out_cols = [F.col(c) for c in src_cols]
     if row_number:
         out_cols.append((F.col("__rl_rn") + F.coalesce(F.col("__rl_off"), F.lit(0))).alias(row_number))

@@ -70,6 +70,9 @@ def checkpoint_dir(spark: SparkSession, fallback_base: str | None = None) -> str
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = fallback_base or tempfile.gettempdir()
     path = tempfile.mkdtemp(prefix="roadloom-ckpt-", dir=base)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -8,8 +8,6 @@ column so no single connection pulls the whole table.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,8 +20,10 @@ def read_table(spark: SparkSession, name: str, base: str | None = None, fmt: str
     """
     if base is None:
         return spark.table(name)
-    for candidate in (os.path.join(base, f"{name}.{fmt}"), os.path.join(base, name)):
-        if os.path.exists(candidate) or "://" in base:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for candidate in (f"{base.rstrip('/')}/{name}.{fmt}", f"{base.rstrip('/')}/{name}"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(candidate)
+        if path.getFileSystem(conf).exists(path):
             return spark.read.format(fmt).load(candidate)
     raise FileNotFoundError(f"table {name!r} not found under {base!r}")
 
