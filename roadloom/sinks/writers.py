@@ -43,21 +43,46 @@ def write_json_lines(df: DataFrame, path: str, *, mode: str = "overwrite") -> No
 
 
 def write_versioned(df: DataFrame, base: str, *, compression: str = "gzip") -> str:
-    """Write ``df`` to a new version directory, then point ``_CURRENT`` at it."""
+    """Write ``df`` to a new version directory, then add a pointer to it.
+
+    Pointers are small numbered folders and none is overwritten: the newest complete one counts, so a
+    failure at any moment leaves the previous snapshot current.
+    """
     spark = df.sparkSession
     version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     target = f"{base.rstrip('/')}/v={version}"
     write_snapshot(df, target, compression=compression)
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{base.rstrip('/')}/_CURRENT"
-    )
+    number = max([n for n, _ in _pointers(spark, base)], default=0) + 1
+    spark.createDataFrame([(target,)], "path string").coalesce(1).write.text(
+        f"{base.rstrip('/')}/{POINTERS}/{number:09d}-{uuid.uuid4().hex[:8]}")
     return target
 
 
+POINTERS = "_pointers"
+
+
+def _pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """(number, path) of all complete pointers, newest last."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{POINTERS}")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    done = [s.getPath() for s in fs.listStatus(root)
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    return sorted((int(p.getName().split("-")[0]), p.toString()) for p in done)
+
+
+def has_current(spark: SparkSession, base: str) -> bool:
+    """True when a snapshot was published."""
+    return bool(_pointers(spark, base))
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """Read the version ``_CURRENT`` points at."""
-    target = spark.read.text(f"{base.rstrip('/')}/_CURRENT").first()["value"]
-    return spark.read.parquet(target)
+    """Read the version that the newest complete pointer names."""
+    found = _pointers(spark, base)
+    if not found:
+        raise FileNotFoundError(f"no snapshot under {base!r}")
+    return spark.read.parquet(spark.read.text(found[-1][1]).first()["value"])
 
 
 def append_table(
@@ -71,10 +96,12 @@ def append_table(
     """Append several frames to a table (K5, U3) and report the load (K6).
 
     Rows missing a ``required`` column go to ``rejects`` (with a reason)
-    instead of the table.  Counts come from ``Observation`` metrics collected
+    instead of the table; ``required`` without ``rejects`` is an error, as rows would be lost.  Counts come from ``Observation`` metrics collected
     while writing (no second pass over the data); the returned dict has rows
     written and rows rejected.
     """
+    if required and not rejects:
+        raise ValueError("required columns need a rejects path")
     union = dfs[0]
     for d in dfs[1:]:
         union = union.unionByName(d, allowMissingColumns=True)

@@ -1,5 +1,6 @@
 """Writers round-trip through files in a scratch folder."""
 
+import tempfile
 import os
 
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ def test_bucketed_tables_join_without_shuffle(spark):
 def test_append_to_catalog_table_and_audit(spark):
     a = spark.createDataFrame([(1, "x")], "id int, name string")
     b = spark.createDataFrame([(2, "y"), (3, None)], "id int, name string")
-    stats = append_table([a, b], "loads_t", required=["id"], as_table=True)
+    stats = append_table([a, b], "loads_t", required=["id"], rejects=tempfile.mkdtemp() + "/rejects", as_table=True)
     stats2 = append_table([a], "loads_t", as_table=True)
     assert stats == {"rows_written": 3, "rows_rejected": 0} and stats2["rows_written"] == 1
     assert audit_load(spark, "loads_t", 4, as_table=True)
