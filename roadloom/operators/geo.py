@@ -79,6 +79,13 @@ def within_radius(
     return df.select(*keep, d.alias("distance")).where(F.col("distance") <= r)
 
 
+def nearest_per_id(df: DataFrame, id_col: str = "id", distance_col: str = "distance") -> DataFrame:
+    """The row of smallest distance per id (rank 1), as an aggregate."""
+    rest = [c for c in df.columns if c not in (id_col, distance_col)]
+    best = df.groupBy(id_col).agg(F.min(F.struct(distance_col, *rest)).alias("__rl_b"))
+    return best.select(*[F.col(c) if c == id_col else F.col("__rl_b").getField(c).alias(c) for c in df.columns])
+
+
 _OFFSETS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
 DEFAULT_MAX_CANDIDATES = 4096
@@ -89,7 +96,9 @@ def _offsets() -> Column:
 
 
 def _cells(df: DataFrame, x: str, y: str, size: float, cx: str = "__cx", cy: str = "__cy") -> DataFrame:
-    return df.withColumns({cx: F.floor(F.col(x) / F.lit(size)), cy: F.floor(F.col(y) / F.lit(size))})
+    # a little larger than the reach, so that rounding of x / size can't put a pair two cells apart
+    size = F.lit(size * (1 + 1e-9))
+    return df.withColumns({cx: F.floor(F.col(x) / size), cy: F.floor(F.col(y) / size)})
 
 
 def _spread(sites: DataFrame, size: float) -> DataFrame:
@@ -178,6 +187,9 @@ def nearest_within(
         F.col(site_y).cast("double").alias("site_y"),
         (F.col(site_radius).cast("double") if site_radius else F.lit(cell)).alias("__sr"),
     )
+    if site_radius:
+        s = s.withColumn("__sr", F.when(F.col("__sr") > F.lit(cell), F.raise_error(F.lit(
+            f"a site's radius is larger than radius={cell:g}"))).otherwise(F.col("__sr")))
     raw_sites = s
     # Sites at the same position (and radius): only the k smallest ids can
     # win, so at most k per position are kept (a pile of co-located sites
