@@ -218,6 +218,18 @@ def event_gaps_days(
     return seq.withColumn("days_since_prev_event", days_between("prev_event_date", ts))
 
 
+def merge_event_profile(stored: DataFrame, history: DataFrame, window: DataFrame, *, vehicle: str = "vehicle_id", **options) -> DataFrame:
+    """``stored`` monthly profiles with those of the vehicles that occur in ``window`` worked out again.
+
+    A month's figures need all its events and the gap before the first one, so vehicles with new events are
+    profiled from ``history``; all others keep their rows.  ``options`` as for `monthly_event_profile`.
+    """
+    touched = window.select(F.col(vehicle).alias("__rl_k")).distinct()
+    again = history.join(touched, F.col(vehicle).eqNullSafe(F.col("__rl_k")), "left_semi")
+    kept = stored.join(touched, F.col(vehicle).eqNullSafe(F.col("__rl_k")), "left_anti")
+    return kept.unionByName(monthly_event_profile(again, vehicle=vehicle, **options).select(*stored.columns))
+
+
 def monthly_event_profile(
     df: DataFrame,
     *,

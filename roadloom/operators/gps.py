@@ -55,6 +55,14 @@ def validate_gps(df: DataFrame, column: str = "gps_coordinates") -> DataFrame:
     return df.withColumn("gps_reason", reason)
 
 
+def accepted_positions(df: DataFrame, column: str = "gps_coordinates") -> DataFrame:
+    """``gps_reason`` of positions in any notation that `normalize_gps` or `validate_gps` accepts."""
+    strict_reason = validate_gps(df, column).withColumnRenamed("gps_reason", "__rl_strict")
+    both = normalize_gps(strict_reason, column)
+    reason = F.when(F.col("__rl_strict") == F.lit(ACCEPTED), F.lit(ACCEPTED)).otherwise(F.col("gps_reason"))
+    return both.withColumn("gps_reason", reason).select(*df.columns, "gps_reason")
+
+
 def split_rejects(df: DataFrame, reason_col: str = "gps_reason") -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with their reason) from one tagged frame.
 

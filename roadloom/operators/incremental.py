@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,18 +74,37 @@ def watermark_changed(old: DataFrame, new: DataFrame, ts_col: str) -> bool:
     return high_watermark(old, ts_col) != high_watermark(new, ts_col)
 
 
+def rows_changed(old: DataFrame, new: DataFrame) -> bool:
+    """True when ``new`` has a row that ``old`` does not have in exactly this form."""
+    return not new.select(*old.columns).subtract(old).isEmpty()
+
+
 def upsert(existing: DataFrame, delta: DataFrame, keys: list[str], *, ts_col: str,
            tiebreak: str | None = None) -> DataFrame:
-    """Existing rows whose key is not in the delta, plus the newest delta row per key.
+    """One row per key: the newest of the existing row and the delta's rows.
 
     The delta is reduced to one row per key with a partial aggregation; the
-    existing snapshot is only anti-joined on the key (broadcast when the
-    delta's keys are small, as usual), never re-aggregated.
+    existing snapshot is only joined on the key (broadcast when the delta's
+    keys are small, as usual), never re-aggregated.  A stored row that is newer
+    than the delta's stays; at equal times the delta wins.  NULL keys are a key
+    like any other.
     """
     latest = dedupe_latest(delta, keys, ts=ts_col, tiebreak=tiebreak, columns=existing.columns)
     latest = latest.select(*existing.columns)
-    kept = existing.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(latest)
+
+    def others(df: DataFrame) -> tuple[DataFrame, Column]:
+        side = df.select(*[F.col(k).alias(f"__rl_k{i}") for i, k in enumerate(keys)], F.col(ts_col).alias("__rl_ts"))
+        cond = None
+        for i, k in enumerate(keys):
+            c = F.col(k).eqNullSafe(F.col(f"__rl_k{i}"))
+            cond = c if cond is None else cond & c
+        return side, cond
+
+    side, same = others(latest)
+    kept = existing.join(side, same & F.coalesce(F.col("__rl_ts") >= F.col(ts_col), F.lit(True)), "left_anti")
+    side, same = others(existing)
+    fresh = latest.join(side, same & (F.col("__rl_ts") > F.col(ts_col)), "left_anti")
+    return kept.unionByName(fresh)
 
 
 def apply_delta(existing: DataFrame, source: DataFrame, keys: list[str], ts_col: str,

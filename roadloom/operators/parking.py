@@ -26,6 +26,13 @@ def window_filter(ts: str, as_of: str | dt.datetime, lookback: dt.timedelta, clo
     return lower & upper
 
 
+def merge_occupancy(stored: DataFrame, delta: DataFrame, area: str = "area_id") -> DataFrame:
+    """``stored`` occupancy with the areas of ``delta`` replaced; areas without new rows keep their last figures."""
+    side = delta.select(F.col(area).alias("__rl_k"))
+    kept = stored.join(side, F.col(area).eqNullSafe(F.col("__rl_k")), "left_anti")
+    return kept.unionByName(delta.select(*stored.columns))
+
+
 def parking_occupancy(
     df: DataFrame,
     as_of: str | dt.datetime,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions.columns import instant_to_utc_ntz, lit_ts, mean, order_columns, parse_iso_utc
@@ -68,6 +68,53 @@ def trip_summary(
     return fl.join(facts, trip, "inner")
 
 
+def merge_trips(
+    stored: DataFrame,
+    points: DataFrame,
+    facts: DataFrame,
+    since,
+    *,
+    trip: str = "vehicle_trip_id",
+    trips_key: str = "id",
+    ts: str = "created_on",
+    tiebreak: str | list[str] | None = None,
+    columns: list[str] | None = None,
+    trips_since_col: str | None = None,
+) -> DataFrame:
+    """``stored`` trip summaries brought up to date with the points after ``since``.
+
+    ``since`` is the newest point that ``stored`` has taken in.  A trip that is stored keeps its start and gets
+    the end of its new points; its facts follow the facts table where that still has the trip.  A new trip is
+    added with both ends.  The result is what `trip_summary` gives over all points.  ``trips_since_col`` limits
+    the facts that are read to rows after the mark (stored trips then keep their facts).
+    """
+    if trips_since_col and since is not None:
+        facts = facts.where(F.col(trips_since_col) > lit_ts(since))
+    if since is not None:
+        points = points.where(F.col(ts) > lit_ts(since))
+    window = trip_first_last(points, trip=trip, ts=ts, tiebreak=tiebreak, columns=columns)
+    fact_cols = [c for c in facts.columns if c != trips_key]
+    facts = facts.select(F.col(trips_key).alias("__rl_t"), F.struct(*fact_cols).alias("__rl_facts"))
+    new = window.withColumnRenamed(trip, "__rl_w")
+    ends = [c for c in window.columns if c.startswith("end_")]
+    ends_of = new.select("__rl_w", F.struct(*ends).alias("__rl_ends"))
+    out = (stored.join(ends_of, F.col(trip) == F.col("__rl_w"), "left")
+           .join(facts, F.col("__rl_w") == F.col("__rl_t"), "left"))
+
+    def current(c: str) -> Column:
+        if c in ends:
+            return F.when(F.col("__rl_ends").isNotNull(), F.col("__rl_ends").getField(c)).otherwise(F.col(c))
+        if c in fact_cols:
+            return F.when(F.col("__rl_facts").isNotNull(), F.col("__rl_facts").getField(c)).otherwise(F.col(c))
+        return F.col(c)
+
+    known = out.select(*[current(c).alias(c) for c in stored.columns])
+    fresh = (window.join(stored.select(F.col(trip).alias("__rl_s")), F.col(trip) == F.col("__rl_s"), "left_anti")
+             .join(facts, F.col(trip) == F.col("__rl_t")))
+    fresh = fresh.select(*[F.col("__rl_facts").getField(c).alias(c) if c in fact_cols else F.col(c) for c in stored.columns])
+    return known.unionByName(fresh)
+
+
 def distance_by_year(
     df: DataFrame,
     *,
@@ -157,10 +204,9 @@ def run_fleet_pipeline(
 
     ``year`` comes from the timestamp (ISO text or a timestamp column).
     """
-    from roadloom.operators.gps import ACCEPTED, validate_gps
+    from roadloom.operators.gps import accepted_positions, split_rejects
 
-    checked = validate_gps(tracks, gps_col)
-    good = checked.where(F.col("gps_reason") == F.lit(ACCEPTED)).drop("gps_reason")
+    good, _ = split_rejects(accepted_positions(tracks, gps_col))
     kind = tracks.schema[ts].dataType.simpleString()
     if kind == "string":
         ts_col = parse_iso_utc(ts)
@@ -172,6 +218,13 @@ def run_fleet_pipeline(
     return distance_by_year(with_year, vehicle=vehicle, year="year", distance=distance, unit=unit)
 
 
+def fleet_rejects(tracks: DataFrame, *, gps_col: str = "gps_coordinates") -> DataFrame:
+    """The tracks that `run_fleet_pipeline` leaves out for their position, with ``gps_reason``."""
+    from roadloom.operators.gps import accepted_positions, split_rejects
+
+    return split_rejects(accepted_positions(tracks, gps_col))[1]
+
+
 def clean_positions(
     df: DataFrame,
     *,

@@ -15,6 +15,24 @@ IN_WARRANTY = "in warranty"
 NOT_AVAILABLE = "N/A"
 
 
+def merge_warranty(stored: DataFrame, delta: DataFrame, as_of: str | dt.date, *, ids: list[str] | None = None,
+                   order: bool = False) -> DataFrame:
+    """``stored`` warranty rows with those of ``delta`` (both as `warranty_status` gives them) put in by id.
+
+    Status, age and the totals per status are worked out again over all rows at ``as_of``, so totals never mix a
+    window with the history.
+    """
+    ids = ids or ["motorcycle_id"]
+    cond = None
+    for i, k in enumerate(ids):
+        c = F.col(k).eqNullSafe(F.col(f"__rl_k{i}"))
+        cond = c if cond is None else cond & c
+    side = delta.select(*[F.col(k).alias(f"__rl_k{i}") for i, k in enumerate(ids)])
+    base = [*ids, "purchase_date", "warranty_expiration_date"]
+    rows = stored.join(side, cond, "left_anti").select(*base).unionByName(delta.select(*base))
+    return warranty_status(rows, as_of, ids=ids, expiry_date="warranty_expiration_date", order=order)
+
+
 def warranty_status(
     df: DataFrame,
     as_of: str | dt.date,

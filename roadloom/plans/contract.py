@@ -444,6 +444,47 @@ def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.apply_delta(snapshot, _order_changes(orders), ["o_orderkey"], "o_orderdate", mode="upsert")
 
 
+def trips_delta_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-6: summaries of the points up to the mark, brought up to date with those after it."""
+    ev = _events(spark, sf_dir)
+    facts = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    options = {"trip": "user_id", "trips_key": "c_custkey", "ts": "ts", "tiebreak": "event_id", "columns": ["value"]}
+    stored = trips.trip_summary(ev.where(F.col("ts") <= F.lit("2024-01-10").cast("timestamp_ntz")), facts, **options)
+    return trips.merge_trips(stored, ev, facts, "2024-01-10 00:00:00", **options)
+
+
+def parking_delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-3: one year's occupancy, with the areas of the next quarter replaced."""
+    def occupancy(as_of: str, days: int) -> DataFrame:
+        return parking.parking_occupancy(
+            _t(spark, sf_dir, "lineitem"), as_of, lookback=dt.timedelta(days=days), area="l_suppkey", status="l_returnflag",
+            ts="l_shipdate", occupied="A", available="N", reserved="R", order=False).withColumnRenamed("l_suppkey", "area_id")
+
+    return parking.merge_occupancy(occupancy("1999-01-01 00:00:00", 365), occupancy("1999-01-03 00:00:00", 1))
+
+
+def event_profile_delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-4: profiles of the events up to the mark, with the vehicles of later events profiled again."""
+    ev = _events(spark, sf_dir)
+    options = {"vehicle": "user_id", "ts": "ts", "tiebreak": "event_id", "event_type": "event_type",
+               "location": F.from_json("props", "k INT").getField("k"), "maintenance": "error"}
+    mark = F.lit("2024-01-10").cast("timestamp_ntz")
+    stored = events.monthly_event_profile(ev.where(F.col("ts") <= mark), **options)
+    return events.merge_event_profile(stored, ev, ev.where(F.col("ts") > mark), **options)
+
+
+def warranty_delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-2: warranty rows of early orders as of an earlier day, with those of later orders put in."""
+    ids = ["l_orderkey", "l_linenumber"]
+    li = _t(spark, sf_dir, "lineitem").select(*ids, "l_shipdate")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    items = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+    late = F.col("o_orderdate") >= F.lit(SNAPSHOT_CUT).cast("timestamp_ntz")
+    options = {"ids": ids, "purchase_date": "o_orderdate", "expiry_date": "l_shipdate", "order": False}
+    stored = vehicles.warranty_status(items.where(~late | late.isNull()), "1998-06-01", **options)
+    return vehicles.merge_warranty(stored, vehicles.warranty_status(items.where(late), "1999-01-01", **options), "1999-01-01", ids=ids)
+
+
 def key_set_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order keys added and removed between two overlapping slices."""
     orders = _t(spark, sf_dir, "orders")
@@ -484,6 +525,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_report": null_report,
     "delta_new_rows": delta_new_rows,
     "delta_upsert": delta_upsert,
+    "trips_delta_merge": trips_delta_merge,
+    "parking_delta_upsert": parking_delta_upsert,
+    "event_profile_delta_upsert": event_profile_delta_upsert,
+    "warranty_delta_upsert": warranty_delta_upsert,
     "key_set_changes": key_set_changes,
 }
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from roadloom.operators import bookings, customers, events, geo, parking, vehicles
 from roadloom.operators.parking import window_filter
-from roadloom.plans.pipelines import delta_load, refresh_if_changed, trips_delta
+from roadloom.plans.pipelines import delta_load, merge_load, refresh_if_changed, trips_delta
 from roadloom.sinks import write_snapshot, write_versioned
 
 Reader = Callable[[str], DataFrame]
@@ -37,6 +37,7 @@ def _day_window(df: DataFrame, ts: str, as_of) -> DataFrame:
 def customers_full_load(spark: SparkSession, read: Reader, out: str) -> dict:
     """Live and deleted customers with their profiles, flagged, published."""
     df = customers.customers_full(read("user"), read("profile"), read("deleted_user"), read("deleted_profile"))
+    df = df.withColumnRenamed("card_status", "credit_card_status")
     return {"customers": write_versioned(df, _path(out, "customers"))}
 
 
@@ -72,7 +73,7 @@ def bookings_delta_load(spark: SparkSession, read: Reader, out: str, *,
 def trips_full_load(spark: SparkSession, read: Reader, out: str) -> dict:
     """Geometry groups, sites within their radius, first event and day gaps."""
     geometry = geo.geometry_groups(geo.geometry_features(read("raw_data")))
-    sites = geo.within_radius(read("sites"))
+    sites = geo.nearest_per_id(geo.within_radius(read("sites")))
     ev = read("events")
     written = {}
     for name, df in (("trip_geometry", geometry), ("trip_sites", sites),
@@ -82,8 +83,9 @@ def trips_full_load(spark: SparkSession, read: Reader, out: str) -> dict:
 
 
 def trips_delta_load(spark: SparkSession, read: Reader, out: str) -> dict:
-    """First/last point and facts of trips after the stored mark, upserted."""
-    return trips_delta(spark, _path(out, "trips"), read("vehicle_trip_route_point"), read("vehicle_trip"))
+    """First/last point and facts of trips, brought up to date with the points after the stored mark."""
+    return trips_delta(spark, _path(out, "trips"), read("vehicle_trip_route_point"), read("vehicle_trip"),
+                       names={"start_created_on": "start_trip_date", "end_created_on": "end_trip_date"})
 
 
 def parking_full_load(spark: SparkSession, read: Reader, out: str) -> dict:
@@ -91,11 +93,10 @@ def parking_full_load(spark: SparkSession, read: Reader, out: str) -> dict:
 
 
 def parking_delta_load(spark: SparkSession, read: Reader, out: str, *, as_of) -> dict:
-    """Yesterday-to-today occupancy per area; republished when the number of
-    areas changed."""
-    occ = parking.parking_occupancy(read("parking_area"), as_of)
-    return delta_load(spark, _path(out, "parking_occupancy"), occ, ["area_id"], "area_id",
-                      mode="refresh", change_test="key_count")
+    """Yesterday-to-today occupancy per area, put into the stored areas; published when a row changed."""
+    occ = parking.parking_occupancy(read("parking_area"), as_of, order=False)
+    return merge_load(spark, _path(out, "parking_occupancy"), lambda: occ,
+                      lambda stored: parking.merge_occupancy(stored, occ))
 
 
 def vehicle_events_full_load(spark: SparkSession, read: Reader, out: str) -> dict:
@@ -104,10 +105,14 @@ def vehicle_events_full_load(spark: SparkSession, read: Reader, out: str) -> dic
 
 
 def vehicle_events_delta_load(spark: SparkSession, read: Reader, out: str, *, as_of) -> dict:
-    """Monthly profile of the window's events, republished when the newest event moved."""
-    window = _day_window(read("vehicle_events"), "created_on", as_of)
-    return refresh_if_changed(spark, _path(out, "vehicle_event_profile"), window, "event_time",
-                              lambda w: events.monthly_event_profile(w))
+    """Monthly profiles of the vehicles with events in the window, put into the stored ones."""
+    history = read("vehicle_events")
+    window = _day_window(history, "created_on", as_of)
+    seen = window.select(F.col("vehicle_id").alias("__rl_v")).distinct()
+    first = lambda: events.monthly_event_profile(
+        history.join(seen, F.col("vehicle_id").eqNullSafe(F.col("__rl_v")), "left_semi"))
+    return merge_load(spark, _path(out, "vehicle_event_profile"), first,
+                      lambda stored: events.merge_event_profile(stored, history, window))
 
 
 def vehicles_full_load(spark: SparkSession, read: Reader, out: str, *, as_of) -> dict:
@@ -116,8 +121,8 @@ def vehicles_full_load(spark: SparkSession, read: Reader, out: str, *, as_of) ->
 
 
 def vehicles_delta_load(spark: SparkSession, read: Reader, out: str, *, as_of) -> dict:
-    """Warranty rows of the window's vehicles, upserted when new vehicles appear."""
+    """Warranty rows of the window's vehicles, put into the stored ones; totals count all of them."""
     window = _day_window(read("motorcycles"), "created_on", as_of)
     status = vehicles.warranty_status(window, as_of, order=False)
-    return delta_load(spark, _path(out, "vehicles"), status, ["motorcycle_id"], "purchase_date",
-                      mode="upsert", change_test="key_set")
+    return merge_load(spark, _path(out, "vehicles"), lambda: status,
+                      lambda stored: vehicles.merge_warranty(stored, status, as_of))

@@ -402,3 +402,21 @@ SELECT o_orderkey, 'added' AS change FROM (SELECT o_orderkey FROM n EXCEPT SELEC
 UNION ALL
 SELECT o_orderkey, 'removed' AS change FROM (SELECT o_orderkey FROM o EXCEPT SELECT o_orderkey FROM n) r
 """
+
+# The delta merges equal a computation over the full history.
+ORACLE_SQL["trips_delta_merge"] = f"""
+SELECT fl.*, c.c_name, c.c_mktsegment, c.c_acctbal
+FROM ({_FIRST_LAST.format(where="", start_extra="", end_extra="")}) fl
+JOIN customer c ON fl.user_id = c.c_custkey
+"""
+
+_OCCUPANCY = ORACLE_SQL["parking_occupancy"]
+_LATER = (_OCCUPANCY.replace("1999-01-01 00:00:00", "1999-01-03 00:00:00").replace("1998-01-01 00:00:00", "1999-01-02 00:00:00"))
+ORACLE_SQL["parking_delta_upsert"] = f"""
+SELECT * FROM ({_LATER}) b
+UNION ALL
+SELECT * FROM ({_OCCUPANCY}) a WHERE area_id NOT IN (SELECT area_id FROM ({_LATER}) l)
+"""
+
+ORACLE_SQL["event_profile_delta_upsert"] = ORACLE_SQL["monthly_event_profile"]
+ORACLE_SQL["warranty_delta_upsert"] = ORACLE_SQL["warranty_status"]

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadloom.operators import geo, incremental, nested, trips
-from roadloom.sinks import append_table, read_current, write_json_lines, write_versioned
+from roadloom.operators.events import dedupe_latest
+from roadloom.sinks import append_table, has_current, read_current, write_json_lines, write_versioned
 from roadloom.sources import read_customer_envelopes, read_geojson, read_json_lines
 from roadloom.sources.schemas import VEHICLE_TRACK
 
@@ -44,9 +45,9 @@ def delta_load(
     areas) or ``always``.  ``mode``: ``refresh`` or ``upsert`` (see
     ``incremental.apply_delta``).  Returns what happened.
     """
-    pointer = f"{snapshot_base.rstrip('/')}/_CURRENT"
-    if not _exists(spark, pointer):
-        return {"changed": True, "initial": True, "version": write_versioned(source, snapshot_base)}
+    if not has_current(spark, snapshot_base):
+        first = dedupe_latest(source, keys, ts=ts_col).select(*source.columns) if mode == "upsert" else source
+        return {"changed": True, "initial": True, "version": write_versioned(first, snapshot_base)}
     existing = read_current(spark, snapshot_base)
     if change_test == "watermark":
         changed = incremental.watermark_changed(existing, source, ts_col)
@@ -64,6 +65,17 @@ def delta_load(
     return {"changed": True, "initial": False, "version": write_versioned(merged, snapshot_base)}
 
 
+def merge_load(spark: SparkSession, snapshot_base: str, initial, merge) -> dict:
+    """Publish ``initial()`` first and ``merge(stored)`` after that, when it differs from what is stored."""
+    if not has_current(spark, snapshot_base):
+        return {"changed": True, "initial": True, "version": write_versioned(initial(), snapshot_base)}
+    stored = read_current(spark, snapshot_base)
+    merged = merge(stored)
+    if not incremental.rows_changed(stored, merged) and not incremental.rows_changed(merged, stored):
+        return {"changed": False, "initial": False, "version": None}
+    return {"changed": True, "initial": False, "version": write_versioned(merged.select(*stored.columns), snapshot_base)}
+
+
 def refresh_if_changed(
     spark: SparkSession,
     snapshot_base: str,
@@ -99,15 +111,27 @@ def trips_delta(
     ts: str = "created_on",
     tiebreak: str | None = None,
     columns: list[str] | None = None,
+    trips_since_col: str | None = None,
+    names: dict[str, str] | None = None,
 ) -> dict:
-    """Trips after the stored mark (``start_<ts>`` of the snapshot), upserted."""
-    start_col = f"start_{ts}"
-    since = None
-    if _exists(spark, f"{snapshot_base.rstrip('/')}/_CURRENT"):
-        since = incremental.high_watermark(read_current(spark, snapshot_base), start_col)
-    summary = trips.trip_summary(points, trip_facts, since=since, trip=trip, trips_key=trips_key,
-                                 ts=ts, tiebreak=tiebreak, columns=columns)
-    return delta_load(spark, snapshot_base, summary, [trip], start_col, mode="upsert", change_test="watermark")
+    """Trip summaries kept up to date from the points after the stored mark.
+
+    The mark is the newest point taken in (the largest ``end_<ts>`` of the snapshot), so a run without new
+    points changes nothing.  ``names`` maps columns of the summary to those of the snapshot.
+    """
+    names = names or {}
+    back = {v: k for k, v in names.items()}
+    options = {"trip": trip, "trips_key": trips_key, "ts": ts, "tiebreak": tiebreak, "columns": columns}
+
+    def named(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+        return df.withColumnsRenamed(mapping) if mapping else df
+
+    def merge(stored: DataFrame) -> DataFrame:
+        old = named(stored, back)
+        since = incremental.high_watermark(old, f"end_{ts}")
+        return named(trips.merge_trips(old, points, trip_facts, since, trips_since_col=trips_since_col, **options), names)
+
+    return merge_load(spark, snapshot_base, lambda: named(trips.trip_summary(points, trip_facts, **options), names), merge)
 
 
 def json_ingestion(spark: SparkSession, customers_path: str, vehicles_path: str, out_dir: str,
@@ -125,7 +149,9 @@ def run_etl(spark: SparkSession, tracks_path: str, target: str, rejects: str) ->
     """Tracks (JSON lines) -> fleet pipeline -> appended table with rejects."""
     tracks = read_json_lines(spark, tracks_path, VEHICLE_TRACK)
     processed = trips.run_fleet_pipeline(tracks)
-    return append_table([processed], target, required=["vehicle_id", "year"], rejects=rejects)
+    stats = append_table([processed], target, required=["vehicle_id", "year"], rejects=f"{rejects.rstrip('/')}/rows")
+    bad = append_table([trips.fleet_rejects(tracks)], f"{rejects.rstrip('/')}/positions")
+    return {"rows_written": stats["rows_written"], "rows_rejected": stats["rows_rejected"] + bad["rows_written"]}
 
 
 
@@ -145,13 +171,13 @@ def upsert_partitions(
 
     Touched partitions are those of the delta's rows plus those already
     holding a delta key (found from the key and partition columns only, so a
-    record that moves to another partition leaves no stale copy).  The merged
+    record that moves to another partition leaves no stale copy, and a
+    partition that becomes empty is removed).  A NULL partition is one like any other.  The merged
     partitions are checkpointed to the cluster's checkpoint folder first:
     Spark will not overwrite files a job is reading.  Untouched partitions are
-    neither read nor written.  ``partition_value`` computes the partition from
+    not written.  A stored row newer than the delta's stays.  ``partition_value`` computes the partition from
     a row (default: year of ``ts_col``).
     """
-    from roadloom.operators.events import dedupe_latest
     from roadloom.session import checkpoint_dir
 
     part = partition_value if partition_value is not None else F.year(F.col(ts_col))
@@ -160,13 +186,30 @@ def upsert_partitions(
         latest.write.mode("overwrite").option("compression", compression).partitionBy(partition_col).parquet(path)
         return {"initial": True, "partitions": None}
     existing = spark.read.parquet(path)
-    delta_keys = latest.select(*keys).distinct()
-    holding = existing.select(*keys, partition_col).join(delta_keys, keys, "left_semi").select(partition_col)
-    touched = [r[0] for r in latest.select(partition_col).union(holding).distinct().collect()]
+    columns = existing.columns
     checkpoint_dir(spark)
-    current = existing.where(F.col(partition_col).isin(touched))
-    kept = current.join(delta_keys, keys, "left_anti")
-    merged = kept.unionByName(latest.select(*existing.columns)).checkpoint(eager=True)
+
+    def among(values: DataFrame):
+        return F.col(partition_col).eqNullSafe(values["__rl_p"])
+
+    side = latest.select(*[F.col(k).alias(f"__rl_k{i}") for i, k in enumerate(keys)])
+    same = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"__rl_k{i}"))
+        same = c if same is None else same & c
+    holding = existing.select(*keys, partition_col).join(side, same, "left_semi").select(F.col(partition_col).alias("__rl_p"))
+    touched = (latest.select(F.col(partition_col).alias("__rl_p")).union(holding).distinct()).checkpoint(eager=True)
+    current = existing.join(touched, among(touched), "left_semi")
+    merged = incremental.upsert(current, latest.select(*columns), keys, ts_col=ts_col).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("compression", compression)
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return {"initial": False, "partitions": sorted(touched)}
+    # what a moved record left empty is not overwritten by the write above
+    left = merged.select(F.col(partition_col).alias("__rl_m")).distinct()
+    emptied = touched.join(left, F.col("__rl_p").eqNullSafe(F.col("__rl_m")), "left_anti")
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for (value,) in emptied.select(F.col("__rl_p").cast("string")).toLocalIterator():
+        folder = names.DEFAULT_PARTITION_NAME() if value is None else names.escapePathName(value)
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={folder}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return {"initial": False, "partitions": sorted((r[0] for r in touched.toLocalIterator()), key=lambda v: (v is None, v))}

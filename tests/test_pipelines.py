@@ -63,7 +63,7 @@ def test_json_pipeline(spark, tmp_dir):
         "gps_coordinates string, vehicle_id string, time_stamp string, distance_traveled double")
     write_json_lines(tracks, os.path.join(tmp_dir, "tracks"))
     stats = run_etl(spark, os.path.join(tmp_dir, "tracks"), os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "rej"))
-    assert stats == {"rows_written": 1, "rows_rejected": 0}
+    assert stats == {"rows_written": 1, "rows_rejected": 1}
 
 
 def test_null_report_of_join_equals_joined_report(spark):
