@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Target of text bytes worked on at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,13 +86,27 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
         start = min(stop, n)
 
 
+def dense(texts: pa.Array) -> pa.Array:
+    """Texts as an array that starts at the start of its buffers, NULL as an empty text.
+
+    Some string functions of the library go wrong on slices; they get these.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(texts):
+        return pa.array([], pa.large_string())
+    at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = data.slice(int(at[0]), int(at[-1] - at[0])) if data is not None else pa.py_buffer(b"")
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(at - at[0])), data])
+
+
 def word_codes(texts: pa.Array, lower: str = "ascii") -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(codes, offsets, distinct words) of the white-space separated words of each text.
 
     ``codes[offsets[i]:offsets[i + 1]]`` are text i's words as places in the distinct words.  White space is
     space and ``\\t\\n\\v\\f\\r``; ``lower`` is "ascii" (A-Z only), "utf8" or "none".  NULL is an empty text.
     """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = dense(texts)
     if lower == "ascii":
         texts = pc.ascii_lower(texts)
     elif lower == "utf8":

@@ -101,8 +101,9 @@ def without_repeats(docs: DataFrame, carried=None, run_bytes: int = RUN_BYTES) -
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the texts of `without_repeats` and all other columns as they are."""
     others = [c for c in docs.columns if c != "text"]
-    out = without_repeats(docs, F.struct(*[F.col(f"`{c}`") for c in others]))
-    kept = out.select(*[F.decode("data", "UTF-8").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
+    plain = {c: f"c{i}" for i, c in enumerate(others)}  # any column name is fine
+    out = without_repeats(docs, F.struct(*[F.col(f"`{c}`").alias(p) for c, p in plain.items()]))
+    kept = out.select(*[F.decode("data", "UTF-8").alias("text") if c == "text" else F.col("row").getField(plain[c]).alias(c) for c in docs.columns])
     kept._source = out
     return kept
 

@@ -18,12 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import ship, slices, stable, table, word_codes
+from roadloom.llm.base import dense, ship, slices, stable, table, word_codes
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 #: Encoded words that a Python worker keeps; beyond it the store starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 
 #: How the vocabulary file's pre-tokenizer splits text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -92,7 +92,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i's ids are ids[offsets[i]:offsets[i + 1]]; NULL is an empty text."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = dense(texts)
         odd = pc.match_substring_regex(texts, "[^\\x00-\\x1b\\x20-\\x84\\x86-\\x{12f}\\x{131}-\\x{2ff}]")
         odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         usual = pc.if_else(odd, pa.scalar("", pa.large_string()), texts) if len(odd_at) else texts

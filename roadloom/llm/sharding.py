@@ -90,13 +90,13 @@ def uniform_shards(df: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
     most.  ``df`` is written to the checkpoint folder first, because partition sizes and rows must stay the
     same between the passes (also when an executor is lost).  Each row counts on its own: NULLs in any
     column, repeated rows and repeated ids need no care.  An empty ``df`` gives an empty result.  ``df`` must
-    not have columns of the two output names or starting with ``__``; other columns are carried along.
+    not have columns of the two output names; other columns are carried along.
     Driver memory: one number per input partition.
     """
     if {shard_col, slot_col} & set(df.columns):
         raise ValueError(f"df already has {shard_col} or {slot_col}")
-    spark = df.sparkSession
-    ship(spark)
+    ship(df.sparkSession)
+    names, df = df.columns, df.toDF(*[f"c{i}" for i in range(len(df.columns))])
     base = stable(df)
     n_parts = base.rdd.getNumPartitions()
     sizes = np.zeros(n_parts, dtype=np.int64)
@@ -134,7 +134,7 @@ def uniform_shards(df: DataFrame, n_shards: int = N_SHARDS, seed: int = SEED,
     return (dealt.withColumn("__rank", F.row_number().over(in_cell) - 1)
             .join(starts, (F.col(shard_col) == F.col("__s")) & (F.col("__cell") == F.col("__c")))
             .withColumn(slot_col, F.col("__start") + F.col("__rank"))
-            .select(*df.columns, shard_col, slot_col))
+            .select(*df.columns, shard_col, slot_col).toDF(*names, shard_col, slot_col))
 
 
 def op9_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
