@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadloom.llm import lattice
 from roadloom.llm.base import held_out, ship, slices, table, word_codes
@@ -18,7 +19,7 @@ from roadloom.llm.lattice import SPACE, piece_model_path
 #: Added to the count of every piece.
 SMOOTHING = 0.05
 #: Word scores that a Python worker keeps; beyond it the store starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 UNKNOWN = "und"
 #: The corpus pipeline keeps a document whose best language has at least this posterior probability.
 LEAST_SCORE = 0.5
@@ -169,7 +170,9 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SC
                 fine = (best < len(model.languages)) & (prob >= least_score)
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(fine)) for c in part.columns[:-1]], names=part.schema.names[:-1])
 
-    return docs.select("*", _lettered()).mapInArrow(keep, docs.schema)
+    plain = [f"c{i}" for i in range(width)]  # any column name is fine
+    schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(plain, docs.schema)])
+    return docs.select("*", _lettered()).toDF(*plain, "lettered").mapInArrow(keep, schema).toDF(*docs.columns)
 
 
 def op8_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 SPACE = "▁"
 HASH_STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Characters worked on at once.
-CHARS_AT_ONCE = 400_000
+CHARS_AT_ONCE = 150_000
 
 
 def piece_model_path() -> str:
