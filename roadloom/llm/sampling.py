@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadloom.llm import lattice
-from roadloom.llm.base import mix64, ship, slices, table
+from roadloom.llm.base import dense, mix64, ship, slices, table
 from roadloom.llm.lattice import SPACE, piece_model_path, ranges
 
 SAMPLES = 3
@@ -29,8 +29,8 @@ SEED = 7
 #: Exponent of a piece's probability: proportional to (merge rank + 2) ** -SHARPNESS.
 SHARPNESS = 1.0
 #: Blocks whose lattices a Python worker keeps; beyond it the store starts anew.
-KEPT_BLOCKS = 300_000
-SLICE = 2 << 20
+KEPT_BLOCKS = 250_000
+SLICE = 1 << 20
 MOST_EDGES = 16
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -80,7 +80,7 @@ class Blocks:
     def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.first, self.length, self.edge_from = Grown(np.int64), Grown(np.int64), Grown(np.int64)
-        self.back, self.piece, self.q, self.cum = Grown(np.int64), Grown(np.int64), Grown(np.float64), Grown(np.float64)
+        self.back, self.piece, self.q, self.cum = Grown(np.int32), Grown(np.int32), Grown(np.float64), Grown(np.float64)
         self.edge_from.add(np.zeros(1, dtype=np.int64))
 
     def rows(self, blocks: list[str]) -> np.ndarray:
@@ -300,7 +300,7 @@ def decode_bytes(path: str, ids: np.ndarray, off: np.ndarray) -> tuple[np.ndarra
 
 def blocks_of(store: Blocks, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(rows, offsets): the blocks of each text in order."""
-    texts = pc.replace_substring(texts, SPACE, " ")
+    texts = dense(pc.replace_substring(dense(texts), SPACE, " "))
     odd = pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")).to_numpy(zero_copy_only=False)
     lists = pc.split_pattern(texts, " ")
     off = lists.offsets.to_numpy().astype(np.int64)
@@ -363,10 +363,9 @@ def sampled(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | Non
             _STORES[where] = Blocks(path, sharpness)
         store = _STORES[where]
         for batch in batches:
-            text = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             ids = pc.fill_null(batch.column(0), -1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for low, high in slices(text, SLICE):
-                part = text.slice(low, high - low)
+            for low, high in slices(batch.column(1), SLICE):
+                part = dense(batch.column(1).slice(low, high - low))
                 keys = mix64(ids[low:high] * _A + np.uint64(seed))
                 rows, off = blocks_of(store, part)
                 paths, has, rest = sample_texts(store, rows, off, keys, k)
