@@ -54,11 +54,14 @@ class Corpus:
     """
 
     def __init__(self, docs: DataFrame, carried: Column, prints_per_byte: float) -> None:
+        """``prints_per_byte`` is about how many fingerprints a byte of text gives."""
         spark = docs.sparkSession
         data = F.col("text").cast("binary")
         total = docs.agg(F.sum(F.octet_length(data))).first()[0] or 0
         self.batches = max(1, -(-total // BATCH_BYTES))
         self.ranges = max(1, int(total * prints_per_byte / RANGE_PRINTS) + 1)
+        #: Leading bits of a fingerprint that tell nearly all different ones apart.
+        self.bits = min(64, total.bit_length() + 8)
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.frame = (docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.batches)).cast("int").alias("batch"),
                                   F.col("doc_id").cast("long").alias("id"), data.alias("data"), carried.alias("row"))

@@ -10,7 +10,9 @@ G-byte digit has the smallest hash.  Equal windows have equal anchors, so no rep
 * Pass 1 groups anchors by their first digit (G bytes) and keeps groups of several documents.
 * Pass 2 sorts those by the bytes that windows around the anchor can hold (D - G on either side).  Where all of
   them agree with a smaller document's, all windows around the anchor are repeated.
-* Pass 3 takes, in groups whose surroundings differ, the windows around the anchor one by one to depth D.
+* Pass 3 goes on with groups whose surroundings differ.  A window reaches at least (D - G) / 2 bytes beyond the
+  anchor's digit on one side, so a suffix stays only if the digit and that much on a side occur in several documents.
+* Pass 4 takes what is left window by window to depth D.
 
 Digits are compared by 64-bit hashes of the bytes.
 """
@@ -139,10 +141,12 @@ def without_repeated_windows(docs: DataFrame, carried=None, depth: int = DEPTH,
     """
     ship(docs.sparkSession)
     corpus = Corpus(docs, F.col("doc_id") if carried is None else carried, 2 / (depth - digit + 2))
+    # what the first two passes send is cut to the bits that matter; digits that only look alike fall out later
+    lead, some = np.uint64(64 - corpus.bits), np.uint64(16)
 
     def first_digits(batch, _):
         w = Windows(batch, depth, digit)
-        prints, _, several = first_owners(w.first, batch.ids[w.doc])
+        prints, _, several = first_owners(w.first >> lead << lead, batch.ids[w.doc])
         return [prints, several]
 
     def in_several(of, prints, several):
@@ -153,20 +157,22 @@ def without_repeated_windows(docs: DataFrame, carried=None, depth: int = DEPTH,
     def shared(batch, replies) -> Windows:
         w = Windows(batch, depth, digit)
         keys = np.sort(known(replies.get(1, []), 1)[0])
-        at = np.minimum(np.searchsorted(keys, w.first), max(0, len(keys) - 1))
-        w.only(keys[at] == w.first if len(keys) else np.zeros(len(w.at), dtype=bool))
+        first = w.first >> lead << lead
+        at = np.minimum(np.searchsorted(keys, first), max(0, len(keys) - 1))
+        w.only(keys[at] == first if len(keys) else np.zeros(len(w.at), dtype=bool))
         return w
 
     def surroundings(batch, replies):
         w = shared(batch, replies)
-        around, owner = w.around(), as_unsigned(batch.ids[w.doc])
-        order = np.lexsort((owner, around, w.first))
-        first, around, owner = w.first[order], around[order], owner[order]
+        first, around, owner = w.first >> lead << lead, w.around() >> some, as_unsigned(batch.ids[w.doc])
+        order = np.lexsort((owner, around, first))
+        first, around, owner = first[order], around[order], owner[order]
         new = np.ones(len(first), dtype=bool)
         new[1:] = (first[1:] != first[:-1]) | (around[1:] != around[:-1])
-        return [first[new], around[new], owner[new]]
+        last = np.append(np.flatnonzero(new)[1:], len(new)) - 1 if len(new) else np.zeros(0, dtype=np.int64)
+        return [first[new], around[new], owner[new], (owner[new] != owner[last]).astype(np.uint64)]
 
-    def owners_around(of, first, around, owner):
+    def owners_around(of, first, around, owner, several):
         order = np.lexsort((owner, around, first))
         f, a, o = first[order], around[order], owner[order]
         new_f = np.concatenate([[True], f[1:] != f[:-1]])
@@ -174,7 +180,8 @@ def without_repeated_windows(docs: DataFrame, carried=None, depth: int = DEPTH,
         least = o[np.flatnonzero(new)[np.cumsum(new) - 1]]
         group = np.cumsum(new_f) - 1
         differ = np.bincount(group, weights=new)[group] > 1
-        return order, [mix64(f * _K[41] + a), least, differ.astype(np.uint64)]
+        tell = differ | (least < o) | (several[order] > 0)
+        return order[tell], [mix64(f * _K[41] + a)[tell], least[tell], differ[tell].astype(np.uint64)]
 
     def placed(batch, replies):
         """(anchors, owner of the same surroundings, whether the digit has others too)."""
@@ -182,22 +189,53 @@ def without_repeated_windows(docs: DataFrame, carried=None, depth: int = DEPTH,
         order = np.argsort(keys)
         keys, owners, differ = keys[order], owners[order], differ[order]
         w = Windows(batch, depth, digit)
-        key = mix64(w.first * _K[41] + w.around()) if len(keys) else np.zeros(len(w.at), dtype=np.uint64)
+        key = mix64((w.first >> lead << lead) * _K[41] + (w.around() >> some)) if len(keys) else np.zeros(len(w.at), dtype=np.uint64)
         at = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
         hit = keys[at] == key if len(keys) else np.zeros(len(w.at), dtype=bool)
         w.only(hit)
         return w, owners[at[hit]] if len(keys) else owners, differ[at[hit]] > 0 if len(keys) else differ > 0
 
-    def single(w: Windows, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, documents) of all windows around the anchors ``mine``."""
+    half = -(-(depth - digit) // 2)
+
+    def one_sided(w: Windows, owner: np.ndarray, differ: np.ndarray):
+        """Anchors that own their surroundings in groups with others, and hashes of the digit with the bytes before
+        or after it; with whether the document has those bytes."""
+        off = w.batch.off
+        mine = np.flatnonzero((owner == as_unsigned(w.batch.ids[w.doc])) & differ)
+        at, doc = w.at[mine], w.doc[mine]
+        fits = at - half >= off[doc], at + digit + half <= off[doc + 1]
+        prints = [np.zeros(len(mine), dtype=np.uint64) for _ in fits]
+        for k, (ok, start) in enumerate(zip(fits, (at - half, at))):
+            prints[k][ok] = mix64(hash_at(w.words, start[ok], digit + half) + np.uint64(k)) >> lead << lead
+        return mine, prints, fits
+
+    def sides(batch, replies):
+        w, owner, differ = placed(batch, replies)
+        mine, prints, fits = one_sided(w, owner, differ)
+        ids = batch.ids[w.doc[mine]]
+        found, _, several = first_owners(np.concatenate([p[ok] for p, ok in zip(prints, fits)]), np.concatenate([ids[ok] for ok in fits]))
+        return [found, several]
+
+    def single(w: Windows, owner: np.ndarray, differ: np.ndarray, replies) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, documents) of the windows that are looked at one by one."""
+        mine, prints, fits = one_sided(w, owner, differ)
+        keys = np.sort(known(replies.get(3, []), 1)[0])
         begin, end = w.bounds()
-        count = end[mine] - depth - begin[mine] + 1
-        start, place = np.unique(ranges(begin[mine], count), return_index=True)
-        return start, np.repeat(w.doc[mine], count)[place]
+        first, last = begin[mine], end[mine] - depth
+        at = w.at[mine]
+        starts, docs = [], []
+        for p, ok, low, high in zip(prints, fits, (first, np.maximum(first, at - (depth - digit) + half)), (np.minimum(last, at - half), last)):
+            place = np.minimum(np.searchsorted(keys, p), max(0, len(keys) - 1))
+            hit = ok & (keys[place] == p) if len(keys) else np.zeros(len(mine), dtype=bool)
+            count = np.maximum(high[hit] - low[hit] + 1, 0)
+            starts.append(ranges(low[hit], count))
+            docs.append(np.repeat(w.doc[mine][hit], count))
+        start, place = np.unique(np.concatenate(starts), return_index=True)
+        return start, np.concatenate(docs)[place]
 
     def windows(batch, replies):
         w, owner, differ = placed(batch, replies)
-        start, doc = single(w, np.flatnonzero((owner == as_unsigned(batch.ids[w.doc])) & differ))
+        start, doc = single(w, owner, differ, replies)
         return first_owners(hash_at(w.words, start, depth), batch.ids[doc])
 
     def removed(batch, replies):
@@ -205,17 +243,18 @@ def without_repeated_windows(docs: DataFrame, carried=None, depth: int = DEPTH,
         mine = as_unsigned(batch.ids[w.doc])
         begin, end = w.bounds()
         whole = owner < mine
-        start, doc = single(w, np.flatnonzero((owner == mine) & differ))
-        hit = looked_up(replies.get(3, []), hash_at(w.words, start, depth)) < as_unsigned(batch.ids[doc])
+        start, doc = single(w, owner, differ, replies)
+        hit = looked_up(replies.get(4, []), hash_at(w.words, start, depth)) < as_unsigned(batch.ids[doc])
         edge = np.zeros(len(batch.data) + 1, dtype=np.int32)
         np.add.at(edge, np.concatenate([begin[whole], start[hit]]), 1)
         np.add.at(edge, np.concatenate([end[whole], start[hit] + depth]), -1)
         return np.cumsum(edge[:-1]) > 0
 
     one = corpus.ask(first_digits, None, 2, in_several, 1)
-    two = corpus.ask(surroundings, one, 3, owners_around, 2)
-    three = corpus.ask(windows, two, 3, owner_reply, 3)
-    return corpus.finish(two.unionAll(three), removed)
+    two = corpus.ask(surroundings, one, 4, owners_around, 2)
+    three = corpus.ask(sides, two, 2, in_several, 3)
+    four = corpus.ask(windows, two.unionAll(three), 3, owner_reply, 4)
+    return corpus.finish(two.unionAll(three).unionAll(four), removed)
 
 
 def op10_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
