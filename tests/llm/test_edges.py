@@ -1,0 +1,82 @@
+"""Every query over tables with NULLs, empty and very long texts, ties, repeated rows, odd types and extra columns, and over empty ones."""
+
+import math
+
+import pytest
+
+import corpus_pipeline
+from roadloom.llm.queries import QUERIES
+
+LONG = "x" * 120_000 + " " + "wort " * 20_000
+
+DOCS = [
+    (1, "the cat sat on the mat and then the cat sat on the other mat again", "en"),
+    (2, "the cat sat on the mat and then the cat sat on the other mat again", "en"),
+    (2, "the cat sat on the mat and then the cat sat on the other mat again", "en"),
+    (3, None, "en"), (4, "", None), (5, "   \t\n ", "de"), (6, "!!! ### $$$", "de"),
+    (None, "the cat sat on the mat and then the cat sat on the other mat again", "en"),
+    (None, None, None), (7, LONG, "de"), (8, LONG, "de"), (9, "漢字とかな交じり文の文書です。 ▁ ́e", None),
+    (10, "a", "fr"), (11, "a b", "fr"), (12, "idiot you are a stupid clown", "en"), (13, "x  y   z  ", "en"),
+]
+
+
+def write_docs(spark, folder, rows):
+    schema = ("doc_id long, text string, lang string, source string, n_chars long, shard int, slot long, kept boolean, "
+              "batch int, row string, data string, sig binary, component string, __x int, `a.b` string")
+    full = [(*r, "s", 1, 0, 1, True, 3, "r", "d", b"", "c", 5, "dot") for r in rows]
+    spark.createDataFrame(full, schema).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+
+
+def write_all(spark, folder, docs, vectors, labels):
+    write_docs(spark, folder, docs)
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int, rank int, query_id string").write.mode(
+        "overwrite").parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string, score double").write.mode(
+        "overwrite").parquet(f"{folder}/labels.parquet")
+
+
+VECTORS = [(0, [1.0, 0.5], 1, 1, "q"), (100, [1.0, 0.5], 1, 1, "q"), (1, [1.0, 0.5], 1, 1, "q"), (2, None, 1, 1, "q"), (3, [1.0, None], 1, 1, "q"),
+           (4, [math.nan, 1.0], 1, 1, "q"), (5, [math.inf, 1.0], 1, 1, "q"), (6, [], 1, 1, "q"), (7, [1.0, 2.0, 3.0], 1, 1, "q"),
+           (None, [1.0, 1.0], 1, 1, "q"), (8, [-1.0, 3e38], 1, 1, "q"), (8, [-1.0, 3e38], 1, 1, "q")]
+LABELS = [(12, 1, 1, "t", 0.5), (1, 1, 0, "t", 0.5), (None, 1, 1, "t", 0.5), (10, None, None, "t", 0.5), (12, 1, 0, "t", 0.5)]
+ROWS = {"op3_bayes_minhash": len(DOCS), "op5_chunk_recipes": len(DOCS), "op7_lexicon_automata": len(DOCS), "op8_marginal_unigrams": len(DOCS),
+        "op9_uniform_shards": len(DOCS), "op2_gear_chunks": len(DOCS), "op10_radix_windows": len(DOCS)}
+
+
+@pytest.fixture(scope="module")
+def messy(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("messy"))
+    write_all(spark, folder, DOCS, VECTORS, LABELS)
+    return folder
+
+
+@pytest.fixture(scope="module")
+def empty(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("empty"))
+    write_all(spark, folder, [], [], [])
+    return folder
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_messy_rows(spark, messy, name):
+    rows = QUERIES[name](spark, messy).collect()
+    assert len(rows) == ROWS.get(name, len(rows))
+    assert rows
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, empty, name):
+    assert QUERIES[name](spark, empty).collect() == []
+
+
+def test_pipeline_keeps_columns_and_survives_messy_rows(spark, messy, empty):
+    docs = spark.read.parquet(f"{messy}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, messy)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        docs = spark.createDataFrame(got, docs.schema)
+    ids = sorted(r.doc_id for r in docs.collect() if r.doc_id is not None)
+    assert ids == [1, 7, 9, 10, 11, 12, 13]
+    assert corpus_pipeline.run(spark, messy).count() > 0
+    assert corpus_pipeline.run(spark, empty).count() == 0
