@@ -33,33 +33,21 @@ NOTATIONS: dict[str, str] = {
 }
 
 
-def _signed(value: Column, hemi: Column, negative: str) -> Column:
-    return F.when(F.upper(hemi) == F.lit(negative), -value).otherwise(value)
-
-
-def _halves(text: Column, name: str) -> tuple[Column, Column]:
-    p = NOTATIONS[name]
-    n = lambda i: F.regexp_extract(text, p, i).cast("double")
-    h = lambda i: F.regexp_extract(text, p, i)
-    if name == "decimal":
-        return n(1), n(2)
-    if name == "hemisphere":
-        return _signed(n(1), h(2), "S"), _signed(n(3), h(4), "W")
-    # minutes and seconds lead away from zero, whatever the sign of the degrees
-    def part(i: int, count: int) -> Column:
-        more = [n(i + k) / F.lit(60.0**k) for k in range(1, count)]
-        up = down = n(i)
-        for m in more:
-            up, down = up + m, down - m
-        return F.when(h(i).startswith("-"), down).otherwise(up)
-
-    if name in ("dms", "worded"):
-        lat, lon = part(1, 3), part(5, 3)
-        return _signed(lat, h(4), "S"), _signed(lon, h(8), "W")
-    if name == "dm":
-        lat, lon = part(1, 2), part(4, 2)
-        return _signed(lat, h(3), "S"), _signed(lon, h(6), "W")
-    raise KeyError(name)
+# Numbers and hemisphere letters of a text that matches a notation, in order.
+_NUMBER = r"-?\d+(?:\.\d+)?"
+_HEMISPHERE = r"(?<![A-Za-z])[NSEWnsew](?![A-Za-z])"
+# Numbers per half of each notation (degrees, minutes, seconds).
+_PARTS = {"decimal": 1, "hemisphere": 1, "dms": 3, "dm": 2, "worded": 3}
+
+
+def _half(numbers: Column, hemispheres: Column, first: int, count: int, side: int, negative: str) -> Column:
+    """Degrees of one half: numbers ``first`` to ``first + count - 1``, letter ``side`` if there is one."""
+    n = lambda i: F.get(numbers, F.lit(first + i)).cast("double")
+    up = down = n(0)
+    for k in range(1, count):  # minutes and seconds lead away from zero, whatever the sign of the degrees
+        up, down = up + n(k) / F.lit(60.0**k), down - n(k) / F.lit(60.0**k)
+    value = up if count == 1 else F.when(F.get(numbers, F.lit(first)).startswith("-"), down).otherwise(up)
+    return F.when(F.upper(F.get(hemispheres, F.lit(side))) == F.lit(negative), -value).otherwise(value)
 
 
 def gps_format(text: str | Column) -> Column:
@@ -78,14 +66,19 @@ def to_decimal_degrees(text: str | Column) -> Column:
     as in the reference); DMS is d + m/60 + s/3600.
     """
     t = col(text)
-    fmt = gps_format(t)
-    lat = F.lit(None).cast("double")
-    lon = F.lit(None).cast("double")
-    for name in NOTATIONS:
-        la, lo = _halves(t, name)
-        lat = F.when(fmt == F.lit(name), la).otherwise(lat)
-        lon = F.when(fmt == F.lit(name), lo).otherwise(lon)
-    return F.struct(lat.alias("latitude"), lon.alias("longitude"), fmt.alias("format"))
+
+    def position(p: Column) -> Column:
+        lat, lon = F.lit(None).cast("double"), F.lit(None).cast("double")
+        for name, count in _PARTS.items():
+            same = p["format"] == F.lit(name)
+            lat = F.when(same, _half(p["numbers"], p["hemispheres"], 0, count, 0, "S")).otherwise(lat)
+            lon = F.when(same, _half(p["numbers"], p["hemispheres"], count, count, 1, "W")).otherwise(lon)
+        return F.struct(lat.alias("latitude"), lon.alias("longitude"), p["format"].alias("format"))
+
+    # the notation is decided once and the numbers are read once per row
+    parts = F.struct(gps_format(t).alias("format"), F.regexp_extract_all(t, F.lit(_NUMBER), F.lit(0)).alias("numbers"),
+                     F.regexp_extract_all(t, F.lit(_HEMISPHERE), F.lit(0)).alias("hemispheres"))
+    return F.get(F.transform(F.array(parts), position), F.lit(0))
 
 
 def component(position: Column, coord_type: str) -> Column:
