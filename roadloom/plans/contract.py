@@ -219,6 +219,14 @@ def vehicle_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumnRenamed("l_suppkey", "vehicle_id")
 
 
+def route_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered route as rows, one per line item of a supplier."""
+    return trips.route_points(
+        _t(spark, sf_dir, "lineitem"), vehicle="l_suppkey", ts="l_shipdate", tiebreak=["l_orderkey", "l_linenumber"],
+        latitude="l_quantity", longitude="l_discount",
+    ).withColumnRenamed("l_suppkey", "vehicle_id")
+
+
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event per (user, type)."""
     return events.dedupe_latest(
@@ -344,6 +352,19 @@ def gps_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.groupBy("gps_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def fleet_pipeline_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks in all accepted notations, with the ones left out for their position."""
+    k = F.col("c_custkey")
+    text = (
+        F.when(k % 11 == 0, F.lit(None).cast("string"))
+        .when(k % 13 == 0, F.lit("not a position"))
+        .when(k % 17 == 0, F.lit("95.125,10.250"))
+        .otherwise(_gps_text(k, k % 7))
+    )
+    tracks = _t(spark, sf_dir, "customer").select(k.alias("vehicle_id"), text.alias("gps_coordinates"))
+    return trips.fleet_rejects(tracks)
+
+
 def geo_fence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers placed around the city box, NULL positions dropped."""
     k = F.col("c_custkey")
@@ -525,6 +546,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_report": null_report,
     "delta_new_rows": delta_new_rows,
     "delta_upsert": delta_upsert,
+    "route_points": route_points,
+    "fleet_pipeline_rejects": fleet_pipeline_rejects,
     "trips_delta_merge": trips_delta_merge,
     "parking_delta_upsert": parking_delta_upsert,
     "event_profile_delta_upsert": event_profile_delta_upsert,

@@ -420,3 +420,17 @@ SELECT * FROM ({_OCCUPANCY}) a WHERE area_id NOT IN (SELECT area_id FROM ({_LATE
 
 ORACLE_SQL["event_profile_delta_upsert"] = ORACLE_SQL["monthly_event_profile"]
 ORACLE_SQL["warranty_delta_upsert"] = ORACLE_SQL["warranty_status"]
+
+ORACLE_SQL["route_points"] = """
+SELECT l_suppkey AS vehicle_id, l_shipdate, l_orderkey, l_linenumber, l_quantity, l_discount,
+       row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS point_index
+FROM lineitem
+"""
+
+ORACLE_SQL["fleet_pipeline_rejects"] = """
+SELECT c_custkey AS vehicle_id,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'not a position' ELSE '95.125,10.250' END AS gps_coordinates,
+       CASE WHEN c_custkey % 11 = 0 THEN 'null' WHEN c_custkey % 13 = 0 THEN 'bad_format' ELSE 'out_of_range' END AS gps_reason
+FROM customer
+WHERE c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0
+"""
