@@ -46,8 +46,17 @@ def range_of(prints: np.ndarray, ranges: int) -> np.ndarray:
     return ((prints >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
+def compress_data(batches):
+    """Rows (batch, id, data, row) with each text compressed: it crosses the network once and is read in every pass."""
+    zstd = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        data = [None if x is None else zstd.compress(x) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary()), batch.column(3)],
+                                         names=batch.schema.names)
+
+
 class Corpus:
-    """Batches of documents: rows (batch, id, data, row) with the text's UTF-8 bytes and the other columns.
+    """Batches of documents: rows (batch, id, data, row) with the text's UTF-8 bytes, compressed, and the other columns.
 
     The batches are kept on the executors' disks while the object or a result of `finish` is in use; Spark makes a
     lost one anew.
@@ -63,9 +72,9 @@ class Corpus:
         #: Leading bits of a fingerprint that tell nearly all different ones apart.
         self.bits = min(64, total.bit_length() + 8)
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.frame = (docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.batches)).cast("int").alias("batch"),
-                                  F.col("doc_id").cast("long").alias("id"), data.alias("data"), carried.alias("row"))
-                      .repartition(parts, "batch").persist(StorageLevel.DISK_ONLY))
+        dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.batches)).cast("int").alias("batch"),
+                            F.col("doc_id").cast("long").alias("id"), data.alias("data"), carried.alias("row"))
+        self.frame = dealt.mapInArrow(compress_data, dealt.schema).repartition(parts, "batch").persist(StorageLevel.DISK_ONLY)
         weakref.finalize(self, self.frame.unpersist)
 
     def ask(self, prints: Callable, answers: DataFrame | None, columns: int, reply: Callable, tag: int) -> DataFrame:
@@ -144,7 +153,8 @@ class Batch:
 
     def __init__(self, table: pa.Table) -> None:
         column = table["data"].combine_chunks() if table.num_rows else pa.array([], pa.binary())
-        rows = [b"" if x is None else x for x in column.to_pylist()]
+        zstd = zstandard.ZstdDecompressor()
+        rows = [b"" if x is None else zstd.decompress(x) for x in column.to_pylist()]
         self.data = np.frombuffer(b"".join(rows), dtype=np.uint8)
         self.off = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
         ids = table["id"].combine_chunks() if table.num_rows else pa.array([], pa.int64())
