@@ -8,6 +8,8 @@ words decides which counter it goes to; a logistic regression weighs the counter
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +34,6 @@ EXACT, STEM, NEAR = 1, 2, 3
 #: Counters: exact, stem and near hits outside quotation marks, quoted hits, hits with another hit in the window.
 PRIOR = np.array([4.5, 4.0, 4.5, 0.0, 0.5, -4.0])
 PRIOR_WEIGHT = np.array([0.5, 0.5, 0.5, 2.0, 0.5, 0.05])
-_MAPPED = 0x3000
 
 
 class Automaton:
@@ -40,10 +41,8 @@ class Automaton:
 
     def __init__(self, words: list[str], stems: list[str]) -> None:
         letters = sorted(set("".join(words + stems)))
-        self.classes = np.zeros(_MAPPED, dtype=np.int64)
-        for c, ch in enumerate(letters, 1):
-            if ord(ch) < _MAPPED:
-                self.classes[ord(ch)] = c
+        #: Code points of the lexicon's letters, whatever script; the last one is no character.
+        self.letters = np.array([*map(ord, letters), 0x110000], dtype=np.int64)
         child: list[dict[int, int]] = [{}]
         word_end: dict[int, bool] = {}
         stem_end: set[int] = set()
@@ -89,18 +88,33 @@ class Automaton:
                                 out.add(("swap", child[n][c], x))
             return closed(out)
 
+        def told_apart(states: frozenset) -> set[int]:
+            """Letters that lead elsewhere than a letter of no term does."""
+            out: set[int] = set()
+            for s in states:
+                if s[0] == "swap":
+                    out.add(s[2])
+                elif s[0] == "in":
+                    out.update(child[s[1]])
+                    if s[2] == 0:
+                        for n in child[s[1]].values():
+                            out.update(child[n])
+            return out
+
+        def numbered(states: frozenset) -> int:
+            if states not in number:
+                number[states] = len(number)
+                todo.append(states)
+            return number[states]
+
         begin = closed({("in", 0, 0)})
         number, todo, rows = {begin: 0, frozenset(): 1}, [begin, frozenset()], []
         for states in todo:
-            row = []
-            for c in range(len(letters) + 1):
-                to = step(states, c)
-                if to not in number:
-                    number[to] = len(number)
-                    todo.append(to)
-                row.append(number[to])
+            row = np.full(len(letters) + 1, numbered(step(states, 0)), dtype=np.int32)
+            for c in told_apart(states):
+                row[c] = numbered(step(states, c))
             rows.append(row)
-        self.table = np.array(rows, dtype=np.int32)
+        self.table = np.array(rows)
         self.found = np.zeros(len(todo), dtype=np.int8)
         for states, n in number.items():
             ends = [s for s in states if s[0] == "in" and s[1] in word_end]
@@ -113,7 +127,8 @@ class Automaton:
 
     def match(self, chars: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """What each word chars[first[i]:last[i] + 1] is: 0, EXACT, STEM or NEAR (words without letters: 0)."""
-        classes = np.where(chars < _MAPPED, self.classes[np.minimum(chars, _MAPPED - 1)], 0)
+        at = np.searchsorted(self.letters, chars)
+        classes = np.where(self.letters[at] == chars, at + 1, 0)
         state = np.zeros(len(first), dtype=np.int64)
         alive, step = np.flatnonzero(first <= last), 0
         state[first > last] = 1
@@ -124,7 +139,18 @@ class Automaton:
         return self.found[state]
 
 
-_CORE = np.array([chr(c).isalnum() for c in range(_MAPPED)])
+#: Letters and digits below U+3000.
+_CORE = np.array([chr(c).isalnum() for c in range(0x3000)])
+
+
+def is_core(chars: np.ndarray) -> np.ndarray:
+    """Letters and digits; from U+3000 on (Han, Hangul, kana, pictographs) all but punctuation and spaces."""
+    out = _CORE[np.minimum(chars, len(_CORE) - 1)]
+    far = np.flatnonzero(chars >= len(_CORE))
+    if len(far):
+        points, place = np.unique(chars[far], return_inverse=True)
+        out[far] = np.array([unicodedata.category(chr(c))[0] not in "PZ" for c in points.tolist()])[place]
+    return out
 
 
 def cores(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +158,7 @@ def cores(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
     word, n = np.repeat(np.arange(len(words)), length), len(words)
-    core = np.flatnonzero((chars >= _MAPPED) | _CORE[np.minimum(chars, _MAPPED - 1)])
+    core = np.flatnonzero(is_core(chars))
     first, last = np.full(n, len(chars) + 1), np.full(n, -1)
     first[word[core][::-1]] = core[::-1]
     last[word[core]] = core

@@ -43,6 +43,28 @@ def test_automaton_equals_brute_force():
         assert g == want, (w, g, want)
 
 
+def test_terms_of_any_script():
+    automaton = Automaton(["바보", "멍청이들아", "白痴", "𠮷𠮷"], ["쓰레기같"])
+    cases = ["바보", "바보。", "「白痴」", "白痴", "白", "멍청이들아", "멍청들아", "멍이청들아", "멍청이들다아", "쓰레기같은", "𠮷𠮷!", "바다", "漢字", "🙂"]
+    chars, first, last, _, _ = cores(cases)
+    assert automaton.match(chars, first, last).tolist() == [EXACT] * 4 + [0, EXACT, NEAR, NEAR, NEAR, STEM, EXACT, 0, 0, 0]
+    words = "바보 白痴 idiot".split()
+    texts = pa.array([f"그는 {w} 이다" for w in words] + ["그는 사람 이다"])
+    assert counters(Automaton(words, []), texts)[:, 0].tolist() == [1, 1, 1, 0]
+
+
+def test_terms_of_any_script_are_learned_and_found(spark):
+    kept = [r.id for r in spark.range(400).filter(~toxicity.held_out("id")).orderBy("id").limit(120).collect()]
+    term = {0: "바보。", 1: "白痴"}
+    docs = [(i, f"오늘 {term.get(k % 4, '사람')} 天気 {k}") for k, i in enumerate(kept)] + [(1000, "너는 바보"), (1001, "他 白痴！ 了"), (1002, "오늘 사람")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k % 4 in term)) for k, i in enumerate(kept)], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels)
+    assert {"바보", "白痴"} <= set(model.words)
+    score = {r.doc_id: r.score for r in toxicity.scored(frame, model).collect()}
+    assert score[1000] >= toxicity.THRESHOLD and score[1001] >= toxicity.THRESHOLD > score[1002]
+
+
 def test_quotation_and_windows():
     automaton = Automaton(["idiot", "moron"], [])
     texts = ["You IDIOT!! you moron", 'she said "you are an idiot" then left', "an idoit (sic)", None, "", "nothing", 'idiot ' + "word " * 30 + '"quoted" word']
