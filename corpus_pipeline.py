@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: NULL texts, texts without letters, and those no language gets most of."""
+    """Drops documents without a language: NULL texts and texts without letters."""
     model = langid.fit(docs.filter(~held_out()).select("text", "lang"))
     return langid.keep_identified(docs, model)
 

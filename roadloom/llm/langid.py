@@ -21,8 +21,6 @@ SMOOTHING = 0.05
 #: Word scores that a Python worker keeps; beyond it the store starts anew.
 KEPT_WORDS = 150_000
 UNKNOWN = "und"
-#: The corpus pipeline keeps a document whose best language has at least this posterior probability.
-LEAST_SCORE = 0.5
 
 
 class Model:
@@ -150,10 +148,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text", _lettered()).mapInArrow(score, f"doc_id {id_type}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
-    """``docs`` without the rows whose text has no language: no letter at all, or no language with ``least_score``.
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the rows that `predict` calls `und`: NULL texts and texts without a letter.
 
-    All columns are kept as they are; a NULL text goes.  Rows pass through the tasks that score them, so nothing
+    A text that several languages share is kept, however low the posterior of the best one.  All columns are kept as they are.  Rows pass through the tasks that score them, so nothing
     is shuffled.  Without any learned language every row would go, so none does.
     """
     ship(docs.sparkSession)
@@ -166,9 +164,8 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SC
         for batch in batches:
             for low, high in slices(batch.column(at)):
                 part = batch.slice(low, high - low)
-                best, prob = verdicts(model, part.column(at), part.column(width).to_numpy(zero_copy_only=False).astype(bool))
-                fine = (best < len(model.languages)) & (prob >= least_score)
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(fine)) for c in part.columns[:-1]], names=part.schema.names[:-1])
+                best, _ = verdicts(model, part.column(at), part.column(width).to_numpy(zero_copy_only=False).astype(bool))
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(best < len(model.languages))) for c in part.columns[:-1]], names=part.schema.names[:-1])
 
     plain = [f"c{i}" for i in range(width)]  # any column name is fine
     schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(plain, docs.schema)])

@@ -111,3 +111,14 @@ def test_language_model_ignores_missing_languages(spark):
     docs = spark.createDataFrame([(1, "und die"), (2, "this and"), (3, "12 %"), (4, None), (5, "")], "doc_id long, text string")
     assert {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()} == {1: "de", 2: "en", 3: "und", 4: "und", 5: "und"}
     assert sorted(r.doc_id for r in langid.keep_identified(docs, model).collect()) == [1, 2]
+
+
+def test_texts_that_languages_share_are_kept(spark):
+    langs = {"de": "alt", "en": "bird", "es": "casa", "fr": "deux", "it": "ecco"}
+    df = spark.createDataFrame([(f"{w} radio", lang) for lang, w in langs.items()], "text string, lang string")
+    model = langid.fit(df)
+    docs = spark.createDataFrame([(1, "radio"), (2, "Radio."), (3, "deux"), (4, "12 %"), (5, None), (6, ""), (7, "zzz"), (8, "漢")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    assert got[1].score < 0.5 and got[1].lang_pred != "und"
+    assert sorted(r.doc_id for r in langid.keep_identified(docs, model).collect()) == [i for i in got if got[i].lang_pred != "und"] == [1, 2, 3, 7, 8]
