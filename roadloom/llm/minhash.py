@@ -14,6 +14,7 @@ copies of one text costs little more than its size.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from roadloom.llm.base import mix64, ship, slices, stable, table, word_codes
 from roadloom.llm.components import components
 from roadloom.llm.lattice import ranges
 
-#: Probability that a similar pair shares no band, and that the sequential test drops it.
+#: Bound of the probability that a similar pair shares no band, and of that that any look of the sequential test drops it.
 MISS = 1e-6
 BAND_ROWS = 4
 #: Signature places compared before the posterior is looked at again.
@@ -58,16 +59,41 @@ class Rule:
     def similar(self, common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.share * common >= self.of * (a + b - common)
 
+    @property
+    def looks(self) -> list[int]:
+        """Places compared at each look of the sequential test."""
+        return [*range(BATCH, self.hashes, BATCH), self.hashes]
+
+    def drop_chance(self, least: np.ndarray) -> float:
+        """Probability that one of the looks drops a pair right at the threshold (a more similar pair: less)."""
+        s, alive, seen, dropped = self.threshold, np.ones(1), 0, 0.0
+        for n in self.looks:
+            more = n - seen
+            alive = np.convolve(alive, [comb(more, m) * s**m * (1 - s) ** (more - m) for m in range(more + 1)])
+            dropped += alive[:least[n]].sum()
+            alive[:least[n]] = 0.0
+            seen = n
+        return float(dropped)
+
     def least_matches(self) -> np.ndarray:
-        """By places compared: fewest matches with which the posterior (uniform prior) of similarity is at least MISS."""
+        """By places compared: fewest matches with which the posterior (uniform prior) of similarity is high enough.
+
+        The bar is MISS shared by the looks, halved until all looks together drop a similar pair with MISS at most.
+        """
+        bar = MISS / len(self.looks)
+        while self.drop_chance(least := self._least_matches(bar)) > MISS:
+            bar /= 2
+        return least
+
+    def _least_matches(self, bar: float) -> np.ndarray:
         s = (np.arange(20_000) + 0.5) / 20_000
         over = s >= self.threshold
         out = np.zeros(self.hashes + 1, dtype=np.int64)
-        for n in range(BATCH, self.hashes + 1):
+        for n in self.looks:
             for m in range(n + 1):
                 logs = m * np.log(s) + (n - m) * np.log1p(-s)
                 like = np.exp(logs - logs.max())
-                if like[over].sum() >= MISS * like.sum():
+                if like[over].sum() >= bar * like.sum():
                     out[n] = m
                     break
         return out

@@ -105,6 +105,18 @@ def test_band_count_bounds_the_miss_probability():
         assert (1 - rule.threshold**minhash.BAND_ROWS) ** rule.bands <= minhash.MISS
 
 
+def test_looks_of_the_sequential_test_together_keep_the_miss_bound():
+    for rule in (CONTRACT, USUAL):
+        least, ends = rule.least_matches(), [*range(minhash.BATCH, rule.hashes, minhash.BATCH), rule.hashes]
+        chance, dropped = {0: 1.0}, 0.0  # of so many matches, place by place, for a pair right at the threshold
+        for n in range(1, rule.hashes + 1):
+            chance = {m: chance.get(m, 0.0) * (1 - rule.threshold) + chance.get(m - 1, 0.0) * rule.threshold for m in range(n + 1)}
+            if n in ends:
+                dropped += sum(p for m, p in chance.items() if m < least[n])
+                chance = {m: p for m, p in chance.items() if m >= least[n]}
+        assert dropped <= minhash.MISS
+
+
 def test_components_of_chains_and_rings(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 102), (102, 100)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
