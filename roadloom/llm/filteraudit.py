@@ -76,9 +76,10 @@ def document_masks(docs: DataFrame) -> DataFrame:
     rows = stable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                               F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"))
                   .mapInArrow(measure, "doc_id long, part string, digest binary, mask int"))
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("doc_id").alias("rows")).filter("rows > 1")
-    late = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    return rows.join(first.drop("rows"), "digest", "left").select(
+    # one row per text; a join on both columns deals the copies of one text apart
+    firsts = rows.groupBy("digest").agg(F.min("doc_id").alias("first")).withColumnRenamed("digest", "of")
+    late = F.col("first").isNull() & F.col("doc_id").isNotNull()
+    return rows.join(firsts, (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("first")), "left").select(
         "doc_id", "part", F.when(late, F.col("mask").bitwiseOR(16)).otherwise(F.col("mask")).alias("mask"))
 
 

@@ -8,122 +8,19 @@ Nothing is shuffled, and only the very last sequence can need padding.
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import dense, ship, slices, stable, table, word_codes
+from roadloom.llm.base import ship, slices, stable, table
+from roadloom.llm.wordids import encoder, word_bpe_path
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
-#: Encoded words that a Python worker keeps; beyond it the store starts anew.
-KEPT_WORDS = 300_000
-
-#: How the vocabulary file's pre-tokenizer splits text.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-
-
-def word_bpe_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
-class WordEncoder:
-    """Ids of whole texts for the lower-casing word BPE vocabulary, with each distinct word encoded once.
-
-    White space always ends a token there, so a text's ids are its words' ids in a row.  That shortcut is taken
-    for texts whose characters are all below U+0300 (already in normal form, lower-cased one by one); the
-    library encodes every other text as a whole.
-    """
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.parts = Tokenizer(self.whole.model)
-        self.parts.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.whole.get_vocab()
-        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.split = regex.compile(SPLIT)
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.starts = np.zeros(KEPT_WORDS * 2 + 1, dtype=np.int64)
-        self.used = 0
-
-    def plain(self, ids: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, dtype=np.uint32) for e in self.whole.encode_batch(ids, add_special_tokens=False)]
-
-    def add(self, words: list[str]) -> None:
-        """Encode and keep words without white space that are not kept yet."""
-        for at in range(0, len(words), 2000):
-            some = words[at:at + 2000]
-            pieces = [[w] if w.isalpha() else self.split.findall(w) for w in some]
-            got = np.asarray(self.parts.encode(" ".join(" ".join(p) for p in pieces), add_special_tokens=False).ids, dtype=np.uint32)
-            ends = np.flatnonzero(self.last[got]) + 1
-            counts = np.cumsum([len(p) for p in pieces])
-            if len(ends) == (counts[-1] if len(counts) else 0):
-                stops = np.concatenate([[0], ends])[counts]
-            else:  # a token that only looks like a word's last one
-                each = self.plain(some)
-                got, stops = np.concatenate(each), np.cumsum([len(e) for e in each])
-            base, first = self.used, len(self.place)
-            while base + len(got) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if first + len(some) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.ids[base:base + len(got)] = got
-            self.used = base + len(got)
-            self.starts[first + 1:first + 1 + len(some)] = base + stops
-            self.place.update(zip(some, range(first, first + len(some))))
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, offsets): text i's ids are ids[offsets[i]:offsets[i + 1]]; NULL is an empty text."""
-        texts = dense(texts)
-        odd = pc.match_substring_regex(texts, "[^\\x00-\\x1b\\x20-\\x84\\x86-\\x{12f}\\x{131}-\\x{2ff}]")
-        odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
-        usual = pc.if_else(odd, pa.scalar("", pa.large_string()), texts) if len(odd_at) else texts
-        codes, offsets, words = word_codes(usual, lower="utf8")
-        if len(self.place) + len(words) > KEPT_WORDS:
-            self.clear()
-        known = list(map(self.place.get, words := words.to_pylist()))
-        if missing := [w for w, k in zip(words, known) if k is None]:
-            self.add(missing)
-            known = list(map(self.place.__getitem__, words))
-        known = np.asarray(known, dtype=np.int64)
-        lengths = (self.starts[known + 1] - self.starts[known])[codes] if len(codes) else np.zeros(0, dtype=np.int64)
-        sums = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.repeat(self.starts[known][codes] - sums[:-1], lengths) + np.arange(sums[-1])] if len(codes) else np.zeros(0, np.uint32)
-        out_offsets = sums[offsets]
-        if len(odd_at):
-            rows = [ids[a:b] for a, b in zip(out_offsets[:-1], out_offsets[1:])]
-            for i, got in zip(odd_at, self.plain(texts.take(pa.array(odd_at)).to_pylist())):
-                rows[i] = got
-            ids = np.concatenate(rows)
-            out_offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        return ids, out_offsets
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+#: Text bytes encoded at once.
+ENCODE_BYTES = 12 << 20
 
 
 def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
@@ -133,7 +30,7 @@ def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         part = TaskContext.get().partitionId()
         enc, start = encoder(path), 0
         for batch in batches:
-            for low, high in slices(batch.column(1)):
+            for low, high in slices(batch.column(1), ENCODE_BYTES):
                 ids, offsets = enc.encode(batch.column(1).slice(low, high - low))
                 if len(ids) and ids.max() > 0xFFFF:
                     raise ValueError("this vocabulary needs ids of more than 16 bits")

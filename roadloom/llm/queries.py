@@ -13,6 +13,7 @@ from roadloom.llm.sampling import op4_gumbel_topk
 from roadloom.llm.sharding import op9_uniform_shards
 from roadloom.llm.toxicity import op7_lexicon_automata
 from roadloom.llm.suffixes import op10_radix_windows
+from roadloom.llm.tokenfiles import op13_token_files
 from roadloom.llm.topk import OP1_SQL, op1_exact_topk
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_radix_windows": op10_radix_windows,
     "op11_hybrid_search": op11_hybrid_search,
     "op12_filter_audit": op12_filter_audit,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLE_SQL = {

@@ -6,7 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from roadloom.llm.packing import WordEncoder, pack, word_bpe_path
+from roadloom.llm import wordids
+from roadloom.llm.packing import pack
+from roadloom.llm.wordids import WordEncoder, word_bpe_path
 
 
 @pytest.fixture(scope="module")
@@ -14,9 +16,7 @@ def library():
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(word_bpe_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(word_bpe_path())
 
 
 def encoded(encoder, texts):
@@ -25,7 +25,8 @@ def encoded(encoder, texts):
 
 
 TEXTS = ["", " ", "Hello, World's end!! it's 42nd", "straße ÉCOLE naïve ñandú", "a\x1cb \x85 c　d", "漢字 İstanbul ΑΣ ȺB", "é <|endoftext|> </w> x</w>",
-         "tab\tnew\nline\r\n" * 3, "!!'s ''s d'll", "ª º ʰ ǆ", "😀😀 ok"]
+         "tab\tnew\nline\r\n" * 3, "!!'s ''s d'll", "ª º ʰ ǆ", "😀😀 ok", "hello <|endoftext|> and <|startoftext|>x<|endoftext|>", "a\xa0b\xa0 \xa0", "it’s “quoted” don’t",
+         "'sample can't 'Twas O'RE", "x1y22 1/2 a_b--c", "\x00\x01 \x7f \x1b"]
 
 
 def test_encoder_equals_library(library):
@@ -39,6 +40,24 @@ def test_encoder_equals_library_on_any_text(library, texts):
     assert encoded(encoder, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_store_keeps_to_its_limits(library, monkeypatch):
+    monkeypatch.setattr(wordids, "KEPT_WORDS", 40)
+    monkeypatch.setattr(wordids, "KEPT_BYTES", 600)
+    encoder = WordEncoder(word_bpe_path())
+    for i in range(12):
+        texts = [*TEXTS, *(f"word{i}{j} again, common stuff" for j in range(20)), "y" * 900 + str(i)]
+        assert encoded(encoder, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder.shrink()
+    assert len(encoder.words) <= 40
+
+
+def test_words_of_one_hash_are_told_apart(library, monkeypatch):
+    monkeypatch.setattr(wordids.Hashes, "of", lambda self, words: np.full(len(words), np.uint64(7)))
+    encoder = WordEncoder(word_bpe_path())
+    for texts in (["one two three", "four, five."], ["two six; one", "seven's"]):
+        assert encoded(encoder, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_pieces_cover_every_id_once(spark, library):
     texts = ["word " * (i * 37 % 500) for i in range(120)] + ["long text " * 3000, None, ""]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
