@@ -85,8 +85,9 @@ def merge_trips(
 
     ``since`` is the newest point that ``stored`` has taken in.  A trip that is stored keeps its start and gets
     the end of its new points; its facts follow the facts table where that still has the trip.  A new trip is
-    added with both ends.  The result is what `trip_summary` gives over all points.  ``trips_since_col`` limits
-    the facts that are read to rows after the mark (stored trips then keep their facts).
+    added with both ends.  The result is what `trip_summary` gives over all points as long as points and facts
+    arrive in the order of their times; a point at or before the mark is not seen, which `trip_state` mends.
+    ``trips_since_col`` limits the facts that are read to rows after the mark (stored trips then keep their facts).
     """
     if trips_since_col and since is not None:
         facts = facts.where(F.col(trips_since_col) > lit_ts(since))
@@ -115,6 +116,82 @@ def merge_trips(
     return known.unionByName(fresh)
 
 
+def trip_state(
+    points: DataFrame | None,
+    facts: DataFrame | None,
+    *,
+    trip: str = "vehicle_trip_id",
+    trips_key: str = "id",
+    ts: str = "created_on",
+    tiebreak: str | list[str] | None = None,
+    columns: list[str] | None = None,
+    version: str | None = None,
+) -> DataFrame:
+    """What a batch of points and facts tells about each trip: (trip, first_point, last_point, facts).
+
+    A part that the batch does not have is NULL: a trip whose facts are still missing is kept, and so are facts that
+    came before the points.  ``facts`` holds ``version`` (the column of that name, larger is newer; NULL without one) and the
+    values.  One aggregation with partial sums; a batch may hold points of any time.  Of facts that repeat a trip in a
+    batch the newest counts, the largest values at equal versions.
+    """
+    frames = []
+    if points is not None:
+        order = order_columns(ts, tiebreak)
+        columns = columns if columns is not None else [c for c in points.columns if c != trip and c not in order]
+        s = F.struct(*[F.col(c) for c in order + columns])
+        frames.append(points.groupBy(trip).agg(F.min(s).alias("first_point"), F.max(s).alias("last_point")))
+    if facts is not None:
+        values = F.struct(*[F.col(c) for c in facts.columns if c not in (trips_key, version)]).alias("values")
+        number = (F.col(version) if version else F.lit(None)).cast("long").alias("version")
+        frames.append(facts.select(F.col(trips_key).alias(trip), F.struct(number, values).alias("facts"))
+                      .groupBy(trip).agg(F.max("facts").alias("facts")))
+    return merge_states(*frames, trip=trip)
+
+
+STATE = ("first_point", "last_point", "facts")
+
+
+def merge_states(*states: DataFrame, trip: str = "vehicle_trip_id") -> DataFrame:
+    """States of any batches put together: smallest first point, largest last point, newest facts of each trip.
+
+    Taking a batch in twice changes nothing and points may come in any order of batches.  So may facts with versions; at equal
+    versions those of the later argument count.
+    """
+    kinds = {c: df.schema[c].dataType for df in states for c in STATE if c in df.columns}
+    rows = None
+    for rank, df in enumerate(states):
+        cols = [F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in STATE if c in kinds]
+        df = df.select(trip, *cols, F.lit(rank).alias("__rl_rank"))
+        rows = df if rows is None else rows.unionByName(df)
+    out = [F.min("first_point").alias("first_point"), F.max("last_point").alias("last_point")] if "first_point" in kinds else []
+    if "facts" in kinds:
+        newest = F.max(F.when(F.col("facts").isNotNull(), F.struct(F.col("facts.version"), "__rl_rank", F.col("facts.values"))))
+        out.append(newest.alias("__rl_f"))
+    merged = rows.groupBy(trip).agg(*out)
+    if "facts" not in kinds:
+        return merged
+    f = F.col("__rl_f")
+    return merged.withColumn("facts", F.when(f.isNotNull(), F.struct(f["version"].alias("version"), f["values"].alias("values")))).drop("__rl_f")
+
+
+def trips_pending(state: DataFrame, trip: str = "vehicle_trip_id") -> DataFrame:
+    """Trips that have points and still miss their facts."""
+    return state.where(F.col("first_point").isNotNull() & F.col("facts").isNull()).select(trip)
+
+
+def state_rows(state: DataFrame, *, trip: str = "vehicle_trip_id", start_prefix: str = "start_", end_prefix: str = "end_") -> DataFrame:
+    """The trips of a state that have points and facts, as `trip_summary` gives them."""
+    done = state.where(F.col("first_point").isNotNull() & F.col("facts").isNotNull())
+    fields = state.schema["first_point"].dataType.names
+    values = state.schema["facts"].dataType["values"].dataType.names
+    return done.select(
+        trip,
+        *[F.col("first_point").getField(c).alias(start_prefix + c) for c in fields],
+        *[F.col("last_point").getField(c).alias(end_prefix + c) for c in fields],
+        *[F.col("facts.values").getField(c).alias(c) for c in values],
+    )
+
+
 def distance_by_year(
     df: DataFrame,
     *,

@@ -1,10 +1,11 @@
 """End-to-end loads: the reference's entry points as Spark jobs.
 
-* ``delta_load``: the ``*_delta`` methods (read the current snapshot, test for
-  change, merge, publish a new version).  The snapshot that is read is never
-  overwritten: the new version goes to a new folder and the pointer moves.
-* ``trips_delta``: route points after the stored high-water mark -> first and
-  last point per trip joined to the trip facts -> upsert.
+* ``delta_load``: the ``*_delta`` methods (test for change, merge, publish).
+  Snapshots are manifests (`sinks.manifest`): only partitions that hold a key
+  of the delta are read and written, and whether anything changed is told by
+  fingerprints of the new rows.
+* ``trips_delta``: new route points and trip facts, in the order they arrive,
+  merged into one state per trip; the summary is a view of the states.
 * ``json_ingestion`` and ``run_etl``: the JSON pipeline (envelopes and
   GeoJSON -> flat JSON lines; tracks -> validated distance per vehicle and
   year in miles -> appended with rejects and a load audit).
@@ -12,12 +13,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadloom.operators import geo, incremental, nested, trips
 from roadloom.operators.events import dedupe_latest
-from roadloom.sinks import append_table, has_current, read_current, write_json_lines, write_versioned
+from roadloom.sinks import append_table, manifest, write_json_lines, write_versioned
 from roadloom.sources import read_customer_envelopes, read_geojson, read_json_lines
 from roadloom.sources.schemas import VEHICLE_TRACK
 
@@ -37,43 +40,42 @@ def delta_load(
     *,
     mode: str = "upsert",
     change_test: str = "watermark",
+    buckets: int = manifest.BUCKETS,
 ) -> dict:
     """Publish ``source`` merged into the current snapshot if it changed.
 
-    ``change_test``: ``watermark`` (newest timestamp differs: bookings,
-    events, trips), ``key_set`` (customers, vehicles), ``key_count`` (parking
-    areas) or ``always``.  ``mode``: ``refresh`` or ``upsert`` (see
-    ``incremental.apply_delta``).  Returns what happened.
+    The snapshot is bucketed by ``keys``.  ``change_test``: ``rows`` (any row of any partition differs, duplicates
+    included; told by fingerprints without reading a stored row), or the tests of the source scripts, which may
+    skip a changed source: ``watermark`` (newest timestamp differs), ``key_set``, ``key_count``; ``always`` leaves it to the
+    fingerprints too.  ``mode``: ``refresh`` (the source is the whole new state) or ``upsert`` (a window of
+    changes, see ``incremental.upsert``).  Partitions whose rows stay the same keep their folders.  Returns what happened.
     """
-    if not has_current(spark, snapshot_base):
-        first = dedupe_latest(source, keys, ts=ts_col).select(*source.columns) if mode == "upsert" else source
-        return {"changed": True, "initial": True, "version": write_versioned(first, snapshot_base)}
-    existing = read_current(spark, snapshot_base)
-    if change_test == "watermark":
-        changed = incremental.watermark_changed(existing, source, ts_col)
-    elif change_test == "key_set":
-        changed = not incremental.key_sets_equal(existing, source, keys)
-    elif change_test == "key_count":
-        changed = incremental.key_count_changed(existing, source, keys[0])
-    elif change_test == "always":
-        changed = True
-    else:
-        raise ValueError(f"unknown change_test {change_test!r}")
-    if not changed:
-        return {"changed": False, "initial": False, "version": None}
-    merged = incremental.apply_delta(existing, source, keys, ts_col, mode=mode)
-    return {"changed": True, "initial": False, "version": write_versioned(merged, snapshot_base)}
-
-
-def merge_load(spark: SparkSession, snapshot_base: str, initial, merge) -> dict:
-    """Publish ``initial()`` first and ``merge(stored)`` after that, when it differs from what is stored."""
-    if not has_current(spark, snapshot_base):
-        return {"changed": True, "initial": True, "version": write_versioned(initial(), snapshot_base)}
-    stored = read_current(spark, snapshot_base)
-    merged = merge(stored)
-    if not incremental.rows_changed(stored, merged) and not incremental.rows_changed(merged, stored):
-        return {"changed": False, "initial": False, "version": None}
-    return {"changed": True, "initial": False, "version": write_versioned(merged.select(*stored.columns), snapshot_base)}
+    if mode not in ("refresh", "upsert"):
+        raise ValueError("mode must be 'refresh' or 'upsert'")
+    part = manifest.bucket_of(keys, buckets)
+    stored = manifest.current(spark, snapshot_base)
+    if stored is not None:
+        if change_test == "watermark":
+            changed = incremental.watermark_changed(stored.read(), source, ts_col)
+        elif change_test == "key_set":
+            changed = not incremental.key_sets_equal(stored.read(), source, keys)
+        elif change_test == "key_count":
+            changed = incremental.key_count_changed(stored.read(), source, keys[0])
+        elif change_test in ("always", "rows"):
+            changed = True
+        else:
+            raise ValueError(f"unknown change_test {change_test!r}")
+        if not changed:
+            return {"changed": False, "initial": False, "version": None}
+    if mode == "refresh":
+        return manifest.replace(spark, snapshot_base, source, part, parent=stored) | {"initial": stored is None}
+
+    def combine(old: DataFrame | None, delta: DataFrame) -> DataFrame:
+        if old is None:
+            return dedupe_latest(delta, keys, ts=ts_col).select(*delta.columns)
+        return incremental.upsert(old, delta, keys, ts_col=ts_col)
+
+    return manifest.merge(spark, snapshot_base, source, part, combine)
 
 
 def refresh_if_changed(
@@ -100,6 +102,19 @@ def refresh_if_changed(
     return {"changed": True, "version": version, "mark": mark_text}
 
 
+#: Prefix of the partitions of trips whose points or facts are still missing.
+WAITING = "waiting-"
+
+
+def trips_view(rows: DataFrame, *, trip: str, names: dict[str, str]) -> DataFrame:
+    """What readers of a trips snapshot get: the summary rows under the snapshot's column names."""
+    out = trips.state_rows(rows, trip=trip)
+    return out.withColumnsRenamed(names) if names else out
+
+
+manifest.VIEWS["trips"] = trips_view
+
+
 def trips_delta(
     spark: SparkSession,
     snapshot_base: str,
@@ -111,27 +126,55 @@ def trips_delta(
     ts: str = "created_on",
     tiebreak: str | None = None,
     columns: list[str] | None = None,
-    trips_since_col: str | None = None,
+    version: str | None = None,
+    points_since: str | None = None,
+    facts_since: str | None = None,
+    lateness: dt.timedelta = dt.timedelta(0),
     names: dict[str, str] | None = None,
+    buckets: int = manifest.BUCKETS,
 ) -> dict:
-    """Trip summaries kept up to date from the points after the stored mark.
-
-    The mark is the newest point taken in (the largest ``end_<ts>`` of the snapshot), so a run without new
-    points changes nothing.  ``names`` maps columns of the summary to those of the snapshot.
-    """
-    names = names or {}
-    back = {v: k for k, v in names.items()}
-    options = {"trip": trip, "trips_key": trips_key, "ts": ts, "tiebreak": tiebreak, "columns": columns}
+    """Trip summaries kept up to date with points and facts as they arrive.
 
-    def named(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-        return df.withColumnsRenamed(mapping) if mapping else df
+    Published is one state per trip (`trips.trip_state`); readers see `trips.state_rows` of it.  The states that the new rows
+    touch are merged, whatever the new rows' event times: an earlier point moves a trip's start, facts
+    that come after the points complete the trip, changed facts replace the old ones, and a rerun changes nothing.
 
-    def merge(stored: DataFrame) -> DataFrame:
-        old = named(stored, back)
-        since = incremental.high_watermark(old, f"end_{ts}")
-        return named(trips.merge_trips(old, points, trip_facts, since, trips_since_col=trips_since_col, **options), names)
-
-    return merge_load(spark, snapshot_base, lambda: named(trips.trip_summary(points, trip_facts, **options), names), merge)
+    ``points_since`` and ``facts_since`` name the columns that tell when a row arrived; then only rows from the
+    stored mark less ``lateness`` on are read, and the marks are published together with the rows.  Facts of trips that wait for
+    theirs are read whatever their time.  Without the columns everything given is taken in, as for the files of one
+    arrival.  ``names`` maps columns of the summary to those that readers see.
+    """
+    stored = manifest.current(spark, snapshot_base)
+    marks = stored.properties if stored else {}
+    properties = manifest.view_property("trips", trip=trip, names=names or {})
+
+    def news(df: DataFrame, column: str | None, name: str) -> DataFrame:
+        if not column:
+            return df
+        since = marks.get(name)
+        newest = df.agg(F.max(column).cast("string")).first()[0]
+        if newest is not None:
+            properties[name] = newest
+        elif since:
+            properties[name] = since
+        if not since:
+            return df
+        kind = df.schema[column].dataType
+        from_ = F.lit(since).cast(kind)
+        return df.where(F.col(column) >= (from_ - F.lit(lateness) if lateness else from_))
+
+    arrived = news(trip_facts, facts_since, "facts_mark")
+    waiting = {p for p in stored.parts if p.startswith(WAITING)} if stored else set()
+    if facts_since and waiting:
+        missing = trips.trips_pending(stored.read(waiting), trip).select(F.col(trip).alias("__rl_w"))
+        arrived = arrived.unionByName(trip_facts.join(missing, F.col(trips_key) == F.col("__rl_w"), "left_semi"))
+    delta = trips.trip_state(news(points, points_since, "points_mark"), arrived, trip=trip, trips_key=trips_key, ts=ts, tiebreak=tiebreak,
+                             columns=columns, version=version)
+    bucket = manifest.bucket_of([trip], buckets)
+    whole = F.col("first_point").isNotNull() & F.col("facts").isNotNull()
+    return manifest.merge(
+        spark, snapshot_base, delta, bucket, lambda old, new: new if old is None else trips.merge_states(old, new, trip=trip),
+        twins=lambda p: {p, WAITING + p}, result_part=F.when(whole, bucket).otherwise(F.concat(F.lit(WAITING), bucket)), properties=properties)
 
 
 def json_ingestion(spark: SparkSession, customers_path: str, vehicles_path: str, out_dir: str,
@@ -154,7 +197,6 @@ def run_etl(spark: SparkSession, tracks_path: str, target: str, rejects: str) ->
     return {"rows_written": stats["rows_written"], "rows_rejected": stats["rows_rejected"] + bad["rows_written"]}
 
 
-
 def upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -166,50 +208,30 @@ def upsert_partitions(
     partition_value=None,
     compression: str = "gzip",
 ) -> dict:
-    """Upsert ``delta`` into a partitioned Parquet snapshot, rewriting only
-    the partitions it touches (dynamic partition overwrite).
-
-    Touched partitions are those of the delta's rows plus those already
-    holding a delta key (found from the key and partition columns only, so a
-    record that moves to another partition leaves no stale copy, and a
-    partition that becomes empty is removed).  A NULL partition is one like any other.  The merged
-    partitions are checkpointed to the cluster's checkpoint folder first:
-    Spark will not overwrite files a job is reading.  Untouched partitions are
-    not written.  A stored row newer than the delta's stays.  ``partition_value`` computes the partition from
-    a row (default: year of ``ts_col``).
-    """
-    from roadloom.session import checkpoint_dir
-
-    part = partition_value if partition_value is not None else F.year(F.col(ts_col))
-    latest = dedupe_latest(delta, keys, ts=ts_col).withColumn(partition_col, part)
-    if not _exists(spark, path):
-        latest.write.mode("overwrite").option("compression", compression).partitionBy(partition_col).parquet(path)
-        return {"initial": True, "partitions": None}
-    existing = spark.read.parquet(path)
-    columns = existing.columns
-    checkpoint_dir(spark)
-
-    def among(values: DataFrame):
-        return F.col(partition_col).eqNullSafe(values["__rl_p"])
+    """Upsert ``delta`` into a snapshot partitioned by a value of its rows (default: the year of ``ts_col``).
 
+    Touched partitions are those of the delta's rows plus those that hold a delta key (found from the key and
+    partition columns only), so a record that moves to another partition leaves no copy behind, and a partition that
+    becomes empty goes.  They are read, merged and published in one step; all others keep their folders.  A NULL
+    partition is one like any other.  A stored row newer than the delta's stays.  After a `manifest.Conflict` it
+    raises; the caller runs it again.
+    """
+    value = partition_value if partition_value is not None else F.year(F.col(ts_col))
+    part = F.coalesce(value.cast("string"), F.lit("null"))
+    latest = dedupe_latest(delta, keys, ts=ts_col)
+    stored = manifest.current(spark, path)
+    if stored is None:
+        done = manifest.replace(spark, path, latest.withColumn(partition_col, value), part, compression=compression)
+        return {"initial": True, "partitions": None} | done
     side = latest.select(*[F.col(k).alias(f"__rl_k{i}") for i, k in enumerate(keys)])
     same = None
     for i, k in enumerate(keys):
         c = F.col(k).eqNullSafe(F.col(f"__rl_k{i}"))
         same = c if same is None else same & c
-    holding = existing.select(*keys, partition_col).join(side, same, "left_semi").select(F.col(partition_col).alias("__rl_p"))
-    touched = (latest.select(F.col(partition_col).alias("__rl_p")).union(holding).distinct()).checkpoint(eager=True)
-    current = existing.join(touched, among(touched), "left_semi")
-    merged = incremental.upsert(current, latest.select(*columns), keys, ts_col=ts_col).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("compression", compression)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    # what a moved record left empty is not overwritten by the write above
-    left = merged.select(F.col(partition_col).alias("__rl_m")).distinct()
-    emptied = touched.join(left, F.col("__rl_p").eqNullSafe(F.col("__rl_m")), "left_anti")
-    jvm = spark.sparkContext._jvm
-    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for (value,) in emptied.select(F.col("__rl_p").cast("string")).toLocalIterator():
-        folder = names.DEFAULT_PARTITION_NAME() if value is None else names.escapePathName(value)
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={folder}")
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    return {"initial": False, "partitions": sorted((r[0] for r in touched.toLocalIterator()), key=lambda v: (v is None, v))}
+    holding = stored.read().join(side, same, "left_semi").select(partition_col)
+    values = {r[0] for r in latest.select(value).union(holding).distinct().toLocalIterator()}
+    touched = {"null" if v is None else str(v) for v in values}
+    merged = incremental.upsert(stored.read(touched).drop(partition_col), latest.select(*[c for c in stored.schema.names if c != partition_col]),
+                                keys, ts_col=ts_col)
+    done = manifest.replace(spark, path, merged.withColumn(partition_col, value), part, parts=touched, parent=stored, compression=compression)
+    return {"initial": False, "partitions": sorted(values, key=lambda v: (v is None, v))} | done

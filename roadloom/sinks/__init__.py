@@ -2,6 +2,7 @@
 
 from roadloom.sinks.writers import (  # noqa: F401
     append_table,
+    audit_change,
     has_current,
     read_current,
     write_envelope,

@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from roadloom.sinks import manifest
+
 
 def write_snapshot(
     df: DataFrame,
@@ -51,7 +53,9 @@ def write_versioned(df: DataFrame, base: str, *, compression: str = "gzip") -> s
     spark = df.sparkSession
     version = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
     target = f"{base.rstrip('/')}/v={version}"
-    write_snapshot(df, target, compression=compression)
+    counted = Observation("written")
+    write_snapshot(df.observe(counted, F.count(F.lit(1)).alias("rows")), target, compression=compression)
+    audit_change(0, rows_of(spark, target), {"rows_written": int(counted.get["rows"])})
     number = max([n for n, _ in _pointers(spark, base)], default=0) + 1
     spark.createDataFrame([(target,)], "path string").coalesce(1).write.text(
         f"{base.rstrip('/')}/{POINTERS}/{number:09d}-{uuid.uuid4().hex[:8]}")
@@ -74,11 +78,14 @@ def _pointers(spark: SparkSession, base: str) -> list[tuple[int, str]]:
 
 def has_current(spark: SparkSession, base: str) -> bool:
     """True when a snapshot was published."""
-    return bool(_pointers(spark, base))
+    return manifest.current(spark, base) is not None or bool(_pointers(spark, base))
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    """Read the version that the newest complete pointer names."""
+    """The newest snapshot: what the newest manifest holds, else the version that the newest complete pointer names."""
+    snap = manifest.current(spark, base)
+    if snap is not None:
+        return snap.view()
     found = _pointers(spark, base)
     if not found:
         raise FileNotFoundError(f"no snapshot under {base!r}")
@@ -129,8 +136,27 @@ def append_table(
 
 def audit_load(spark: SparkSession, target: str, expected_rows: int, *, as_table: bool = False) -> bool:
     """Rows in the target equal the rows we loaded (the loading test)."""
-    actual = (spark.table(target) if as_table else spark.read.parquet(target)).count()
-    return actual == expected_rows
+    return rows_of(spark, target, as_table=as_table) == expected_rows
+
+
+def rows_of(spark: SparkSession, target: str, *, as_table: bool = False) -> int:
+    """Rows in a target now; 0 when it does not exist yet."""
+    if as_table:
+        return spark.table(target).count() if spark.catalog.tableExists(target) else 0
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    return spark.read.parquet(target).count()
+
+
+def audit_change(before: int, after: int, stats: dict[str, int]) -> dict[str, int]:
+    """The audit of one load (K6): rows in the target before and after against the rows that the load says it wrote.
+
+    Raises ValueError when they differ, so that a load that lost or doubled rows does not pass unseen.
+    """
+    if after - before != stats["rows_written"]:
+        raise ValueError(f"{stats['rows_written']} rows written, the target went from {before} to {after}")
+    return stats | {"rows_before": before, "rows_after": after}
 
 
 def write_envelope(df: DataFrame, path: str, generated_at: dt.datetime | str) -> None:

@@ -9,7 +9,7 @@ from roadloom.operators import geo, gps, incremental, trips
 from roadloom.operators.sequence import ordered_sequence
 from roadloom.plans import loads
 from roadloom.plans.pipelines import delta_load, trips_delta, upsert_partitions
-from roadloom.sinks import append_table, has_current, read_current, write_versioned
+from roadloom.sinks import append_table, has_current, manifest, read_current, write_versioned
 
 
 def rows(df):
@@ -80,10 +80,10 @@ def test_upsert_partitions_moves_rows_and_keeps_null_partitions(spark, tmp_dir):
 
     upsert_partitions(spark, path, frame((1, "2022-01-01", "a"), (2, "2021-01-01", "b"), (4, None, "n")), ["id"], "ts")
     upsert_partitions(spark, path, frame((1, "2023-01-01", "c")), ["id"], "ts")  # 2022 becomes empty
-    got = spark.read.parquet(path)
+    got = read_current(spark, path)
     assert sorted((r.id, r.v, r.year) for r in got.collect() if r.year) == [(1, "c", 2023), (2, "b", 2021)]
     result = upsert_partitions(spark, path, frame((3, None, "m"), (2, "2020-05-05", "old"), (5, "2024-01-01", "e")), ["id"], "ts")
-    got = spark.read.parquet(path)
+    got = read_current(spark, path)
     assert sorted((r.id, r.v) for r in got.collect()) == [(1, "c"), (2, "b"), (3, "m"), (4, "n"), (5, "e")]
     assert None in result["partitions"]
 
@@ -161,3 +161,62 @@ def test_sequence_with_text_order_in_a_hot_key(spark):
     df = spark.createDataFrame([("k", f"{i:05d}") for i in range(300)], "k string, o string")
     got = ordered_sequence(df, ["k"], ["o"], max_group_rows=50, split=4)
     assert {(r.o, r.row_number) for r in got.collect()} == {(f"{i:05d}", i + 1) for i in range(300)}
+
+
+def test_late_points_and_facts_reach_the_summary(spark, tmp_dir):
+    """A late point before the stored start, a trip older than the newest point, late and changed facts, a rerun."""
+    base = os.path.join(tmp_dir, "late")
+    p1 = points(spark, ("A", "2024-01-01 08:00:00", 1), ("A", "2024-01-01 09:00:00", 2), ("B", "2024-01-01 08:30:00", 3))
+    f1 = spark.createDataFrame([("A", "old")], "id string, f string")
+    assert trips_delta(spark, base, p1, f1)["initial"]
+    assert [r.vehicle_trip_id for r in read_current(spark, base).collect()] == ["A"]
+    p2 = points(spark, ("A", "2024-01-01 07:00:00", 9), ("C", "2024-01-01 08:45:00", 5))
+    f2 = spark.createDataFrame([("A", "new"), ("B", "late"), ("C", "c"), ("D", "no points yet")], "id string, f string")
+    assert trips_delta(spark, base, p2, f2)["changed"]
+    everything = rows(trips.trip_summary(p1.unionByName(p2), f2))
+    assert rows(read_current(spark, base)) == everything and len(everything) == 3
+    for again in ((p2, f2), (p1, f2)):
+        assert not trips_delta(spark, base, *again)["changed"]
+    p3 = points(spark, ("D", "2024-01-01 06:00:00", 7))
+    assert trips_delta(spark, base, p3, f2.limit(0))["changed"]
+    assert rows(read_current(spark, base)) == rows(trips.trip_summary(p1.unionByName(p2).unionByName(p3), f2))
+
+
+def test_states_merge_in_any_order(spark):
+    p = points(spark, *[(f"T{i % 3}", f"2024-01-01 0{i}:00:00", i) for i in range(9)])
+    facts = spark.createDataFrame([("T0", 1, "a"), ("T0", 3, "b"), ("T0", 2, "c"), ("T1", 1, "d")], "id string, v long, f string")
+    batches = [trips.trip_state(p.where(f"v % 4 = {k}"), facts.where(f"v = {k}"), version="v") for k in range(4)]
+    want = rows(trips.trip_state(p, facts, version="v"))
+    for order in ((0, 1, 2, 3), (3, 1, 0, 2), (2, 2, 0, 3, 1, 0)):
+        assert rows(trips.merge_states(*[batches[i] for i in order])) == want
+    assert [r.vehicle_trip_id for r in trips.trips_pending(trips.trip_state(p, facts, version="v")).collect()] == ["T2"]
+
+
+def test_marks_tell_what_arrived_and_pending_facts_come_whatever_their_time(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "marks")
+
+    def facts(*items):
+        df = spark.createDataFrame(list(items), "id string, t string, f string")
+        return df.select("id", F.col("t").cast("timestamp_ntz").alias("start_time"), "f")
+
+    options = {"points_since": "created_on", "facts_since": "start_time"}
+    p1 = points(spark, ("A", "2024-01-01 08:00:00", 1), ("B", "2024-01-05 08:00:00", 2))
+    f1 = facts(("B", "2024-01-05 08:00:00", "b"))
+    trips_delta(spark, base, p1, f1, **options)
+    # A's facts are stored four days late: older than the mark, read because A waits for them
+    f2 = f1.unionByName(facts(("A", "2024-01-01 08:00:00", "a"), ("Z", "2023-01-01 08:00:00", "before the mark")))
+    p2 = p1.unionByName(points(spark, ("B", "2024-01-06 08:00:00", 3)))
+    assert trips_delta(spark, base, p2, f2, **options)["changed"]
+    assert rows(read_current(spark, base)) == rows(trips.trip_summary(p2, f2))
+    assert not trips_delta(spark, base, p2, f2, **options)["changed"]
+
+
+def test_one_trip_leaves_other_folders(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "folders")
+    p = points(spark, *[(f"T{i}", "2024-01-01 08:00:00", i) for i in range(60)])
+    f = spark.createDataFrame([(f"T{i}", "x") for i in range(60)], "id string, f string")
+    trips_delta(spark, base, p, f)
+    before = manifest.current(spark, base).parts
+    done = trips_delta(spark, base, points(spark, ("T7", "2024-01-01 10:00:00", 0)), f.where("id = 'T7'"))
+    after = manifest.current(spark, base).parts
+    assert len(done["written"]) == 1 and [q for q in after if after[q] != before[q]] == done["written"]
