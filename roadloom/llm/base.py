@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -71,6 +72,30 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(crc32_of_id(doc_id) % 4 == 2, F.lit(True))
 
 
+_STORES: dict[str, dict] = {}
+
+
+def store_of(operator: str) -> dict:
+    """What a Python worker keeps for an operator between batches.  Workers go on to other operators, so what they
+    keep for another one goes first."""
+    for other in [o for o in _STORES if o != operator]:
+        del _STORES[other]
+    return _STORES.setdefault(operator, {})
+
+
+def let_go() -> None:
+    """Give memory that is no longer used back to the system: a worker shares its executor's limit with others."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _TRIM = None
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """Consecutive (start, stop) row ranges of a string column of about ``limit`` bytes, one row at least."""
     n = len(column)
@@ -84,6 +109,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield start, min(stop, n)
         start = min(stop, n)
+        let_go()
 
 
 def dense(texts: pa.Array) -> pa.Array:

@@ -38,6 +38,12 @@ def _sums(hits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(hits, dtype=np.int64)])[at])
 
 
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of dense texts."""
+    at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[:len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    return at, np.frombuffer(texts.buffers()[2], dtype=np.uint8)[:at[-1]] if at[-1] else np.zeros(0, np.uint8)
+
+
 def text_failures(texts: pa.Array) -> np.ndarray:
     """Bits 1 (few words), 2 (few distinct words), 4 (many capitals), 8 (marks) of whole texts; NULL is an empty text."""
     texts = dense(texts)
@@ -48,8 +54,7 @@ def text_failures(texts: pa.Array) -> np.ndarray:
     pairs = np.sort(np.repeat(np.arange(n), words) * width + codes)
     first = np.concatenate([[True], pairs[1:] != pairs[:-1]]) if len(pairs) else np.zeros(0, np.bool_)
     distinct = np.bincount(pairs[first] // width, minlength=n)
-    at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[:n + 1] if n else np.zeros(1, np.int64)
-    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if n and at[-1] else np.zeros(0, np.uint8)
+    at, data = _bytes_of(texts)
     capitals, marks, points = (_sums(kind[data], at) for kind in (_CAPITAL, _MARK, _START))
     return ((words < LEAST_WORDS) * 1 + (100 * distinct < LEAST_DISTINCT * words) * 2
             + (100 * capitals > MOST_CAPITALS * points) * 4 + (marks > 0) * 8).astype(np.int32)
@@ -69,8 +74,11 @@ def document_masks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 some = batch.slice(low, high - low)
-                digests = [hashlib.sha256(b"" if t is None else t.as_buffer()).digest() for t in some.column(1)]
-                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array(digests, pa.binary()), pa.array(text_failures(some.column(1)))],
+                texts = dense(some.column(1))
+                at, data = _bytes_of(texts)
+                raw = memoryview(data)
+                digests = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(2), pa.array(digests, pa.binary()), pa.array(text_failures(texts))],
                                                  names=["doc_id", "part", "digest", "mask"])
 
     rows = stable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadloom.llm import lattice
-from roadloom.llm.base import held_out, ship, slices, table, word_codes
+from roadloom.llm.base import held_out, ship, slices, store_of, table, word_codes
 from roadloom.llm.lattice import SPACE, piece_model_path
 
 #: Added to the count of every piece.
@@ -100,18 +100,16 @@ class WordScores:
         return self.values[np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
-_SCORES: dict[str, WordScores] = {}
-
-
 def verdicts(model: Model, texts: pa.Array, lettered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of the best language, its posterior) per text; place len(languages) for none."""
-    if model.key not in _SCORES:
-        _SCORES.clear()
-        _SCORES[model.key] = WordScores(model)
+    kept = store_of("langid")
+    if model.key not in kept:
+        kept.clear()
+        kept[model.key] = WordScores(model)
     best, prob = np.full(len(texts), len(model.languages)), np.zeros(len(texts))
     if model.languages and len(texts):
         codes, offsets, words = word_codes(texts, lower="none")
-        rows = _SCORES[model.key].rows(words.to_pylist())
+        rows = kept[model.key].rows(words.to_pylist())
         filled = np.flatnonzero(np.diff(offsets) > 0)
         if len(filled):
             sums = np.add.reduceat(rows[codes], offsets[filled], axis=0)

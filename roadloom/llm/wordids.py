@@ -14,10 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from roadloom.llm.base import dense, mix64, word_codes
+from roadloom.llm.base import dense, mix64, store_of, word_codes
 
 #: Words, and their bytes, that a Python worker keeps; beyond it the half that was used less goes.
-KEPT_WORDS, KEPT_BYTES = 600_000, 12 << 20
+KEPT_WORDS, KEPT_BYTES = 400_000, 8 << 20
 #: Words encoded in one call.
 PART_WORDS = 2000
 
@@ -203,12 +203,9 @@ class WordEncoder:
         return self.gather(known[codes], lengths), ends[offsets]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    kept = store_of("wordids")
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]

@@ -27,7 +27,7 @@ def write_docs(spark, folder, rows):
     spark.createDataFrame(full, schema).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
 
 
-def write_all(spark, folder, docs, vectors, labels):
+def write_all(spark, folder, docs, vectors, labels, items):
     write_docs(spark, folder, docs)
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int, rank int, query_id string").write.mode(
         "overwrite").parquet(f"{folder}/embeddings.parquet")
@@ -35,25 +35,32 @@ def write_all(spark, folder, docs, vectors, labels):
         "overwrite").parquet(f"{folder}/labels.parquet")
 
 
+    spark.createDataFrame(items, "item_id long, text string, doc_id long, rank string, score string, item int").write.mode("overwrite").parquet(
+        f"{folder}/benchmark.parquet")
+
+
+ITEMS = [(1, "The cat, the CAT!", 1, "r", "s", 0), (2, None, 1, "r", "s", 0), (3, "", 1, "r", "s", 0), (4, "nowhere", 1, "r", "s", 0),
+         (None, "wort x", 1, "r", "s", 0), (5, "漢字とかな交じり文の文書です。", 1, "r", "s", 0), (5, "漢字とかな交じり文の文書です。", 1, "r", "s", 0)]
 VECTORS = [(0, [1.0, 0.5], 1, 1, "q"), (100, [1.0, 0.5], 1, 1, "q"), (1, [1.0, 0.5], 1, 1, "q"), (2, None, 1, 1, "q"), (3, [1.0, None], 1, 1, "q"),
            (4, [math.nan, 1.0], 1, 1, "q"), (5, [math.inf, 1.0], 1, 1, "q"), (6, [], 1, 1, "q"), (7, [1.0, 2.0, 3.0], 1, 1, "q"),
            (None, [1.0, 1.0], 1, 1, "q"), (8, [-1.0, 3e38], 1, 1, "q"), (8, [-1.0, 3e38], 1, 1, "q")]
 LABELS = [(12, 1, 1, "t", 0.5), (1, 1, 0, "t", 0.5), (None, 1, 1, "t", 0.5), (10, None, None, "t", 0.5), (12, 1, 0, "t", 0.5)]
 ROWS = {"op3_bayes_minhash": len(DOCS), "op5_chunk_recipes": len(DOCS), "op7_lexicon_automata": len(DOCS), "op8_marginal_unigrams": len(DOCS),
-        "op9_uniform_shards": len(DOCS), "op2_gear_chunks": len(DOCS), "op10_radix_windows": len(DOCS)}
+        "op9_uniform_shards": len(DOCS), "op2_gear_chunks": len(DOCS), "op10_radix_windows": len(DOCS),
+        "op12_filter_audit": 600, "op13_token_files": len(DOCS)}
 
 
 @pytest.fixture(scope="module")
 def messy(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("messy"))
-    write_all(spark, folder, DOCS, VECTORS, LABELS)
+    write_all(spark, folder, DOCS, VECTORS, LABELS, ITEMS)
     return folder
 
 
 @pytest.fixture(scope="module")
 def empty(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    write_all(spark, folder, [], [], [])
+    write_all(spark, folder, [], [], [], [])
     return folder
 
 
@@ -64,6 +71,25 @@ def test_messy_rows(spark, messy, name):
     assert rows
 
 
+def test_messy_rows_by_value(spark, messy):
+    """Rows that the defined results of odd cases name."""
+    ranked = sorted((r.item_id or 0, r.rank, r.doc_id or 0) for r in QUERIES["op11_hybrid_search"](spark, messy).collect())
+    assert ranked == [(0, 1, 7), (0, 2, 8), (0, 3, 13), (1, 1, 0), (1, 2, 1), (1, 3, 2), (1, 4, 2), (5, 1, 9)]
+    tokens = QUERIES["op13_token_files"](spark, messy).collect()
+    assert sorted(r.start for r in tokens)[0] == 0 and sum(r.n_tokens for r in tokens if r.doc_id in (3, 4, 5)) == 3
+    assert [r.doc_id for r in sorted(tokens, key=lambda r: r.start)] == sorted((d[0] for d in DOCS), key=lambda x: (x is not None, x))
+    first = [r for r in QUERIES["op12_filter_audit"](spark, messy).collect() if r.filter_order == "EABCD"]
+    assert [(r.step, r.removed, r.kept) for r in sorted(first, key=lambda r: r.step)][0] == (1, 5, 11)
+    groups = {r.doc_id: r for r in QUERIES["op5_chunk_recipes"](spark, messy).collect() if r.doc_id in (1, 2, 4, 5)}
+    assert groups[1].keep_id == 1 and groups[1].group_size == 4 and groups[4].group_size == 3 and not groups[5].kept
+    near = {r.doc_id: r.component_id for r in QUERIES["op3_bayes_minhash"](spark, messy).collect()}
+    assert (near[1], near[2], near[3], near[4], near[7], near[8], near[None]) == (1, 1, 3, 4, 7, 7, None)
+    langs = {r.doc_id: r.lang_pred for r in QUERIES["op8_marginal_unigrams"](spark, messy).collect()}
+    assert (langs[3], langs[4], langs[5], langs[6]) == ("und",) * 4 and langs[1] != "und"
+    gone = sorted((r.doc_id or 0, r.n_bytes - r.n_removed) for r in QUERIES["op10_radix_windows"](spark, messy).collect() if r.n_removed)
+    assert [d for d, _ in gone] == [2, 2, 8] and {k for _, k in gone} == {0}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, empty, name):
     assert QUERIES[name](spark, empty).collect() == []
