@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import stable
+from roadloom.llm.base import let_go, stable, store_of
 
 #: Text bytes of a batch, on average.
 BATCH_BYTES = 4 << 20
@@ -48,6 +48,7 @@ def range_of(prints: np.ndarray, ranges: int) -> np.ndarray:
 
 def compress_data(batches):
     """Rows (batch, id, data, row) with each text compressed: it crosses the network once and is read in every pass."""
+    store_of("exchange")
     zstd = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         data = [None if x is None else zstd.compress(x) for x in batch.column(2).to_pylist()]
@@ -86,6 +87,7 @@ class Corpus:
         ranges = self.ranges
 
         def send(batch, replies):
+            let_go()
             got = prints(Batch(batch), replies)
             where = range_of(got[0], ranges)
             cuts = np.searchsorted(where, np.arange(ranges + 1))
@@ -95,6 +97,7 @@ class Corpus:
                              "payload": pa.array([pack(*(a[cuts[i]:cuts[i + 1]] for a in got)) for i in some], pa.binary())})
 
         def receive(table):
+            let_go()
             sent = [unpack(p, columns) for p in table["payload"].to_pylist()]
             of = np.repeat(np.arange(len(sent)), [len(s[0]) for s in sent])
             places, out = reply(of, *(np.concatenate(x) for x in zip(*sent)))
@@ -128,6 +131,7 @@ class Corpus:
         """
 
         def run(table, replies):
+            let_go()
             batch = Batch(table)
             gone = removed(batch, replies)
             cum = np.concatenate([[0], np.cumsum(gone)])

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadloom.llm.base import mix64, ship, slices, stable, table, word_codes
+from roadloom.llm.base import let_go, mix64, ship, slices, stable, store_of, table, word_codes
 from roadloom.llm.components import components
 from roadloom.llm.lattice import ranges
 
@@ -145,6 +145,7 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
     hashes = rule.hashes
 
     def run(batches):
+        store_of("minhash")
         for batch in batches:
             for low, high in slices(batch.column(1)):
                 got, offsets = shingle_sets(batch.column(1).slice(low, high - low), rule.words)
@@ -207,6 +208,7 @@ def verify_hubs(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             .repartition("a", "piece").sortWithinPartitions("a", "piece", "side", "b"))
 
     def run(batches):
+        store_of("minhash")
         hub, hub_set = None, np.zeros(0, dtype=np.uint64)
         for batch in batches:
             for low, high in slices(batch.column(4)):
@@ -317,6 +319,7 @@ def join_rest(buckets: DataFrame, reps: DataFrame, texts: DataFrame, found: Data
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
 
     def run(batches):
+        store_of("minhash")
         kept, key = [], None
         for batch in batches:
             if not batch.num_rows:
@@ -328,6 +331,7 @@ def join_rest(buckets: DataFrame, reps: DataFrame, texts: DataFrame, found: Data
                 if kept and now != key:
                     yield finish(kept)
                     kept = []
+                    let_go()
                 key = now
                 kept.append(batch.slice(x, y - x))
         if kept:

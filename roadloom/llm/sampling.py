@@ -21,16 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadloom.llm import lattice
-from roadloom.llm.base import dense, mix64, ship, slices, table
+from roadloom.llm.base import dense, mix64, ship, slices, store_of, table
+from roadloom.llm.known import Known
 from roadloom.llm.lattice import SPACE, piece_model_path, ranges
 
 SAMPLES = 3
 SEED = 7
 #: Exponent of a piece's probability: proportional to (merge rank + 2) ** -SHARPNESS.
 SHARPNESS = 1.0
-#: Blocks whose lattices a Python worker keeps; beyond it the store starts anew.
-KEPT_BLOCKS = 250_000
-SLICE = 1 << 20
+#: Blocks, and their bytes, whose lattices a Python worker keeps; beyond it the half that was used less goes.
+KEPT_BLOCKS, KEPT_BYTES = 240_000, 4 << 20
+#: Text bytes whose blocks are looked up at once, and whose segmentations are searched at once.
+LOOK_UP, SLICE = 4 << 20, 512 << 10
 MOST_EDGES = 16
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -78,33 +80,61 @@ class Blocks:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = Known()
         self.first, self.length, self.edge_from = Grown(np.int64), Grown(np.int64), Grown(np.int64)
-        self.back, self.piece, self.q, self.cum = Grown(np.int32), Grown(np.int32), Grown(np.float64), Grown(np.float64)
+        self.back, self.piece, self.cum = Grown(np.int32), Grown(np.int32), Grown(np.float64)
+        #: Logs of an edge's conditional probability and of its alternatives' together (-inf for none).
+        self.logq, self.other = Grown(np.float64), Grown(np.float64)
         self.edge_from.add(np.zeros(1, dtype=np.int64))
 
-    def rows(self, blocks: list[str]) -> np.ndarray:
-        """Rows of blocks (each a distinct string, with its leading space signs)."""
-        if len(self.place) + len(blocks) > KEPT_BLOCKS:
-            self.clear()
-        missing = list(dict.fromkeys(b for b in blocks if b not in self.place))
-        for part in lattice.in_parts(missing):
+    def shrink(self) -> None:
+        """Let the less used half of the blocks go when there are too many."""
+        order = self.known.fewer(KEPT_BLOCKS, KEPT_BYTES)
+        if order is None:
+            return
+        first, length = self.first.data[order], self.length.data[order]
+        nodes = ranges(first, length + 1)
+        count = self.edge_from.data[nodes + 1] - self.edge_from.data[nodes]
+        edges = ranges(self.edge_from.data[nodes], count)
+        kept = [(g, g.data[edges]) for g in (self.back, self.piece, self.cum, self.logq, self.other)]
+        for grown, values in [*kept, (self.first, np.cumsum(length + 1) - length - 1), (self.length, length),
+                              (self.edge_from, np.concatenate([[0], np.cumsum(count)]))]:
+            grown.data, grown.n = values, len(values)
+
+    def rows(self, blocks: pa.Array) -> np.ndarray:
+        """Rows of blocks (strings with their leading space signs)."""
+        got = self.known.find(blocks)
+        if (got >= 0).all():
+            return got
+        missing = pc.unique(blocks.filter(pa.array(got < 0)))
+        for part in lattice.in_parts(missing.to_pylist()):
             lat = lattice.build(self.pieces, part, self.logp)
             order = np.argsort(lat.end, kind="stable")
+            logq = (lat.alpha[lat.start, 0] + lat.logp[:, 0] - lat.alpha[lat.end, 0])[order]
+            # the likeliest edge of a node goes first, so that a draw mostly takes the first one it looks at
+            cuts = np.flatnonzero(np.diff(lat.end[order], prepend=-1))
+            sizes = np.diff(np.append(cuts, len(order)))
+            likeliest = np.flatnonzero(logq == np.repeat(np.maximum.reduceat(logq, cuts), sizes))
+            group = np.searchsorted(cuts, likeliest, side="right") - 1
+            new = np.diff(group, prepend=-1) != 0
+            a, b = cuts[group[new]], likeliest[new]
+            order[a], order[b], logq[a], logq[b] = order[b], order[a], logq[b], logq[a]
             start, end = lat.start[order], lat.end[order]
-            q = np.exp(lat.alpha[start, 0] + lat.logp[order, 0] - lat.alpha[end, 0])
+            q = np.exp(logq)
             count = np.bincount(end, minlength=len(lat.alpha))
+            with np.errstate(divide="ignore"):
+                other = np.log(np.where(count[end] < 2, 0.0, np.maximum(1.0 - q, 1e-17)))
             before = np.cumsum(count) - count
             cum = np.cumsum(q)
             cum -= np.repeat((cum - q)[before[count > 0]], count[count > 0])
-            nodes, edges = self.edge_from.n - 1, self.q.n
-            self.place.update(zip(part, range(len(self.place), len(self.place) + len(part))))
+            nodes, edges = self.edge_from.n - 1, self.cum.n
             self.first.add(lat.first + nodes)
             self.length.add(lat.length)
             self.edge_from.add(edges + np.cumsum(count))
-            for grown, values in ((self.back, end - start), (self.piece, lat.piece[order]), (self.q, q), (self.cum, cum)):
+            for grown, values in ((self.back, end - start), (self.piece, lat.piece[order]), (self.cum, cum), (self.logq, logq), (self.other, other)):
                 grown.add(values)
-        return np.fromiter(map(self.place.__getitem__, blocks), dtype=np.int64, count=len(blocks))
+        self.known.add(missing)
+        return self.known.find(blocks)
 
     def draw(self, rows: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Segmentations of the first ``at`` characters of blocks, from the back: (edges, places before them, edges per block)."""
@@ -136,33 +166,26 @@ class Blocks:
 
 
 class Path:
-    """One sample of every text: its edges in search order, and the bounds of the branches that leave it."""
+    """One sample of every text: its edges in search order, and how soon the branches that leave it come.
+
+    A branch's bound is -log(exp(-top) + exp(delay)), so of a text's branches the one of the smallest delay has the
+    largest bound, and only that one's is worked out.
+    """
 
     def __init__(self, store: Blocks, off, edge, place, block, top, own_from, rest, keys, r) -> None:
         """own_from: per text the first edge whose other branches are this path's own; rest: their probability there, NaN for 1 - q."""
         self.off, self.edge, self.place, self.block, self.top = off, edge, place, block, top
-        n, doc = len(edge), np.repeat(np.arange(len(off) - 1), np.diff(off))
-        q = store.q.data[edge]
-        logq = np.log(q)
-        total = np.concatenate([[0.0], np.cumsum(logq)])
+        n, sizes = len(edge), np.diff(off)
+        total = np.concatenate([[0.0], np.cumsum(store.logq.data[edge])])
         self.logp = total[off[1:]] - total[off[:-1]]
-        node = store.edge_from.data
-        alone = node[(at := store.first.data[self.block_rows(block)] + place) + 1] - node[at] < 2
-        other = np.maximum(1.0 - q, 1e-17)
-        other[alone] = 0.0
-        has = (np.diff(off) > 0) & ~np.isnan(rest)
-        other[own_from[has]] = rest[has]
-        with np.errstate(divide="ignore", over="ignore"):
-            phi = total[:-1] - total[off[:-1]][doc] + np.log(other)
-            noise = np.log(-np.log(unit(keys[doc] + _times(_B, r) + np.arange(1, n + 1, dtype=np.uint64)
-                                        - off[:-1][doc].astype(np.uint64) + np.uint64(1 << 40))))
-            self.bound = -np.logaddexp(-top[doc], noise - phi)
-        self.bound[np.isneginf(phi) | (np.arange(n) < own_from[doc])] = -np.inf
-
-    rows: np.ndarray  # of the blocks, the same for all paths of a slice
-
-    def block_rows(self, block: np.ndarray) -> np.ndarray:
-        return self.rows[block]
+        other = store.other.data[edge]
+        has = (sizes > 0) & ~np.isnan(rest)
+        with np.errstate(divide="ignore"):
+            other[own_from[has]] = np.log(rest[has])
+        seeds = keys + _times(_B, r) + np.uint64((1 << 40) + 1) - off[:-1].astype(np.uint64)
+        noise = np.log(-np.log(unit(np.repeat(seeds, sizes) + np.arange(n, dtype=np.uint64))))
+        self.delay = noise - (total[:-1] - np.repeat(total[off[:-1]], sizes) + other)
+        self.delay[ranges(off[:-1], own_from - off[:-1])] = np.inf
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
         """(largest bound, its edge) per text; -inf for none."""
@@ -170,10 +193,12 @@ class Path:
         value, where = np.full(docs, -np.inf), np.full(docs, -1)
         some = np.flatnonzero(np.diff(self.off) > 0)
         if len(some):
-            value[some] = np.maximum.reduceat(self.bound, self.off[some])
-            hit = np.flatnonzero(self.bound == np.repeat(value, np.diff(self.off)))
+            least = np.full(docs, np.inf)
+            least[some] = np.minimum.reduceat(self.delay, self.off[some])
+            hit = np.flatnonzero(self.delay == np.repeat(least, np.diff(self.off)))
             doc = np.searchsorted(self.off, hit, side="right") - 1
             where[doc[::-1]] = hit[::-1]
+            value = np.where(np.isposinf(least), -np.inf, -np.logaddexp(-self.top, least))
         return value, where
 
 
@@ -184,14 +209,13 @@ def sample_texts(store: Blocks, rows: np.ndarray, off: np.ndarray, keys: np.ndar
     blocks have one segmentation, without pieces.
     """
     docs = len(off) - 1
-    kind = type("SlicePath", (Path,), {"rows": rows})
     block_doc = np.repeat(np.arange(docs), np.diff(off))
     nth = (np.arange(len(rows)) - off[:-1][block_doc]).astype(np.uint64)
     edge, place, count = store.draw(rows, store.length.data[rows], mix64(keys[block_doc] + _A * (nth + np.uint64(1))))
     sums = np.concatenate([[0], np.cumsum(count)])
     path_off = sums[off]
     top = -np.log(-np.log(unit(keys + _B)))
-    paths = [kind(store, path_off, edge, place, np.repeat(np.arange(len(rows)), count), top, path_off[:-1], np.full(docs, np.nan), keys, 1)]
+    paths = [Path(store, path_off, edge, place, np.repeat(np.arange(len(rows)), count), top, path_off[:-1], np.full(docs, np.nan), keys, 1)]
     has = [np.ones(docs, dtype=bool)]
     taken = [np.full((docs, k), -1, dtype=np.int64)]  # edges used up where a path leaves its parent
     leave = [np.full(docs, -1, dtype=np.int64)]
@@ -209,7 +233,7 @@ def sample_texts(store: Blocks, rows: np.ndarray, off: np.ndarray, keys: np.ndar
             e0[d], t0[d], b0[d], prefix[d] = p.edge[at[d]], p.place[at[d]], p.block[at[d]], at[d] - p.off[d]
             again = d[leave[j][d] == at[d]]
             used[again] = taken[j][again]
-            p.bound[at[d]] = -np.inf
+            p.delay[at[d]] = np.inf
         used[go, r - 2] = e0[go]
         node = store.first.data[rows[b0[go]]] + t0[go]
         options = store.edge_from.data[node][:, None] + np.arange(MOST_EDGES)
@@ -217,7 +241,7 @@ def sample_texts(store: Blocks, rows: np.ndarray, off: np.ndarray, keys: np.ndar
         for column in used[go].T:
             open_ &= options != column[:, None]
         options = np.where(open_, options, 0)
-        weight = np.where(open_, store.q.data[options], 0.0)
+        weight = np.where(open_, np.exp(store.logq.data[options]), 0.0)
         cum = weight.cumsum(axis=1)
         pick = np.minimum((cum <= (unit(keys[go] + _times(_C, r)) * cum[:, -1])[:, None]).sum(axis=1), MOST_EDGES - 1)
         line = np.arange(len(go))
@@ -252,7 +276,7 @@ def sample_texts(store: Blocks, rows: np.ndarray, off: np.ndarray, keys: np.ndar
             x[to] = z
         own = path_off[:-1].copy()
         own[go] = mid
-        paths.append(kind(store, path_off, *out, top, own, rest, keys, r))
+        paths.append(Path(store, path_off, *out, top, own, rest, keys, r))
         has.append(top > -np.inf)
         taken.append(np.where(np.arange(k) == r - 1, 0, used))
         taken[-1][go, r - 1] = new_edge
@@ -316,32 +340,33 @@ def blocks_of(store: Blocks, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     odd_at = np.flatnonzero(odd)
     odd_parts = [[b for w in regex.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+$", SPACE + t.replace(" ", SPACE)) for b in _CUT.findall(w)]
                  for t in texts.take(pa.array(odd_at)).to_pylist()]
-    plain_words = words.take(pa.array(whole)).to_pylist()
-    extra = list(dict.fromkeys(b for parts in cut_parts + odd_parts for b in parts))
-    row = store.rows(plain_words + extra)
-    row_of = store.place
+    store.shrink()
+    row = store.rows(pa.concat_arrays([words.take(pa.array(whole)), pa.array([b for parts in cut_parts + odd_parts for b in parts], pa.large_string())]))
+    part_rows = row[len(whole):]
+    in_cut = sum(map(len, cut_parts))
     count = np.ones(len(words), dtype=np.int64)
     count[cut] = [len(parts) for parts in cut_parts]
     begin = np.cumsum(count) - count
     flat = np.zeros(int(count.sum()), dtype=np.int64)
     flat[begin[whole]] = row[:len(whole)]
-    flat[ranges(begin[cut], count[cut])] = [row_of[b] for parts in cut_parts for b in parts]
+    flat[ranges(begin[cut], count[cut])] = part_rows[:in_cut]
     plain = ~(odd | empty)
     keep = np.repeat(plain, np.diff(off))
     used = codes[keep]
+    store.known.used(flat, np.repeat(np.bincount(used, minlength=len(words)), count))
     rows = flat[ranges(begin[used], count[used])]
     sums = np.concatenate([[0], np.cumsum(np.where(keep, count[codes] if len(codes) else 0, 0))])
     out_off = sums[off]
     if len(odd_at):
         each = [rows[a:b] for a, b in zip(out_off[:-1], out_off[1:])]
-        for i, ws in zip(odd_at, odd_parts):
-            each[i] = np.array([row_of[b] for b in ws], dtype=np.int64)
+        ends = in_cut + np.cumsum([len(parts) for parts in odd_parts])
+        for i, parts, end in zip(odd_at, odd_parts, ends):
+            each[i] = part_rows[end - len(parts):end]
         rows, out_off = np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
     return rows, out_off
 
 
 _CUT = regex.compile(r"[\n\t]|[^\n\t]+")
-_STORES: dict[tuple, Blocks] = {}
 
 
 def sampled(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | None = None, sharpness: float = SHARPNESS) -> DataFrame:
@@ -358,41 +383,47 @@ def sampled(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | Non
     path = path or piece_model_path()
 
     def run(batches):
-        where = (path, sharpness)
-        if where not in _STORES:
-            _STORES[where] = Blocks(path, sharpness)
-        store = _STORES[where]
+        kept, where = store_of("sampling"), (path, sharpness)
+        if where not in kept:
+            kept[where] = Blocks(path, sharpness)
+        store = kept[where]
         for batch in batches:
             ids = pc.fill_null(batch.column(0), -1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for low, high in slices(batch.column(1), SLICE):
-                part = dense(batch.column(1).slice(low, high - low))
-                keys = mix64(ids[low:high] * _A + np.uint64(seed))
-                rows, off = blocks_of(store, part)
-                paths, has, rest = sample_texts(store, rows, off, keys, k)
-                size = pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64)
-                ends = np.concatenate([[0], np.cumsum(size)])
-                o = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + len(part) + 1]
-                raw = np.frombuffer(part.buffers()[2], dtype=np.uint8)[o[0]:o[-1]] if o[-1] > o[0] else np.zeros(0, np.uint8)
-                for r, (p, there) in enumerate(zip(paths, has), 1):
-                    at = np.flatnonzero(there)
-                    if not len(at):
-                        continue
-                    got, got_off = path_ids(store, p)
-                    back, back_off = decode_bytes(path, got, got_off)
-                    same = np.diff(back_off) == size
-                    match = np.flatnonzero(same)
-                    wrong = back[ranges(back_off[match], size[match])] != raw[ranges(ends[match], size[match])]
-                    same[np.repeat(match, size[match])[wrong]] = False
-                    data = pa.Array.from_buffers(pa.large_binary(), high - low, [None, pa.py_buffer(got_off * 4), pa.py_buffer(got)])
-                    with np.errstate(over="ignore", divide="ignore"):
-                        over = p.logp - rest  # far below the threshold the probability is its odds
-                        inclusion = np.where(over < -30, over, np.log(-np.expm1(-np.exp(np.maximum(over, -30)))))
-                    take = pa.array(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(low, high - low).take(take), pa.array(np.full(len(at), r, dtype=np.int32)),
-                         data.cast(pa.binary()).take(take), pa.array(np.diff(got_off)[at]), pa.array(p.logp[at]), pa.array(p.top[at]),
-                         pa.array(inclusion[at]), pa.array(same[at])],
-                        names=["doc_id", "sample", "ids", "n_ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
+            for first, last in slices(batch.column(1), LOOK_UP):
+                texts = dense(batch.column(1).slice(first, last - first))
+                rows, off = blocks_of(store, texts)
+                for a, b in slices(texts, SLICE):
+                    low, high = first + a, first + b
+                    part = dense(texts.slice(a, b - a))
+                    found = sample_texts(store, rows[off[a]:off[b]], off[a:b + 1] - off[a], mix64(ids[low:high] * _A + np.uint64(seed)), k)
+                    yield from written(batch.column(0).slice(low, high - low), part, *found)
+
+    def written(doc_ids, part, paths, has, rest):
+        """The samples of a slice, one batch per sample number."""
+        store = store_of("sampling")[path, sharpness]
+        size = pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        o = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + len(part) + 1]
+        raw = np.frombuffer(part.buffers()[2], dtype=np.uint8)[o[0]:o[-1]] if o[-1] > o[0] else np.zeros(0, np.uint8)
+        for r, (p, there) in enumerate(zip(paths, has), 1):
+            at = np.flatnonzero(there)
+            if not len(at):
+                continue
+            got, got_off = path_ids(store, p)
+            back, back_off = decode_bytes(path, got, got_off)
+            same = np.diff(back_off) == size
+            match = np.flatnonzero(same)
+            wrong = back[ranges(back_off[match], size[match])] != raw[ranges(ends[match], size[match])]
+            same[np.repeat(match, size[match])[wrong]] = False
+            data = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(got_off * 4), pa.py_buffer(got)])
+            with np.errstate(over="ignore", divide="ignore"):
+                over = p.logp - rest  # far below the threshold the probability is its odds
+                inclusion = np.where(over < -30, over, np.log(-np.expm1(-np.exp(np.maximum(over, -30)))))
+            take = pa.array(at)
+            yield pa.RecordBatch.from_arrays(
+                [doc_ids.take(take), pa.array(np.full(len(at), r, dtype=np.int32)), data.cast(pa.binary()).take(take),
+                 pa.array(np.diff(got_off)[at]), pa.array(p.logp[at]), pa.array(p.top[at]), pa.array(inclusion[at]), pa.array(same[at])],
+                names=["doc_id", "sample", "ids", "n_ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, sample int, ids binary, n_ids long, log_prob double, perturbed double, log_inclusion double, round_trip boolean")

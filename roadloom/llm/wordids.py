@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from roadloom.llm.base import dense, mix64, store_of, word_codes
+from roadloom.llm.base import store_of, word_codes
+from roadloom.llm.known import Known, flags
 
 #: Words, and their bytes, that a Python worker keeps; beyond it the half that was used less goes.
 KEPT_WORDS, KEPT_BYTES = 400_000, 8 << 20
@@ -34,38 +35,11 @@ def word_bpe_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def flags(column) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).astype(bool)
-
-
 def distinct(*columns: pa.Array) -> pa.Array:
     """The different values of string columns, in order of appearance."""
     return pc.unique(pa.concat_arrays(columns))
 
 
-class Hashes:
-    """64-bit polynomial hashes of all strings of a column at once."""
-
-    def __init__(self) -> None:
-        self.bytes = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        self.powers, self.inverses = np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def of(self, words: pa.Array) -> np.ndarray:
-        words = dense(words)
-        if not len(words):
-            return np.zeros(0, np.uint64)
-        at = np.frombuffer(words.buffers()[1], dtype=np.int64)[:len(words) + 1]
-        data = np.frombuffer(words.buffers()[2], dtype=np.uint8) if at[-1] else np.zeros(0, np.uint8)
-        if len(data) >= len(self.powers):
-            factor = 0xD6E8FEB86659FD93
-            for name, f in (("powers", factor), ("inverses", pow(factor, -1, 1 << 64))):
-                out = np.full(2 * len(data), np.uint64(f))
-                out[0] = 1
-                setattr(self, name, np.cumprod(out, dtype=np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.bytes[data] * self.powers[:len(data)], dtype=np.uint64)])
-        return mix64((sums[at[1:]] - sums[at[:-1]]) * self.inverses[at[:-1]] + np.diff(at).astype(np.uint64))
-
-
 class WordEncoder:
     """Encodes texts as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` does."""
 
@@ -84,11 +58,8 @@ class WordEncoder:
         self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         special = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
         self.odd = "|".join([ODD, *special])
-        self.hashes = Hashes()
-        self.words = pa.array([], pa.large_string())
-        self.sorted, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.starts, self.uses = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.uint32)
+        self.known = Known()
+        self.starts, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
 
     def by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, sizes) of texts as they are."""
@@ -107,29 +78,10 @@ class WordEncoder:
             out.append((ids, np.diff(stops, prepend=0)) if len(stops) == len(some) else self.by_library(some.to_pylist()))
         return tuple(np.concatenate(x) for x in zip(*out))
 
-    def find(self, words: pa.Array) -> np.ndarray:
-        """Places of kept words, -1 for the others."""
-        hashes = self.hashes.of(words)
-        at = np.searchsorted(self.sorted, hashes)
-        out = np.full(len(words), -1)
-        open_ = np.arange(len(words))
-        while len(open_ := open_[at[open_] < len(self.sorted)]) and len(open_ := open_[self.sorted[at[open_]] == hashes[open_]]):
-            place = self.order[at[open_]]
-            same = flags(pc.equal(self.words.take(pa.array(place)), words.take(pa.array(open_))))
-            out[open_[same]] = place[same]
-            open_ = open_[~same]  # another word of this hash
-            at[open_] += 1
-        return out
-
     def keep(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Add different words that are not kept yet."""
-        hashes = np.concatenate([self.sorted, self.hashes.of(words)])
-        order = np.concatenate([self.order, np.arange(len(self.words), len(self.words) + len(words))])
-        by_hash = np.argsort(hashes, kind="stable")
-        self.sorted, self.order = hashes[by_hash], order[by_hash]
-        self.words = pa.concat_arrays([self.words, words])
+        self.known.add(words)
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int64)])
         self.ids = np.concatenate([self.ids, ids])
 
     def gather(self, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -151,13 +103,13 @@ class WordEncoder:
         ends = np.concatenate([[0], np.cumsum(full)])[ends]
         flat = flat.filter(pa.array(full))
         new = distinct(words.filter(pa.array(alone)), flat)
-        new = new.filter(pa.array(self.find(new) < 0))
+        new = new.filter(pa.array(self.known.find(new) < 0))
         plain = flags(pc.match_substring_regex(new, "^[!-~]+$"))
         for some, encoder in ((new.filter(pa.array(plain)), self.ascii), (new.filter(pa.array(~plain)), self.parts)):
             self.keep(some, *self.encode_parts(some, encoder))
         # a word that is its only part is kept by now
-        rest = self.find(mixed) < 0
-        own = self.find(flat)
+        rest = self.known.find(mixed) < 0
+        own = self.known.find(flat)
         own = own[np.repeat(rest, np.diff(ends))]
         sizes = self.sizes(own)
         sums = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(np.diff(ends)[rest])])]
@@ -165,18 +117,11 @@ class WordEncoder:
 
     def shrink(self) -> None:
         """Let the less used half of the words go when there are too many, and the longest when they are too long."""
-        if len(self.words) <= KEPT_WORDS and self.words.nbytes - 8 * len(self.words) <= KEPT_BYTES:
-            return
-        order = np.argsort(-self.uses, kind="stable")[:KEPT_WORDS // 2]
-        length = pc.binary_length(self.words).to_numpy(zero_copy_only=False)[order]
-        by_length = np.argsort(length, kind="stable")
-        order = np.sort(order[by_length[np.cumsum(length[by_length]) <= KEPT_BYTES // 2]])
-        words, sizes, uses = self.words.take(pa.array(order)), self.sizes(order), self.uses[order] // 2
-        ids = self.gather(order, sizes)
-        self.words, self.starts, self.uses, self.ids = words.slice(0, 0), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.sorted, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.keep(words, ids, sizes)
-        self.uses = uses
+        order = self.known.fewer(KEPT_WORDS, KEPT_BYTES)
+        if order is not None:
+            sizes = self.sizes(order)
+            self.ids = self.gather(order, sizes)
+            self.starts = np.concatenate([[0], np.cumsum(sizes)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): text i's ids are ids[offsets[i]:offsets[i + 1]]; NULL is an empty text."""
@@ -189,15 +134,15 @@ class WordEncoder:
         lower = pc.utf8_lower(words)
         space = pa.scalar(" ", words.type)
         words = pc.if_else(odd, pc.binary_join_element_wise(space, words, pa.scalar("", words.type)), lower) if flags(odd).any() else lower
-        known = self.find(words)
+        known = self.known.find(words)
         if (known < 0).any():
             missing = distinct(words.filter(pa.array(known < 0)))
             strange = pc.starts_with(missing, " ")
             self.add(missing.filter(pc.invert(strange)))
             if len(rest := missing.filter(strange)):
                 self.keep(rest, *self.by_library([w[1:] for w in rest.to_pylist()]))
-            known = self.find(words)
-        np.add.at(self.uses, known, np.bincount(codes, minlength=len(known)))
+            known = self.known.find(words)
+        self.known.used(known, np.bincount(codes, minlength=len(known)))
         lengths = self.sizes(known)[codes]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         return self.gather(known[codes], lengths), ends[offsets]
