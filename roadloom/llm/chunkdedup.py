@@ -63,21 +63,30 @@ def chunked(batch: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, end, digest
 
 
+def neighbours(digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(digests of chunk pairs that stand side by side in a document, place of the left one)."""
+    left = np.flatnonzero(doc[1:] == doc[:-1])
+    return mix64(digest[left] * np.uint64(0x9E3779B97F4A7C15) + digest[left + 1] + np.uint64(1)), left
+
+
 def without_repeats(docs: DataFrame, carried=None, run_bytes: int = RUN_BYTES) -> DataFrame:
     """Rows (row, data, n_bytes, n_removed, n_spans): each document without passages that an earlier one has.
 
     ``row`` is ``carried`` (the doc_id unless given), ``data`` the UTF-8 bytes left (NULL for a NULL text).  A chunk is a
-    copy when its digest also occurs in a document with a smaller doc_id; runs of copied chunks of at least
-    ``run_bytes`` bytes are removed, judged on the input.  So the first document keeps a passage, and repeats
-    inside one document stay.  Rows without doc_id neither own nor lose passages; rows that share a doc_id do
-    not take from each other.  Empty texts and tables are fine.
+    copy when its digest also occurs in a document with a smaller doc_id, and a run of copies goes on from one to the
+    next when these two also stand side by side in a document with a smaller doc_id: chunks that are common each
+    for itself do not add up to a passage.  Runs of at least ``run_bytes`` bytes are removed, judged on the input.  So the
+    first document keeps a passage, and repeats inside one document stay.  Rows without doc_id neither own nor lose passages;
+    rows that share a doc_id do not take from each other.  Texts of any length are taken whole; empty texts and tables are fine.
     """
     ship(docs.sparkSession)
-    corpus = Corpus(docs, F.col("doc_id") if carried is None else carried, 1 / 30)
+    corpus = Corpus(docs, F.col("doc_id") if carried is None else carried, 1 / 15)
 
     def prints(batch, _):
         begin, _, digest = chunked(batch)
         doc = batch.doc_of(begin)
+        pairs, left = neighbours(digest, doc)
+        digest, doc = np.concatenate([digest, pairs]), np.concatenate([doc, doc[left]])
         named = batch.named[doc]
         return first_owners(digest[named], batch.ids[doc[named]])
 
@@ -87,9 +96,13 @@ def without_repeats(docs: DataFrame, carried=None, run_bytes: int = RUN_BYTES) -
         if not len(begin):
             return gone
         doc = batch.doc_of(begin)
-        copy = batch.named[doc] & (looked_up(replies.get(1, []), digest) < as_unsigned(batch.ids[doc]))
-        first = np.flatnonzero(copy & ~(np.concatenate([[False], copy[:-1]]) & (np.diff(doc, prepend=-1) == 0)))
-        last = np.flatnonzero(copy & ~(np.concatenate([copy[1:], [False]]) & (np.diff(doc, append=-1) == 0)))
+        pairs, left = neighbours(digest, doc)
+        mine = as_unsigned(batch.ids[doc])
+        owner = looked_up(replies.get(1, []), np.concatenate([digest, pairs]))
+        copy = batch.named[doc] & (owner[:len(digest)] < mine)
+        joined = np.zeros(len(digest) + 1, dtype=bool)  # chunk i - 1 with chunk i
+        joined[left + 1] = copy[left] & copy[left + 1] & (owner[len(digest):] < mine[left])
+        first, last = np.flatnonzero(copy & ~joined[:-1]), np.flatnonzero(copy & ~joined[1:])
         x, y = begin[first], end[last]
         long = y - x >= run_bytes
         gone[ranges(x[long], (y - x)[long])] = True

@@ -80,15 +80,16 @@ def _variants(text: DataFrame, clashes: DataFrame, digest: Callable[[Column], Co
 def drop_exact(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that repeat another row's text (the smallest doc_id of equal texts stays).
 
-    All columns are kept.  Rows that share id and text are reduced to one.
+    All columns are kept, whatever their names.  Rows that share id and text are reduced to one.  Texts of any length
+    are compared whole; NULL and empty texts are equal; an empty table stays empty.
     """
-    kept = exact_groups(docs.select("doc_id", "text")).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    sha = F.sha2(normalised(docs["text"]), 256)
-    one = Window.partitionBy("__id", "__sha").orderBy("__id")
-    flagged = docs.withColumn("__key", F.struct(docs["doc_id"].alias("id"), sha.alias("sha")))
-    return (flagged.join(kept, (F.col("__key.sha") == F.col("__sha")) & F.col("__key.id").eqNullSafe(F.col("__id")))
-            .withColumn("__nth", F.row_number().over(one)).filter("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    kept = exact_groups(docs.select("doc_id", "text")).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (F.col(plain[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    rows = docs.toDF(*plain).withColumn("sha", F.sha2(normalised(text), 256))
+    one = Window.partitionBy("kept_id", "kept_sha").orderBy("kept_id")
+    return (rows.join(kept, (F.col("sha") == F.col("kept_sha")) & doc_id.eqNullSafe(F.col("kept_id")))
+            .withColumn("nth", F.row_number().over(one)).filter("nth = 1").select(*plain).toDF(*docs.columns))
 
 
 def op5_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,7 +64,10 @@ class Corpus:
     """
 
     def __init__(self, docs: DataFrame, carried: Column, prints_per_byte: float) -> None:
-        """``prints_per_byte`` is about how many fingerprints a byte of text gives."""
+        """``prints_per_byte`` is about how many fingerprints a byte of text gives.
+
+        ``docs`` should be read from files or a checkpoint: a partition that is made anew must have its rows in the same order.
+        """
         spark = docs.sparkSession
         data = F.col("text").cast("binary")
         total = docs.agg(F.sum(F.octet_length(data))).first()[0] or 0
@@ -73,7 +76,8 @@ class Corpus:
         #: Leading bits of a fingerprint that tell nearly all different ones apart.
         self.bits = min(64, total.bit_length() + 8)
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(self.batches)).cast("int").alias("batch"),
+        # dealt by place, so that rows which repeat one another go to different batches
+        dealt = docs.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(self.batches)).cast("int").alias("batch"),
                             F.col("doc_id").cast("long").alias("id"), data.alias("data"), carried.alias("row"))
         self.frame = dealt.mapInArrow(compress_data, dealt.schema).repartition(parts, "batch").persist(StorageLevel.DISK_ONLY)
         weakref.finalize(self, self.frame.unpersist)

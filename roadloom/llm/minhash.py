@@ -344,10 +344,10 @@ def near_groups(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     component_id is the smallest doc_id that can be reached over links (the own one included), kept is
-    doc_id = component_id.  Words are runs without ASCII white space, A-Z in lower case.  A NULL text or one without
-    words has no shingles and is linked with nothing.  doc_id names a document: rows that repeat one with
-    another text share the smallest component of their texts, each with its own n_shingles.  Rows without doc_id take no part: component_id NULL, kept true.  An
-    empty table gives no rows.  A similar pair is missed with a probability below 2 * MISS.
+    doc_id = component_id.  Words are runs without ASCII white space, A-Z in lower case; texts of any length are taken whole.  A NULL
+    text or one without words has no shingles and is linked with nothing.  doc_id names a document: rows that repeat one with
+    another text join what is reachable over either text, each row with its own n_shingles.  Rows without doc_id take no
+    part: component_id NULL, kept true.  An empty table gives no rows.  A similar pair is missed with a probability below 2 * MISS.
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -361,7 +361,12 @@ def near_groups(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
     buckets = stable(rows.join(sizes, "bucket").select("bucket", "band", "id", "hub", "n"))
     texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
     stars = buckets.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = stable(verify_hubs(stable(by_sketch(stars, reps, rule)), texts, rule))
+    links = verify_hubs(stable(by_sketch(stars, reps, rule)), texts, rule)
+    # a doc_id with several texts is one document: it joins their classes
+    several = full.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high").select("doc_id")
+    theirs = stable(full.join(several, "doc_id", "left_semi").join(classes, "digest").select("doc_id", "id").distinct())
+    least = theirs.groupBy("doc_id").agg(F.min("id").alias("a"))
+    links = stable(links.unionByName(theirs.join(least, "doc_id").filter("a <> id").select("a", F.col("id").alias("b")).distinct()))
     found = components(links)
     more = join_rest(buckets, reps, texts, found, rule)
     joined = (more.join(found.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
@@ -381,10 +386,12 @@ def near_groups(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
 def drop_near(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
     """``docs`` without near duplicates: of each component the document with the smallest doc_id stays.
 
-    All columns are kept; rows without doc_id, words or text stay.
+    All columns are kept, whatever their names; rows without doc_id, words or text stay.  Texts of any length are
+    compared on all their shingles.  Rows that share the doc_id that stays all stay; an empty table stays empty.
     """
-    gone = near_groups(docs.select("doc_id", "text"), rule).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    gone = near_groups(docs.select("doc_id", "text"), rule).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*plain).join(gone, F.col(plain[docs.columns.index("doc_id")]) == F.col("gone"), "left_anti").toDF(*docs.columns)
 
 
 def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -267,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ship(spark)
     picked = labelled_sample(labels).collect()
     sample = spark.createDataFrame(picked, "doc_id long, toxic int")
-    rows = docs.filter("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    rows = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(sample), "doc_id").select("text", "toxic")
     n_toxic = sum(r.toxic for r in picked)
     n_clean = len(picked) - n_toxic
     if not picked:

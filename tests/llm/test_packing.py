@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from roadloom.llm import wordids
+from roadloom.llm import known, wordids
 from roadloom.llm.packing import pack
 from roadloom.llm.wordids import WordEncoder, word_bpe_path
 
@@ -48,11 +48,11 @@ def test_store_keeps_to_its_limits(library, monkeypatch):
         texts = [*TEXTS, *(f"word{i}{j} again, common stuff" for j in range(20)), "y" * 900 + str(i)]
         assert encoded(encoder, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
     encoder.shrink()
-    assert len(encoder.words) <= 40
+    assert len(encoder.known) <= 40
 
 
 def test_words_of_one_hash_are_told_apart(library, monkeypatch):
-    monkeypatch.setattr(wordids.Hashes, "of", lambda self, words: np.full(len(words), np.uint64(7)))
+    monkeypatch.setattr(known.Known, "hashes", lambda self, words: np.full(len(words), np.uint64(7)))
     encoder = WordEncoder(word_bpe_path())
     for texts in (["one two three", "four, five."], ["two six; one", "seven's"]):
         assert encoded(encoder, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]

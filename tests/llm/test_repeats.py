@@ -103,3 +103,76 @@ def test_cuts_resist_shifts():
 def test_cuts_of_uniform_bytes_are_bounded():
     data = np.full(10_000, 97, dtype=np.uint8)
     assert np.diff(np.concatenate([[0], cut_places(data, np.array([0, 4000, 4000, 10_000]))])).max() <= 128
+
+
+def brute_chunks(docs, run_bytes=80):
+    """Substring dedup by plain loops: chunks of every text, then runs of copies whose neighbours an earlier text has side by side."""
+    chunks = {}
+    for place, (i, t) in enumerate(docs):
+        raw = (t or "").encode()
+        data = np.frombuffer(raw, dtype=np.uint8)
+        ends = cut_places(data, np.array([0, len(raw)])).tolist() if raw else []
+        chunks[place] = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    first_chunk, first_pair = {}, {}
+    for place, (i, _) in enumerate(docs):
+        if i is None:
+            continue
+        for c in chunks[place]:
+            first_chunk[c] = min(first_chunk.get(c, i), i)
+        for p in zip(chunks[place], chunks[place][1:]):
+            first_pair[p] = min(first_pair.get(p, i), i)
+    out = []
+    for place, (i, t) in enumerate(docs):
+        runs, run = [], []
+        for n, c in enumerate(chunks[place]):
+            copy = i is not None and first_chunk[c] < i
+            if run and not (copy and first_pair[chunks[place][n - 1], c] < i):
+                runs.append(run)
+                run = []
+            if copy:
+                run = [*run, n]
+        gone = {n for r in [*runs, run] if sum(len(chunks[place][n]) for n in r) >= run_bytes for n in r}
+        kept = b"".join(c for n, c in enumerate(chunks[place]) if n not in gone)
+        out.append((i, len((t or "").encode()) - len(kept), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_chunks_equal_brute_force(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(exchange, "BATCH_BYTES", 700)
+        monkeypatch.setattr(exchange, "RANGE_PRINTS", 50)
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(300)]
+    passages = [" ".join(rng.choices(words, k=60)) for _ in range(4)]
+    docs = [(i * 2, " ".join([*rng.choices(words, k=20), rng.choice(passages), *rng.choices(words, k=rng.randint(0, 20)), rng.choice(passages)])) for i in range(40)]
+    docs += [(3, None), (5, ""), (None, passages[0]), (4, docs[2][1]), (4, docs[3][1])]
+    got = [(r.row, r.n_removed, hashlib.sha256(r.data or b"").hexdigest()) for r in without_repeats(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()]
+    want = brute_chunks(docs)
+    assert sorted(got, key=str) == want and sum(n for _, n, _ in want) > 5000
+
+
+def test_common_chunks_do_not_make_a_passage(spark):
+    """Text put together from chunks of several earlier texts repeats nowhere and stays."""
+    rng = random.Random(6)
+    earlier = [" ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 9) for _ in range(120)) for _ in range(12)]
+    pieces = []
+    for t in earlier:
+        raw = t.encode()
+        ends = cut_places(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)])).tolist()
+        pieces.append(raw[ends[2]:ends[3]].decode())
+    docs = [*enumerate(earlier), (100, "".join(pieces))]
+    got = {r.row: r.n_removed for r in without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[100] == 0
+
+
+def test_identical_rows_are_dealt_apart(spark):
+    docs = spark.createDataFrame([(7, "same text " * 100)] * 60, "doc_id long, text string").repartition(3)
+    batches = exchange.BATCH_BYTES
+    try:
+        exchange.BATCH_BYTES = 10_000
+        sizes = [r["count"] for r in exchange.Corpus(docs, docs["doc_id"], 1 / 30).frame.groupBy("batch").count().collect()]
+    finally:
+        exchange.BATCH_BYTES = batches
+    assert sum(sizes) == 60 and max(sizes) < 25
