@@ -48,6 +48,43 @@ def parse_wkt(wkt: str) -> Column:
                                            'y', try_cast(get(split(trim(p), r'\s+'), 1) AS DOUBLE))))""")
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``value`` worked out once under ``name``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _normal_ring(ring: str) -> str:
+    """SQL of a closed ring that starts at its smallest vertex and runs counter-clockwise.
+
+    Of all ways to write the ring from a smallest vertex the smallest is taken first, so what follows sees the same
+    vertices in the same order, whichever of them the text began with and whichever way it ran.
+    """
+    def turns(path: str) -> str:
+        return _let("m", f"array_min({path})", f"""transform(filter(sequence(0, size({path}) - 1), i -> get({path}, i) <=> m),
+            i -> concat(slice({path}, i + 1, size({path})), slice({path}, 1, i)))""")
+
+    area = f"""{_let('o', 'get(w, 0)', f"{_sum(_segments('w', '((p.x - o.x) * (q.y - o.y) - (q.x - o.x) * (p.y - o.y))'))}")}"""
+    least = f"array_min(concat({turns('v')}, {_let('b', 'reverse(v)', turns('b'))}))"
+    chosen = _let("w", least, f"if({area} < 0, concat(slice(w, 1, 1), reverse(slice(w, 2, size(w)))), w)")
+    normal = _let("v", f"slice({ring}, 1, size({ring}) - 1)", _let("c", chosen, "concat(c, slice(c, 1, 1))"))
+    return f"CASE WHEN size({ring}) < 3 OR NOT (get({ring}, 0) <=> get({ring}, size({ring}) - 1)) THEN {ring} ELSE {normal} END"
+
+
+def normal_form(rings: str, gtype: str, decimals: int | None = None) -> Column:
+    """Rings in a form that is the same for equal shapes: winding, first vertex, order of holes, direction of a path.
+
+    With ``decimals`` coordinates are fixed-point numbers of that many digits, so that texts which differ by rounding
+    noise are equal too.  Measures of the normal form are bit for bit equal for equal shapes.
+    """
+    r, g = _q(rings), _q(gtype)
+    if decimals is not None:
+        r = f"transform({r}, r -> transform(r, v -> named_struct('x', round(v.x, {decimals}), 'y', round(v.y, {decimals}))))"
+    holes = f"sort_array(transform(slice(a, 2, size(a)), h -> {_normal_ring('h')}))"
+    polygon = f"concat(transform(slice(a, 1, 1), h -> {_normal_ring('h')}), {holes})"
+    path = "transform(a, p -> array_min(array(p, reverse(p))))"
+    return _expr(_let("a", r, f"CASE WHEN {g} = 'POLYGON' THEN {polygon} WHEN {g} = 'LINESTRING' THEN {path} ELSE a END"))
+
+
 def _segments(ring: str, body: str) -> str:
     """zip_with over consecutive vertex pairs (p, q) of ``ring``."""
     return f"zip_with(slice({ring}, 1, size({ring}) - 1), slice({ring}, 2, size({ring}) - 1), (p, q) -> {body})"

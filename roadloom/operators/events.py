@@ -159,10 +159,13 @@ def _extreme_per_group(
     (order..., payload...) picks the row with the smallest (largest) order
     value.  This is a partial aggregation: each task keeps one row per key
     before the shuffle, so a hot key costs one row per task, not one task.
+    A row without a time is the first one only where no row has a time: NULLs
+    sort last, as in the source databases.
     """
     payload = [c for c in columns if c not in keys and c not in order]
     s = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])
-    pick = (F.max if latest else F.min)(s).alias("__rl_pick")
+    first = F.coalesce(F.min(F.when(F.col(order[0]).isNotNull(), s)), F.min(s))
+    pick = (F.max(s) if latest else first).alias("__rl_pick")
     return df.groupBy(*keys).agg(pick).select(
         *keys, *[F.col("__rl_pick").getField(c).alias(c) for c in order + payload]
     )

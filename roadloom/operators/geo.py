@@ -10,26 +10,32 @@ from roadloom.functions.geometry import (
     distance,
     geometry_type,
     measures_from,
+    normal_form,
     parse_wkt,
     path_moments,
     ring_stats,
     ring_totals,
 )
+from roadloom.session import holding, worked_out_once
 
 # The reference's city bounding box (strict bounds), degrees.
 BARCELONA_BOX = {"north": 41.5, "south": 41.2, "west": 2.0, "east": 2.2}
 
 
 def geometry_features(
-    df: DataFrame, *, id_col: str = "id", wkt: str = "geometry", properties: list[str] | None = None
+    df: DataFrame, *, id_col: str = "id", wkt: str = "geometry", properties: list[str] | None = None, decimals: int | None = None
 ) -> DataFrame:
     """WKT text -> type, centroid, area, perimeter and length per row.
 
+    Measures are taken from a normal form of the shape, so equal shapes have equal measures, bit for bit, whichever
+    vertex their text begins with, whichever way it runs and in whatever order it names holes.  ``decimals`` makes
+    coordinates fixed-point numbers first, so that rounding noise in the text does not tell shapes apart.
     Staged projections (rings -> per-ring sums -> totals -> measures) so each
     array expression is evaluated once per row, not once per output field.
     """
     props = properties if properties is not None else [c for c in df.columns if c not in (id_col, wkt)]
-    g = df.select(id_col, *props, geometry_type(wkt).alias("geom_type"), parse_wkt(wkt).alias("__rl_rings"))
+    g = df.select(id_col, *props, geometry_type(wkt).alias("geom_type"), parse_wkt(wkt).alias("__rl_text"))
+    g = g.withColumn("__rl_rings", normal_form("__rl_text", "geom_type", decimals)).drop("__rl_text")
     g = g.withColumn("__rl_stats", ring_stats("__rl_rings"))
     g = g.withColumns({"__rl_tot": ring_totals("__rl_stats"), "__rl_mom": path_moments("__rl_rings")})
     g = g.withColumn("__rl_m", measures_from("__rl_tot", "__rl_mom", "geom_type"))
@@ -49,16 +55,18 @@ def geometry_groups(features: DataFrame, *, keys: list[str] | None = None) -> Da
     """Rows per identical (centroid, area, perimeter), joined back to each feature.
 
     Grouped count then equi-join on the group key (not a window): the count is
-    a partial aggregation and the join is split by AQE if one shape is hot.
+    a partial aggregation and the join is split by AQE if one shape is hot.  The
+    features are worked out once, for the rows and for their counts.
     """
     keys = keys or GROUP_KEYS
+    features = worked_out_once(features)
     counts = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     counts = counts.select(*[F.col(k).alias(f"__rl_g_{k}") for k in keys], "count")
     cond = None
     for k in keys:
         c = features[k].eqNullSafe(counts[f"__rl_g_{k}"])
         cond = c if cond is None else cond & c
-    return features.join(counts, cond, "inner").drop(*[f"__rl_g_{k}" for k in keys])
+    return holding(features.join(counts, cond, "inner").drop(*[f"__rl_g_{k}" for k in keys]), features)
 
 
 def within_radius(

@@ -60,7 +60,16 @@ def accepted_positions(df: DataFrame, column: str = "gps_coordinates") -> DataFr
     strict_reason = validate_gps(df, column).withColumnRenamed("gps_reason", "__rl_strict")
     both = normalize_gps(strict_reason, column)
     reason = F.when(F.col("__rl_strict") == F.lit(ACCEPTED), F.lit(ACCEPTED)).otherwise(F.col("gps_reason"))
-    return both.withColumn("gps_reason", reason).select(*df.columns, "gps_reason")
+    return once_per_row(both.select(*df.columns, reason.alias("gps_reason")), "gps_reason")
+
+
+def once_per_row(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``column`` fixed: what is built on it reads its value and does not work out its expression again.
+
+    A generator of one value per row stands between: the optimizer copies no expression into a filter through it.
+    """
+    values = df.select(*[F.col(c) for c in df.columns if c != column], F.explode(F.array(column)).alias(column))
+    return values.select(*df.columns)
 
 
 def split_rejects(df: DataFrame, reason_col: str = "gps_reason") -> tuple[DataFrame, DataFrame]:

@@ -1,71 +1,63 @@
-"""Row number and previous-row values inside ordered groups, safe for hot keys.
-
-``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task.
-If one key holds a third of the table, that task is a third of the job.  This
-operator keeps the window but splits hot keys first:
-
-1. rows per key (partial aggregation; the hot-key table has at most
-   ``rows / max_group_rows`` rows, so it is safe to broadcast).  This small
-   job runs first: when no key is hot the plain window is used as is;
-2. for hot keys only, ``split - 1`` approximate quantiles of the first order
-   column (a small table: hot keys x split values);
-3. every row gets a bucket: 0 for normal keys, the quantile interval of its
-   order value for hot keys.  Equal order values share a bucket, so buckets
-   are contiguous slices of the total order;
-4. the window runs per (key, bucket): at most about ``rows / split`` rows of a
-   hot key per task;
-5. per (key, bucket) of hot keys: row count and last row (small table); a
-   window over it gives each bucket the rows before it and the last row of the
-   previous bucket; a join adds them back (Spark broadcasts it when it is small).
-
-The result equals the plain window exactly (tested against it).
+"""Row number and previous-row values inside ordered groups, whatever the size of a group: a segmented scan.
+
+``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task.  If one key holds a third of the table,
+that task is a third of the job.  Here the total order of (key, order) is cut into segments of about equal size, a
+window numbers the rows of each (key, segment), and what a key has in earlier segments is carried in:
+
+1. the segments' bounds are quantiles of a bounded sample of (key, order) rows (the rows of the smallest hashes), one
+   array that the plan holds as a scalar subquery;
+2. a row's segment is found in it by halving, so a segment is a contiguous stretch of the total order and rows of one
+   key fall into one segment or into neighbouring ones;
+3. the window runs per (key, segment): no task gets more of a key than a segment has;
+4. only keys that a bound cuts need more.  Per segment that they reach, one summary row holds the count and the last row;
+   a window over these rows (two per bound at most) gives what lies before each segment, and a join adds it.
+
+It is one lazy plan for all sizes; no job runs while it is built.  The result equals the plain window.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from roadloom.functions.columns import epoch_micros_ntz
 
-_ORD = "__rl_ord"
-_BKT = "__rl_bucket"
+_SEG = "__rl_bucket"
 _BOUNDS = "__rl_bounds"
+_ROW = "__rl_row"
 
+#: None uses the plain window; any number the segmented scan (kept for callers that named a limit).
 DEFAULT_MAX_GROUP_ROWS = 5_000_000
-DEFAULT_SPLIT = 32
+#: Sampled rows per segment.
+SAMPLE = 64
 
 
-def _as_long(c: Column, dtype: T.DataType) -> Column:
-    """Monotone map of an order column to a long (for quantile sketches)."""
-    if isinstance(dtype, T.TimestampNTZType):
-        return epoch_micros_ntz(c)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return c.cast("long")
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        # floor keeps the map monotone (ties share a bucket)
-        return F.floor(c).cast("long")
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        # the first seven bytes as a number
-        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
-    raise TypeError(f"cannot split groups on an order column of type {dtype.simpleString()}")
+def nulls_last(order: list[str]) -> list[Column]:
+    """Ascending order with NULLs last, as the source databases sort."""
+    return [F.col(c).asc_nulls_last() for c in order]
 
 
-def _key_names(keys: list[str], prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(len(keys))]
+def _row(keys: list[str], order: list[str]) -> Column:
+    """A row's place in the total order as a value that compares: (key, order), NULLs of the order last."""
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    place = F.struct(*[x for i, c in enumerate(order) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"o{i}"))])
+    return F.struct(key.alias("k"), place.alias("o"))
+
+
+def segment_bounds(df: DataFrame, keys: list[str], order: list[str], segments: int, sample: int = SAMPLE) -> DataFrame:
+    """One row with the array of the ``segments - 1`` bounds: quantiles of at most ``sample * segments`` rows.
+
+    The sample is the rows whose hashes are smallest, so a rerun takes the same.  Each task keeps that many, none collects more.
+    """
+    rows = df.select(_row(keys, order).alias("r")).orderBy(F.xxhash64("r")).limit(sample * segments)
+    sorted_ = rows.agg(F.sort_array(F.collect_list("r")).alias("s"))
+    return sorted_.select(F.expr(f"transform(sequence(1, {segments - 1}), i -> get(s, cast(floor(size(s) * i / {segments}) AS INT)))").alias("b"))
 
 
-def _same_keys(left: DataFrame, right: DataFrame, lk: list[str], rk: list[str]) -> Column:
-    cond = None
-    for a, b in zip(lk, rk):
-        c = left[a].eqNullSafe(right[b])
-        cond = c if cond is None else cond & c
-    return cond
+def _halving(bounds: str, row: str, segments: int) -> Column:
+    """How many of the sorted bounds are smaller than the row."""
+    low = "named_struct('lo', shiftright(s.lo + s.hi, 1) + 1, 'hi', s.hi)"
+    high = "named_struct('lo', s.lo, 'hi', shiftright(s.lo + s.hi, 1))"
+    return F.expr(f"""aggregate(sequence(1, {max(1, (segments - 1).bit_length())}), named_struct('lo', 0, 'hi', {segments - 1}),
+        (s, i) -> if(s.lo >= s.hi, s, if(get({bounds}, shiftright(s.lo + s.hi, 1)) < {row}, {low}, {high})), s -> s.lo)""")
 
 
 def ordered_sequence(
@@ -75,92 +67,55 @@ def ordered_sequence(
     *,
     row_number: str | None = "row_number",
     lags: dict[str, str] | None = None,
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-    split: int = DEFAULT_SPLIT,
-    accuracy: int = 10_000,
+    max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS,
+    split: int | None = None,
 ) -> DataFrame:
-    """Add ``row_number`` (1-based) and ``lags`` (``{out_col: source_col}``,
-    value of the previous row) within ``keys`` ordered ascending by ``order``.
+    """Add ``row_number`` (1-based) and ``lags`` (``{out_col: source_col}``, value of the previous row) within
+    ``keys`` ordered ascending by ``order``, NULLs last.
 
-    ``order`` should end with a unique column so the order is total.
-    ``max_group_rows=None`` disables the hot-key split (plain window).
+    ``order`` should end with a unique column, so that the order is total; rows that are alike in all of it are never cut
+    apart.  ``split`` is the number of segments (default: the session's shuffle partitions).  ``max_group_rows=None`` uses
+    the plain window.
     """
     lags = lags or {}
-    src_cols = df.columns
+    segments = split or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def plain(frame: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = frame
+    def numbered(frame: DataFrame, *more: str) -> DataFrame:
+        w = Window.partitionBy(*keys, *more).orderBy(*nulls_last(order))
         if row_number:
-            out = out.withColumn(row_number, F.row_number().over(w).cast("long"))
+            frame = frame.withColumn(row_number, F.row_number().over(w).cast("long"))
         for name, src in lags.items():
-            out = out.withColumn(name, F.lag(src, 1).over(w))
-        return out
-
-    if not max_group_rows:
-        return plain(df)
-
-    first = order[0]
-    # 1. hot keys (bounded: at most rows / max_group_rows of them).  One small
-    # job (key columns only, partial aggregation) decides the plan: with no
-    # hot key the plain window is already balanced.
-    hk = _key_names(keys, "__rl_hk")
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rl_n"))
-        .where(F.col("__rl_n") > F.lit(max_group_rows))
-        .select(*[F.col(k).alias(h) for k, h in zip(keys, hk)])
-    )
-    if hot.isEmpty():
-        return plain(df)
-    # 2. quantile bounds of the order value, hot keys only
-    base = df.withColumn(_ORD, _as_long(F.col(first), df.schema[first].dataType))
-    fractions = [i / split for i in range(1, split)]
-    hot_rows = base.join(hot, _same_keys(base, hot, keys, hk), "left_semi")
-    bk = _key_names(keys, "__rl_bk")
-    bounds = (
-        hot_rows.groupBy(*keys)
-        .agg(F.percentile_approx(_ORD, fractions, accuracy).alias(_BOUNDS))
-        .select(*[F.col(k).alias(b) for k, b in zip(keys, bk)], _BOUNDS)
-    )
-    # 3. bucket per row
-    bucketed = base.join(bounds, _same_keys(base, bounds, keys, bk), "left")
-    bucketed = bucketed.withColumn(
-        _BKT,
-        F.when(
-            F.col(_BOUNDS).isNull(), F.lit(0)
-        ).otherwise(F.size(F.filter(F.col(_BOUNDS), lambda b: b < F.col(_ORD)))),
-    ).drop(*bk)
-
-    # 4. the window, per (key, bucket)
-    w = Window.partitionBy(*keys, _BKT).orderBy(*order)
-    local = bucketed.withColumn("__rl_rn", F.row_number().over(w))
-    for name, src in lags.items():
-        local = local.withColumn(f"__rl_lag_{name}", F.lag(src, 1).over(w))
-
-    # 5. per-bucket carry for hot keys (bounded: hot keys x split rows)
-    fk = _key_names(keys, "__rl_fk")
-    last_struct = F.struct(*[F.col(c) for c in order], *[F.col(s).alias(f"s{i}") for i, s in enumerate(lags.values())])
-    per_bucket = (
-        bucketed.where(F.col(_BOUNDS).isNotNull())
-        .groupBy(*keys, _BKT)
-        .agg(F.count(F.lit(1)).alias("__rl_cnt"), F.max(last_struct).alias("__rl_last"))
-    )
-    wk = Window.partitionBy(*keys).orderBy(_BKT)
-    carry = per_bucket.select(
-        *[F.col(k).alias(f) for k, f in zip(keys, fk)],
-        F.col(_BKT).alias("__rl_fb"),
-        F.coalesce(F.sum("__rl_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__rl_off"),
-        F.lag("__rl_last", 1).over(wk).alias("__rl_prev"),
-    )
-    cond = _same_keys(local, carry, keys, fk) & (local[_BKT] == carry["__rl_fb"])
-    joined = local.join(carry, cond, "left")
-    out_cols = [F.col(c) for c in src_cols]
+            frame = frame.withColumn(name, F.lag(src, 1).over(w))
+        return frame
+
+    if not max_group_rows or segments < 2:
+        return numbered(df)
+
+    bounds = segment_bounds(df, keys, order, segments)
+    placed = df.withColumns({_BOUNDS: bounds.scalar(), _ROW: _row(keys, order)}).withColumn(_SEG, _halving(_BOUNDS, _ROW, segments))
+    # a key goes on from the segment before when the bound below is its own, and into the next one when the bound above is
+    from_before = F.expr(f"{_SEG} > 0 AND coalesce(get({_BOUNDS}, {_SEG} - 1).k <=> {_ROW}.k, false)")
+    into_next = F.expr(f"coalesce(get({_BOUNDS}, {_SEG}).k <=> {_ROW}.k, false)")
+    last = F.struct(F.col(f"{_ROW}.o").alias("o"), *[F.col(s).alias(f"s{i}") for i, s in enumerate(lags.values())])
+    summary = (placed.where(from_before | into_next).groupBy(*keys, _SEG)
+               .agg(F.count(F.lit(1)).alias("__rl_count"), F.max(last).alias("__rl_last")))
+    before = Window.partitionBy(*keys).orderBy(_SEG)
+    carry = summary.select(
+        *[F.col(k).alias(f"__rl_k{i}") for i, k in enumerate(keys)], F.col(_SEG).alias("__rl_segment"),
+        F.sum("__rl_count").over(before.rowsBetween(Window.unboundedPreceding, -1)).alias("__rl_offset"),
+        F.lag("__rl_last", 1).over(before).alias("__rl_previous"))
+
+    local = placed.withColumn("__rl_cut", from_before).drop(_BOUNDS, _ROW)
+    if lags:
+        local = local.withColumn("__rl_nth", F.row_number().over(Window.partitionBy(*keys, _SEG).orderBy(*nulls_last(order))))
+    local = numbered(local, _SEG)
+    here = F.col(_SEG) == F.col("__rl_segment")
+    for i, k in enumerate(keys):
+        here = here & F.col(k).eqNullSafe(F.col(f"__rl_k{i}"))
+    joined = local.join(carry, here, "left")
+    out = [F.col(c) for c in df.columns]
     if row_number:
-        out_cols.append((F.col("__rl_rn") + F.coalesce(F.col("__rl_off"), F.lit(0))).alias(row_number))
-    for i, name in enumerate(lags):
-        carried = F.col("__rl_prev").getField(f"s{i}")
-        out_cols.append(
-            F.when(F.col("__rl_rn") == 1, carried).otherwise(F.col(f"__rl_lag_{name}")).alias(name)
-        )
-    return joined.select(*out_cols)
+        out.append((F.col(row_number) + F.coalesce(F.col("__rl_offset"), F.lit(0))).alias(row_number))
+    for i, name in enumerate(lags):  # only a key's first row in a segment has its previous row in another one
+        out.append(F.when(F.col("__rl_cut") & (F.col("__rl_nth") == 1), F.col("__rl_previous").getField(f"s{i}")).otherwise(F.col(name)).alias(name))
+    return joined.select(*out)

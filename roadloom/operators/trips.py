@@ -32,7 +32,9 @@ def trip_first_last(
     order = order_columns(ts, tiebreak)
     columns = columns if columns is not None else [c for c in points.columns if c != trip and c not in order]
     s = F.struct(*[F.col(c) for c in order + columns])
-    agg = points.groupBy(trip).agg(F.min(s).alias("__rl_s"), F.max(s).alias("__rl_e"))
+    # a point without a time is the first one only where no point has a time
+    first = F.coalesce(F.min(F.when(F.col(ts).isNotNull(), s)), F.min(s))
+    agg = points.groupBy(trip).agg(first.alias("__rl_s"), F.max(s).alias("__rl_e"))
     fields = order + columns
     return agg.select(
         trip,
@@ -139,7 +141,8 @@ def trip_state(
         order = order_columns(ts, tiebreak)
         columns = columns if columns is not None else [c for c in points.columns if c != trip and c not in order]
         s = F.struct(*[F.col(c) for c in order + columns])
-        frames.append(points.groupBy(trip).agg(F.min(s).alias("first_point"), F.max(s).alias("last_point")))
+        first = F.coalesce(F.min(F.when(F.col(ts).isNotNull(), s)), F.min(s))
+        frames.append(points.groupBy(trip).agg(first.alias("first_point"), F.max(s).alias("last_point")))
     if facts is not None:
         values = F.struct(*[F.col(c) for c in facts.columns if c not in (trips_key, version)]).alias("values")
         number = (F.col(version) if version else F.lit(None)).cast("long").alias("version")
@@ -163,7 +166,11 @@ def merge_states(*states: DataFrame, trip: str = "vehicle_trip_id") -> DataFrame
         cols = [F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in STATE if c in kinds]
         df = df.select(trip, *cols, F.lit(rank).alias("__rl_rank"))
         rows = df if rows is None else rows.unionByName(df)
-    out = [F.min("first_point").alias("first_point"), F.max("last_point").alias("last_point")] if "first_point" in kinds else []
+    out = []
+    if "first_point" in kinds:
+        p = F.col("first_point")
+        timed = F.min(F.when(p[kinds["first_point"].names[0]].isNotNull(), p))
+        out = [F.coalesce(timed, F.min(p)).alias("first_point"), F.max("last_point").alias("last_point")]
     if "facts" in kinds:
         newest = F.max(F.when(F.col("facts").isNotNull(), F.struct(F.col("facts.version"), "__rl_rank", F.col("facts.values"))))
         out.append(newest.alias("__rl_f"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadloom.functions.columns import age_in_years, days_between, lit_date
+from roadloom.session import holding, worked_out_once
 
 # Fixed labels of the reference's warranty report.
 OUT_OF_WARRANTY = "out of warranty"
@@ -17,7 +18,7 @@ NOT_AVAILABLE = "N/A"
 
 def merge_warranty(stored: DataFrame, delta: DataFrame, as_of: str | dt.date, *, ids: list[str] | None = None,
                    order: bool = False) -> DataFrame:
-    """``stored`` warranty rows with those of ``delta`` (both as `warranty_status` gives them) put in by id.
+    """``stored`` rows (ids, purchase_date, warranty_expiration_date) with those of ``delta`` put in by id, as a report.
 
     Status, age and the totals per status are worked out again over all rows at ``as_of``, so totals never mix a
     window with the history.
@@ -48,7 +49,8 @@ def warranty_status(
     compares days with days: out of warranty iff ``as_of`` is after the expiry
     date; any missing date gives ``N/A``.  The per-status count is a grouped
     count (at most three rows, broadcast) joined back, not a window: a window
-    partitioned by three values would put the whole table in three tasks.
+    partitioned by three values would put the whole table in three tasks.  The
+    rows are worked out once, for the report, its counts and its order.
     """
     ids = ids or ["motorcycle_id"]
     today = lit_date(as_of)
@@ -70,9 +72,10 @@ def warranty_status(
             .otherwise(F.lit(IN_WARRANTY)),
         }
     )
+    base = worked_out_once(base)
     counts = base.groupBy("warranty_status").agg(F.count(F.lit(1)).alias("total_by_warranty_status"))
     out = base.join(F.broadcast(counts), "warranty_status", "inner")
     if order:
         out = out.orderBy(F.desc("age_in_years"), *[F.col(i) for i in ids])
-    return out.select(*ids, "purchase_date", "warranty_expiration_date", "warranty_duration",
-                      "age_in_years", "warranty_status", "total_by_warranty_status")
+    return holding(out.select(*ids, "purchase_date", "warranty_expiration_date", "warranty_duration",
+                              "age_in_years", "warranty_status", "total_by_warranty_status"), base)

@@ -27,7 +27,7 @@ from roadloom.operators import (
     trips,
     vehicles,
 )
-from roadloom.session import apply_sql_defaults
+from roadloom.session import apply_sql_defaults, holding, worked_out_once
 from roadloom.sources import read_table
 
 FLOAT_SCALE = 6
@@ -261,6 +261,39 @@ def geometry_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.geometry_groups(geometry_features(spark, sf_dir))
 
 
+#: Classes of the shapes of `_lonlat_shapes`.
+LONLAT_CLASSES = 60
+
+
+def _lonlat_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as shapes on longitude and latitude: a rectangle per class, some with a hole, written from any of its
+    vertices, either way round, with or without noise beyond the seventh digit."""
+    k = F.col("p_partkey")
+    c, start, back, noise = k % LONLAT_CLASSES, (k % 7) % 4, (k % 11) % 2 == 0, (k % 13) % 2 == 0
+
+    def degrees(micro):
+        text = F.concat((micro / 1_000_000).cast("int").cast("string"), F.lit("."), F.lpad((micro % 1_000_000).cast("string"), 6, "0"))
+        return F.concat(text, F.when(noise, F.lit("0004")).otherwise(F.lit("")))
+
+    def ring(x0, y0, w, h):
+        corners = F.array(*[F.concat_ws(" ", degrees(x), degrees(y)) for x, y in ((x0, y0), (x0 + w, y0), (x0 + w, y0 + h), (x0, y0 + h))])
+        turned = F.concat(F.slice(corners, start + 1, 4), F.slice(corners, 1, start))
+        turned = F.when(back, F.reverse(turned)).otherwise(turned)
+        return F.concat(F.lit("("), F.concat_ws(", ", F.concat(turned, F.slice(turned, 1, 1))), F.lit(")"))
+
+    x0, y0, w, h = F.lit(2_100_000) + c * 1_117, F.lit(41_380_000) + (c * 7) % 13 * 1_003, (c % 9 + 3) * 30, (c % 5 + 2) * 40
+    outer, hole = ring(x0, y0, w, h), ring(x0 + 10, y0 + 10, (c % 4 + 1) * 5, F.lit(15))
+    rings = F.when(c % 3 == 0, F.concat_ws(", ", outer, hole)).otherwise(outer)
+    return _t(spark, sf_dir, "part").select(k.alias("id"), F.concat(F.lit("POLYGON("), rings, F.lit(")")).alias("geometry"))
+
+
+def geometry_groups_lonlat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal shapes on longitude and latitude group, however they are written."""
+    features = geo.geometry_features(_lonlat_shapes(spark, sf_dir), id_col="id", wkt="geometry", properties=[], decimals=7)
+    groups = geo.geometry_groups(features)
+    return holding(groups.select("id", "geom_type", "count"), groups)
+
+
 def within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer has a location, its own reference point and radius."""
     c = _t(spark, sf_dir, "customer")
@@ -474,6 +507,33 @@ def trips_delta_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.merge_trips(stored, ev, facts, "2024-01-10 00:00:00", **options)
 
 
+def trips_late_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-6: batches of points and facts in an order that is not that of their times, one taken in twice.
+
+    The last batch has the earliest points, a third of the trips get their facts late, and half of the facts come in an
+    older version first.
+    """
+    ev = _events(spark, sf_dir)
+    facts = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    options = {"trip": "user_id", "trips_key": "c_custkey", "ts": "ts", "tiebreak": "event_id", "columns": ["value"], "version": "version"}
+    cut = lambda day: F.lit(day).cast("timestamp_ntz")
+    newest = facts.withColumn("version", F.lit(2))
+    older = facts.where("c_custkey % 2 = 0").withColumns({"c_acctbal": F.col("c_acctbal") - 1, "version": F.lit(1)})
+    batches = [
+        trips.trip_state(ev.where(F.col("ts") >= cut("2024-01-20")), older, **options),
+        trips.trip_state(ev.where((F.col("ts") >= cut("2024-01-10")) & (F.col("ts") < cut("2024-01-20"))), newest.where("c_custkey % 3 > 0"), **options),
+        trips.trip_state(ev.where((F.col("ts") < cut("2024-01-10")) | F.col("ts").isNull()), newest.where("c_custkey % 3 = 0"), **options),
+    ]
+    stored = trips.merge_states(batches[1], batches[0], trip="user_id")
+    return trips.state_rows(trips.merge_states(stored, batches[2], batches[0], trip="user_id"), trip="user_id")
+
+
+def event_first_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of a user and type where some events have no time; those sort last."""
+    ev = _events(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 3 > 0, F.col("ts")))
+    return events.event_first(ev, keys=["user_id", "event_type"], ts="ts", tiebreak="event_id", columns=["value"])
+
+
 def parking_delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D-3: one year's occupancy, with the areas of the next quarter replaced."""
     def occupancy(as_of: str, days: int) -> DataFrame:
@@ -495,15 +555,16 @@ def event_profile_delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warranty_delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D-2: warranty rows of early orders as of an earlier day, with those of later orders put in."""
+    """D-2: dates of early orders, with those of later orders put in, as the report of the later day."""
     ids = ["l_orderkey", "l_linenumber"]
     li = _t(spark, sf_dir, "lineitem").select(*ids, "l_shipdate")
     od = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     items = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+    items = worked_out_once(items.select(*ids, F.col("o_orderdate").cast("date").alias("purchase_date"),
+                                         F.col("l_shipdate").cast("date").alias("warranty_expiration_date"), "o_orderdate"))
     late = F.col("o_orderdate") >= F.lit(SNAPSHOT_CUT).cast("timestamp_ntz")
-    options = {"ids": ids, "purchase_date": "o_orderdate", "expiry_date": "l_shipdate", "order": False}
-    stored = vehicles.warranty_status(items.where(~late | late.isNull()), "1998-06-01", **options)
-    return vehicles.merge_warranty(stored, vehicles.warranty_status(items.where(late), "1999-01-01", **options), "1999-01-01", ids=ids)
+    merged = vehicles.merge_warranty(items.where(~late | late.isNull()), items.where(late), "1999-01-01", ids=ids)
+    return holding(merged, items)
 
 
 def key_set_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,6 +596,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_latest": dedupe_latest,
     "geometry_features": geometry_features,
     "geometry_groups": geometry_groups,
+    "geometry_groups_lonlat": geometry_groups_lonlat,
     "within_radius": within_radius,
     "nearest_site": nearest_site,
     "gps_normalize": gps_normalize,
@@ -549,6 +611,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_points": route_points,
     "fleet_pipeline_rejects": fleet_pipeline_rejects,
     "trips_delta_merge": trips_delta_merge,
+    "trips_late_merge": trips_late_merge,
+    "event_first_null_times": event_first_null_times,
     "parking_delta_upsert": parking_delta_upsert,
     "event_profile_delta_upsert": event_profile_delta_upsert,
     "warranty_delta_upsert": warranty_delta_upsert,

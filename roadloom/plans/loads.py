@@ -72,7 +72,7 @@ def bookings_delta_load(spark: SparkSession, read: Reader, out: str, *,
 
 def trips_full_load(spark: SparkSession, read: Reader, out: str, *, year: int | None = None) -> dict:
     """Geometry groups, sites within their radius, first event and day gaps."""
-    geometry = geo.geometry_groups(geo.geometry_features(read("raw_data")))
+    geometry = geo.geometry_groups(geo.geometry_features(read("raw_data"), decimals=7))
     sites = geo.nearest_per_id(geo.within_radius(read("sites")))
     ev = read("events")
     written = {}

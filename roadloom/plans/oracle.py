@@ -434,3 +434,18 @@ SELECT c_custkey AS vehicle_id,
 FROM customer
 WHERE c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0
 """
+
+ORACLE_SQL["trips_late_merge"] = ORACLE_SQL["trips_delta_merge"]
+
+ORACLE_SQL["event_first_null_times"] = """
+SELECT user_id, event_type, ts, event_id, value FROM (
+  SELECT user_id, event_type, t AS ts, event_id, value,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY t ASC NULLS LAST, event_id) AS rn
+  FROM (SELECT *, CASE WHEN event_id % 3 > 0 THEN ts END AS t FROM events) e) r
+WHERE rn = 1
+"""
+
+# Shapes are of one class by construction of their keys.
+ORACLE_SQL["geometry_groups_lonlat"] = """
+SELECT p_partkey AS id, 'POLYGON' AS geom_type, COUNT(*) OVER (PARTITION BY p_partkey % 60) AS count FROM part
+"""

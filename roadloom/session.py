@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import weakref
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session should carry.  They are SQL confs, so they can also be
 # applied to a session someone else built (see ``apply_sql_defaults``).  The
@@ -80,10 +81,26 @@ def checkpoint_dir(spark: SparkSession, fallback_base: str | None = None) -> str
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name)
+def worked_out_once(df: DataFrame) -> DataFrame:
+    """``df`` for a plan that uses it several times: its rows are kept on the executors' disks when the plan first runs.
+
+    Nothing runs now.  A lost part is made anew from its source.  The rows go when the frame that `holding` ties to them does.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
+def holding(result: DataFrame, *used: DataFrame) -> DataFrame:
+    """``result``, with the kept rows of ``used`` given up when ``result`` is no longer referred to."""
+    for df in used:
+        weakref.finalize(result, _give_up, df).atexit = False
+    return result
+
+
+def _give_up(df: DataFrame) -> None:
+    try:
+        df.unpersist()
+    except Exception:  # the session has ended, and its storage with it
+        pass
 
 
 def cluster_settings(

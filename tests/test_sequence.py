@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from roadloom.operators.sequence import ordered_sequence
+from roadloom.operators.sequence import ordered_sequence, segment_bounds
 from tests.conftest import SF_MID
 
 
@@ -52,3 +52,37 @@ def test_no_split_mode(spark):
     b = _plain(ev, ["user_id"], ["ts", "event_id"])
     assert sorted(map(tuple, a.select("event_id", "rn").collect())) == sorted(
         map(tuple, b.select("event_id", "rn").collect()))
+
+
+def _check(spark, df, keys, order, split):
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    want = df.withColumn("rn", F.row_number().over(w).cast("long")).withColumn("prev", F.lag("v", 1).over(w))
+    got = ordered_sequence(df, keys, order, row_number="rn", lags={"prev": "v"}, split=split)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_one_time_value_nulls_and_few_rows(spark):
+    schema = "k string, t int, i int, v string"
+    same = [("hot", 5, i, f"v{i}") for i in range(400)]
+    mixed = [(["a", "b", None][i % 3], None if i % 4 == 0 else i % 7, i, None if i % 5 == 0 else f"v{i}") for i in range(300)]
+    for rows in (same, mixed, same + mixed, mixed[:1], mixed[:5], []):
+        for split in (2, 7, 64):
+            _check(spark, spark.createDataFrame(rows, schema).repartition(3), ["k"], ["t", "i"], split)
+
+
+def test_a_key_with_one_time_value_is_split(spark):
+    df = spark.createDataFrame([("hot", 5, i) for i in range(4000)], "k string, t int, i int")
+    bounds = segment_bounds(df, ["k"], ["t", "i"], 8).first()["b"]
+    cuts = [b.o.o1 for b in bounds]
+    assert cuts == sorted(cuts) and max(b - a for a, b in zip([0, *cuts], [*cuts, 4000])) < 1000
+
+
+def test_building_the_frame_starts_no_job(spark):
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    spark.sparkContext.setJobGroup("sequence-build", "none expected")
+    try:
+        ordered_sequence(ev, ["user_id"], ["ts", "event_id"], lags={"p": "ts"})
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("sequence-build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
