@@ -6,9 +6,9 @@
   fingerprints of the new rows.
 * ``trips_delta``: new route points and trip facts, in the order they arrive,
   merged into one state per trip; the summary is a view of the states.
-* ``json_ingestion`` and ``run_etl``: the JSON pipeline (envelopes and
-  GeoJSON -> flat JSON lines; tracks -> validated distance per vehicle and
-  year in miles -> appended with rejects and a load audit).
+* ``run_json_pipeline``: the JSON pipeline as one connected run (raw documents
+  -> intermediate JSON lines -> two tables, rejects with reasons, audits);
+  ``json_ingestion`` and ``run_etl`` are its steps on their own.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.operators import geo, incremental, nested, trips
+from roadloom.functions.columns import parse_iso_utc
+from roadloom.operators import geo, gps, incremental, nested, trips
 from roadloom.operators.events import dedupe_latest
-from roadloom.sinks import append_table, manifest, write_json_lines, write_versioned
+from roadloom.sinks import append_table, audit_change, manifest, rows_of, write_json_lines, write_versioned
 from roadloom.sources import read_customer_envelopes, read_geojson, read_json_lines
+from roadloom.sources.documents import REJECT, read_envelopes_checked, read_tracks_checked
 from roadloom.sources.schemas import VEHICLE_TRACK
 
 
@@ -189,14 +191,66 @@ def json_ingestion(spark: SparkSession, customers_path: str, vehicles_path: str,
 
 
 def run_etl(spark: SparkSession, tracks_path: str, target: str, rejects: str) -> dict:
-    """Tracks (JSON lines) -> fleet pipeline -> appended table with rejects."""
+    """Tracks (JSON lines) -> fleet pipeline -> appended table with rejects, audited."""
     tracks = read_json_lines(spark, tracks_path, VEHICLE_TRACK)
-    processed = trips.run_fleet_pipeline(tracks)
-    stats = append_table([processed], target, required=["vehicle_id", "year"], rejects=f"{rejects.rstrip('/')}/rows")
     bad = append_table([trips.fleet_rejects(tracks)], f"{rejects.rstrip('/')}/positions")
+    stats = append_audited(spark, trips.run_fleet_pipeline(tracks), target, ["vehicle_id", "year"], f"{rejects.rstrip('/')}/rows")
     return {"rows_written": stats["rows_written"], "rows_rejected": stats["rows_rejected"] + bad["rows_written"]}
 
 
+def append_audited(spark: SparkSession, df: DataFrame, target: str, required: list[str], rejects: str) -> dict:
+    """`append_table`, with the target's rows before and after held against the rows that it reports."""
+    before = rows_of(spark, target)
+    stats = append_table([df], target, required=required, rejects=rejects)
+    return audit_change(before, rows_of(spark, target), stats)
+
+
+def _stage(spark: SparkSession, rows: DataFrame, rejects: list[DataFrame], path: str, rejects_path: str) -> dict[str, int]:
+    """Write an intermediate stage and its rejects; counts of both."""
+    write_json_lines(rows, path)
+    union = rejects[0]
+    for r in rejects[1:]:
+        union = union.unionByName(r)
+    union.write.mode("overwrite").json(rejects_path)
+    levels = {r["level"]: r["n"] for r in spark.read.schema(REJECT).json(rejects_path).groupBy("level").agg(F.count("*").alias("n")).collect()}
+    return {"rows": spark.read.schema(rows.schema).json(path).count(), **{f"rejected_{k}": v for k, v in sorted(levels.items())}}
+
+
+def run_json_pipeline(spark: SparkSession, customers_path: str, tracks_path: str, out: str, *, box: dict[str, float] | None = None,
+                      mode: str = "inside", unit: str = "mile") -> dict:
+    """Both raw sources -> intermediate JSON lines -> two tables, in one connected run.
+
+    ``customers_path`` and ``tracks_path`` hold ``{data: [...]}`` documents.  Ingestion rejects documents that are no JSON
+    and records with missing values or other types; of tracks it converts the position to decimal degrees and rejects those in
+    no accepted notation, out of range or on the wrong side of the fence.  The intermediate files are what the next step reads.
+    Customers are loaded flat, tracks as distance per vehicle and year.  Each table's rows before and after are
+    audited.  Nothing is dropped without a row under ``out``/rejects that says why.  Returns the counts of each step.
+    """
+    base = out.rstrip("/")
+    records, bad_customers = read_envelopes_checked(spark, customers_path)
+    customers = nested.flatten_contacts(records)
+    tracks, bad_tracks = read_tracks_checked(spark, tracks_path)
+    placed = gps.once_per_row(gps.normalize_gps(tracks, "gps_coordinates"), "gps_reason")
+    fenced = placed.withColumn("reason", F.when(F.col("gps_reason") != gps.ACCEPTED, F.col("gps_reason")).when(
+        geo.fence_predicate("latitude", "longitude", box or geo.BARCELONA_BOX) != F.lit(mode == "inside"), F.lit("fence")))
+    off = fenced.where("reason IS NOT NULL").select(F.lit(None).cast("string").alias("file"), F.lit("position").alias("level"), "reason",
+                                                    F.to_json(F.struct(*tracks.columns)).alias("content"))
+    kept = fenced.where("reason IS NULL").select(*tracks.columns, "latitude", "longitude")
+    report = {
+        "customers": _stage(spark, customers, [bad_customers], f"{base}/intermediate/customers", f"{base}/rejects/customers"),
+        "tracks": _stage(spark, kept, [bad_tracks, off], f"{base}/intermediate/tracks", f"{base}/rejects/tracks"),
+    }
+    people = spark.read.schema(customers.schema).json(f"{base}/intermediate/customers")
+    report["customers"]["table"] = append_audited(spark, people, f"{base}/tables/customers", ["user_id"], f"{base}/rejects/customer_rows")
+    moves = spark.read.schema(kept.schema).json(f"{base}/intermediate/tracks")
+    yearly = trips.distance_by_year(moves.withColumn("year", F.year(parse_iso_utc("time_stamp"))), unit=unit)
+    no_year = moves.where(F.year(parse_iso_utc("time_stamp")).isNull()).select(
+        F.lit(None).cast("string").alias("file"), F.lit("time").alias("level"), F.lit("no_time").alias("reason"), F.to_json(F.struct(*moves.columns)).alias("content"))
+    report["tracks"]["rejected_time"] = append_table([no_year], f"{base}/rejects/times")["rows_written"]
+    report["tracks"]["table"] = append_audited(spark, yearly, f"{base}/tables/vehicle_distance", ["vehicle_id", "year"], f"{base}/rejects/distance_rows")
+    return report
+
+
 def upsert_partitions(
     spark: SparkSession,
     path: str,

@@ -5,6 +5,7 @@ from roadloom.sinks.writers import (  # noqa: F401
     audit_change,
     has_current,
     read_current,
+    rows_of,
     write_envelope,
     write_bucketed_table,
     write_json_lines,
