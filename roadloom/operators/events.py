@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from roadloom.functions.columns import (
     order_columns,
     days_between,
+    epoch_micros_ntz,
     mean,
     micros_between,
     month_start,
@@ -110,6 +111,92 @@ def event_rollup(
     )
 
 
+#: Grains of a rollup's state: what adds up over months, each with its own distinct times.
+GRAINS = ("type", "user", "all")
+#: Bits of the sketches' register numbers: a relative standard error of about 1.04 / sqrt(2 ** 12), 1.6 %.
+SKETCH_BITS = 12
+
+
+def _micros(df: DataFrame, ts: str) -> Column:
+    return epoch_micros_ntz(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.unix_micros(F.col(ts).cast("timestamp"))
+
+
+def rollup_state(df: DataFrame, *, user: str = "user_id", ts: str = "event_date", event_type: str = "event_type",
+                 amount: str = "event_amount") -> DataFrame:
+    """What `event_rollup` needs of some events, per month: (grain, user, month, type, amount, amounts, times, sketch).
+
+    ``times`` is the exact number of distinct event times of a user, month and type (grain ``type``), of a user and
+    month (``user``) and of a month (``all``); months hold disjoint times, so coarser levels are sums.  ``sketch`` is an
+    HLL sketch of the same times, which states of any events can be merged by, whether or not they overlap.
+    """
+    u, kind = df.schema[user].dataType, df.schema[event_type].dataType
+    base = df.select(F.col(user).alias("user"), F.col(event_type).alias("type"), F.col(ts).alias("time"), F.col(amount).alias("v"),
+                     _micros(df, ts).alias("micros"))
+    d1 = base.groupBy("user", "type", "time", "micros").agg(F.sum("v").alias("s"), F.count("v").alias("c"))
+    d2 = d1.groupBy("user", "time", "micros").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    d3 = d2.groupBy("time", "micros").agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+    null_user, null_type = F.lit(None).cast(u).alias("user"), F.lit(None).cast(kind).alias("type")
+    out = None
+    for grain, rows, cols in (("type", d1, [F.col("user"), F.col("type")]), ("user", d2, [F.col("user"), null_type]), ("all", d3, [null_user, null_type])):
+        rows = rows.select(*cols, month_start("time").alias("month"), "s", "c", "time", "micros").groupBy("user", "type", "month").agg(
+            F.sum("s").alias("amount"), F.sum("c").alias("amounts"), F.count("time").alias("times"),
+            F.hll_sketch_agg("micros", SKETCH_BITS).alias("sketch"))
+        rows = rows.select(F.lit(grain).alias("grain"), "user", "month", "type", "amount", "amounts", "times", "sketch")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def rollup_extended(state: DataFrame, history: DataFrame, delta: DataFrame, *, user: str = "user_id", ts: str = "event_date",
+                    event_type: str = "event_type", amount: str = "event_amount") -> DataFrame:
+    """``state`` with the new events ``delta``, exact: only the months of users that the delta has are worked out again.
+
+    ``history`` holds all events, the delta's too.  Rows of other users and months stay as they are.
+    """
+    names = {"user": user, "ts": ts, "event_type": event_type, "amount": amount}
+    pairs = delta.select(F.col(user).alias("u"), month_start(ts).alias("m")).distinct()
+    months = pairs.select("m").distinct()
+    month = month_start(history[ts])
+    of_pairs = history.join(pairs, history[user].eqNullSafe(F.col("u")) & month.eqNullSafe(F.col("m")), "left_semi")
+    of_months = history.join(months, month.eqNullSafe(F.col("m")), "left_semi")
+    fresh = rollup_state(of_pairs, **names).where("grain <> 'all'").unionByName(rollup_state(of_months, **names).where("grain = 'all'"))
+    kept_users = state.where("grain <> 'all'").join(pairs, F.col("user").eqNullSafe(F.col("u")) & F.col("month").eqNullSafe(F.col("m")), "left_anti")
+    kept_months = state.where("grain = 'all'").join(months, F.col("month").eqNullSafe(F.col("m")), "left_anti")
+    return kept_users.unionByName(kept_months).unionByName(fresh)
+
+
+def rollup_merged(*states: DataFrame) -> DataFrame:
+    """States of different events put together without any event: amounts add up, distinct times are the sketches' estimates."""
+    rows = states[0]
+    for state in states[1:]:
+        rows = rows.unionByName(state)
+    merged = rows.groupBy("grain", "user", "month", "type").agg(
+        F.sum("amount").alias("amount"), F.sum("amounts").alias("amounts"), F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("grain", "user", "month", "type", "amount", "amounts", F.hll_sketch_estimate("sketch").alias("times"), "sketch")
+
+
+def rollup_rows(state: DataFrame, *, user: str = "user_id", event_type: str = "event_type", float_scale: int | None = None) -> DataFrame:
+    """The rows of `event_rollup` from a state."""
+    def summed(frame: DataFrame, *keys: str) -> DataFrame:
+        return frame.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("amount", "amounts", "times")])
+
+    by_user = state.where("grain = 'user'")
+    null_ts = F.lit(None).cast("timestamp_ntz")
+    null_user, null_type = (F.lit(None).cast(state.schema[c].dataType) for c in ("user", "type"))
+    year = year_start("month")
+    levels = None
+    for gid, frame, u, m, y, t in (
+            (0, state.where("grain = 'type'"), F.col("user"), F.col("month"), year, F.col("type")),
+            (1, by_user, F.col("user"), F.col("month"), year, null_type), (3, by_user, F.col("user"), F.col("month"), null_ts, null_type),
+            (7, summed(by_user, "user"), F.col("user"), null_ts, null_ts, null_type),
+            (15, summed(state.where("grain = 'all'")), null_user, null_ts, null_ts, null_type)):
+        total_ = F.round("amount", float_scale) if float_scale is not None else F.col("amount")
+        rows = frame.select(u.alias(user), m.alias("month"), y.alias("year"), t.alias(event_type), total_.alias("event_amount_sum"),
+                            F.col("times").alias("distinct_event_dates"), F.try_divide(total_, F.col("amounts").cast("double")).alias("event_amount_avg"),
+                            F.lit(gid).cast("long").alias("grouping_id"))
+        levels = rows if levels is None else levels.unionByName(rows)
+    return levels
+
+
 def net_purchases(
     df: DataFrame,
     *,

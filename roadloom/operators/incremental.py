@@ -74,18 +74,23 @@ def watermark_changed(old: DataFrame, new: DataFrame, ts_col: str) -> bool:
     return high_watermark(old, ts_col) != high_watermark(new, ts_col)
 
 
-def rows_changed(old: DataFrame, new: DataFrame) -> bool:
-    """True when ``new`` has a row that ``old`` does not have in exactly this form."""
-    return not new.select(*old.columns).subtract(old).isEmpty()
+#: Rows of a delta whose keys may be broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def is_small(delta: DataFrame, keys: list[str], most: int = BROADCAST_ROWS) -> bool:
+    """Whether a delta's keys are few enough to be broadcast; counts ``most`` + 1 rows at most."""
+    return delta.select(*keys).limit(most + 1).count() <= most
 
 
 def upsert(existing: DataFrame, delta: DataFrame, keys: list[str], *, ts_col: str,
-           tiebreak: str | None = None) -> DataFrame:
+           tiebreak: str | None = None, small: bool = False) -> DataFrame:
     """One row per key: the newest of the existing row and the delta's rows.
 
-    The delta is reduced to one row per key with a partial aggregation; the
-    existing snapshot is only joined on the key (broadcast when the delta's
-    keys are small, as usual), never re-aggregated.  A stored row that is newer
+    The delta is reduced to one row per key with a partial aggregation.  The
+    existing rows are never aggregated; with ``small`` (see `is_small`) the
+    delta's keys are broadcast and the existing rows are not shuffled either,
+    else Spark joins by its own measure of the sides.  A stored row that is newer
     than the delta's stays; at equal times the delta wins.  NULL keys are a key
     like any other.
     """
@@ -94,6 +99,7 @@ def upsert(existing: DataFrame, delta: DataFrame, keys: list[str], *, ts_col: st
 
     def others(df: DataFrame) -> tuple[DataFrame, Column]:
         side = df.select(*[F.col(k).alias(f"__rl_k{i}") for i, k in enumerate(keys)], F.col(ts_col).alias("__rl_ts"))
+        side = F.broadcast(side) if small else side
         cond = None
         for i, k in enumerate(keys):
             c = F.col(k).eqNullSafe(F.col(f"__rl_k{i}"))
@@ -102,9 +108,15 @@ def upsert(existing: DataFrame, delta: DataFrame, keys: list[str], *, ts_col: st
 
     side, same = others(latest)
     kept = existing.join(side, same & F.coalesce(F.col("__rl_ts") >= F.col(ts_col), F.lit(True)), "left_anti")
-    side, same = others(existing)
-    fresh = latest.join(side, same & (F.col("__rl_ts") > F.col(ts_col)), "left_anti")
-    return kept.unionByName(fresh)
+    # delta rows that a stored row is newer than: found from the stored side, so that it streams past the delta
+    newer = existing.join(side, same & (F.col("__rl_ts") < F.col(ts_col)), "left_semi").select(*keys)
+    older = None
+    for i, k in enumerate(keys):
+        newer = newer.withColumnRenamed(k, f"__rl_n{i}")
+        c = F.col(k).eqNullSafe(F.col(f"__rl_n{i}"))
+        older = c if older is None else older & c
+    # with a unique stored key there are at most as many as the delta has
+    return kept.unionByName(latest.join(newer, older, "left_anti"))
 
 
 def apply_delta(existing: DataFrame, source: DataFrame, keys: list[str], ts_col: str,
@@ -116,14 +128,3 @@ def apply_delta(existing: DataFrame, source: DataFrame, keys: list[str], ts_col:
     if mode == "upsert":
         return upsert(existing, source, keys, ts_col=ts_col)
     raise ValueError("mode must be 'refresh' or 'upsert'")
-
-
-def delta_stats(existing: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: rows before, rows after, keys added, keys removed."""
-    changes = key_set_changes(existing, merged, keys)
-    return (
-        changes.agg(
-            F.count_if(F.col("change") == "added").alias("keys_added"),
-            F.count_if(F.col("change") == "removed").alias("keys_removed"),
-        )
-    )

@@ -102,6 +102,15 @@ def event_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_rollup_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 A5 D-1: the state of the events up to the mark, extended by those after it."""
+    ev = _events(spark, sf_dir)
+    late = F.col("ts") > F.lit("2024-01-20").cast("timestamp_ntz")
+    names = {"user": "user_id", "ts": "ts", "event_type": "event_type", "amount": "value"}
+    state = events.rollup_state(ev.where(~late | late.isNull()), **names)
+    return events.rollup_rows(events.rollup_extended(state, ev, ev.where(late), **names), float_scale=FLOAT_SCALE)
+
+
 def net_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 F9 A2 (the data has no 'refund' type; 'error' plays it)."""
     return events.net_purchases(
@@ -580,6 +589,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_profiles_join": user_profiles_join,
     "customers_full": customers_full,
     "event_rollup": event_rollup,
+    "event_rollup_delta": event_rollup_delta,
     "net_purchases": net_purchases,
     "customer_activity_union": customer_activity_union,
     "parking_occupancy": parking_occupancy,

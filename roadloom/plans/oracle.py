@@ -449,3 +449,5 @@ WHERE rn = 1
 ORACLE_SQL["geometry_groups_lonlat"] = """
 SELECT p_partkey AS id, 'POLYGON' AS geom_type, COUNT(*) OVER (PARTITION BY p_partkey % 60) AS count FROM part
 """
+
+ORACLE_SQL["event_rollup_delta"] = _ROLLUP

@@ -75,7 +75,7 @@ def delta_load(
     def combine(old: DataFrame | None, delta: DataFrame) -> DataFrame:
         if old is None:
             return dedupe_latest(delta, keys, ts=ts_col).select(*delta.columns)
-        return incremental.upsert(old, delta, keys, ts_col=ts_col)
+        return incremental.upsert(old, delta, keys, ts_col=ts_col, small=incremental.is_small(delta, keys))
 
     return manifest.merge(spark, snapshot_base, source, part, combine)
 

@@ -5,6 +5,7 @@ from roadloom.streaming.streams import (  # noqa: F401
     dedupe_within_watermark,
     run_available_now,
     stream_files,
+    stream_trips,
     stream_upsert,
     trip_sessions,
 )

@@ -121,9 +121,10 @@ def run_available_now(df: DataFrame, *, checkpoint: str, sink: str | None = None
 
 
 def stream_upsert(stream: DataFrame, snapshot_base: str, keys: list[str], ts_col: str, *, checkpoint: str):
-    """Merge every micro-batch into a versioned snapshot (the delta loads as a
-    stream).  A batch replayed after a failure is merged again with the same
-    result: the upsert is idempotent.  Returns the finished query."""
+    """Merge every micro-batch into a snapshot (the delta loads as a stream);
+    only the partitions that hold a key of the batch are read and written.  A
+    batch replayed after a failure is merged again with the same result: the
+    upsert is idempotent.  Returns the finished query."""
     from roadloom.plans.pipelines import delta_load
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
@@ -131,3 +132,20 @@ def stream_upsert(stream: DataFrame, snapshot_base: str, keys: list[str], ts_col
             delta_load(batch.sparkSession, snapshot_base, batch, keys, ts_col, mode="upsert", change_test="always")
 
     return run_available_now(stream, checkpoint=checkpoint, foreach_batch=merge)
+
+
+def stream_trips(points: DataFrame, facts: DataFrame, snapshot_base: str, *, checkpoint: str, **options):
+    """Trip summaries kept current by the files of route points as they arrive, whatever the times in them.
+
+    Every micro-batch is merged into the trips' states (`plans.pipelines.trips_delta`, which ``options`` go to): an open
+    trip is there at once, a late point moves its trip's start or end, and a batch that is replayed after a failure
+    changes nothing.  Nothing is kept in streaming state, so no watermark drops a point.  ``facts`` is read again for each
+    batch.  Returns the finished query.
+    """
+    from roadloom.plans.pipelines import trips_delta
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        if not batch.isEmpty():
+            trips_delta(batch.sparkSession, snapshot_base, batch, facts, **options)
+
+    return run_available_now(points, checkpoint=checkpoint, foreach_batch=merge)

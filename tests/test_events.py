@@ -4,9 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from roadloom.operators import events
 from roadloom.operators.events import event_rollup, monthly_event_profile, net_purchases
 from roadloom.plans.checks import executed_plan
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 T0 = dt.datetime(2024, 1, 31, 23, 0)
 
@@ -58,3 +59,30 @@ def test_profile_gap_crosses_month_and_belongs_to_later_event(spark):
     assert (jan["total_events"], jan["maintenance_events"], jan["unique_locations"]) == (3, 1, 2)
     assert jan["avg_time_between_events"] == 0.0      # three events at the same instant
     assert feb["avg_time_between_events"] == 7200.0   # gap from January's last event
+
+
+def test_rollup_states_merge_within_the_stated_error(spark):
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    names = {"user": "user_id", "ts": "ts", "event_type": "event_type", "amount": "value"}
+    cut = F.col("event_id") % 3
+    # every third event is in two of the states: sketches see its time once
+    merged = events.rollup_merged(*[events.rollup_state(ev.where((cut == k) | (cut == 2)), **names) for k in range(2)])
+    exact = {(r.grain, r.user, r.month, r.type): r.times for r in events.rollup_state(ev, **names).collect()}
+    got = {(r.grain, r.user, r.month, r.type): r.times for r in merged.collect()}
+    assert got.keys() == exact.keys()
+    assert all(abs(got[k] - n) <= max(1, 0.06 * n) for k, n in exact.items())
+    whole = {(r.user_id, r.month, r.event_type, r.grouping_id): r.distinct_event_dates
+             for r in events.event_rollup(ev, **names).collect()}
+    state = events.rollup_rows(events.rollup_state(ev, **names))
+    assert {(r.user_id, r.month, r.event_type, r.grouping_id): r.distinct_event_dates for r in state.collect()} == whole
+
+
+def test_rollup_delta_with_late_and_null_rows(spark):
+    schema = "user_id int, event_date timestamp_ntz, event_type string, event_amount double"
+    t = lambda s: dt.datetime.fromisoformat(s)
+    old = [(1, t("2024-01-05"), "a", 1.0), (1, t("2024-02-05"), "a", 2.0), (2, t("2024-01-05"), "b", 4.0), (None, t("2024-01-07"), None, 8.0)]
+    new = [(1, t("2024-01-05"), "b", 16.0), (3, t("2024-03-01"), "a", None), (None, None, "a", 32.0)]
+    a, b = (spark.createDataFrame(x, schema) for x in (old, new))
+    state = events.rollup_extended(events.rollup_state(a), a.unionByName(b), b)
+    want = events.event_rollup(a.unionByName(b))
+    assert sorted(map(tuple, events.rollup_rows(state).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
