@@ -99,14 +99,16 @@ class Blocks:
         kept = [(g, g.data[edges]) for g in (self.back, self.piece, self.cum, self.logq, self.other)]
         for grown, values in [*kept, (self.first, np.cumsum(length + 1) - length - 1), (self.length, length),
                               (self.edge_from, np.concatenate([[0], np.cumsum(count)]))]:
-            grown.data, grown.n = values, len(values)
+            grown.data[:len(values)], grown.n = values, len(values)  # the room is needed again
 
     def rows(self, blocks: pa.Array) -> np.ndarray:
         """Rows of blocks (strings with their leading space signs)."""
         got = self.known.find(blocks)
-        if (got >= 0).all():
+        unmet = got < 0
+        if not unmet.any():
             return got
-        missing = pc.unique(blocks.filter(pa.array(got < 0)))
+        unseen = blocks.filter(pa.array(unmet))
+        missing = pc.unique(unseen)
         for part in lattice.in_parts(missing.to_pylist()):
             lat = lattice.build(self.pieces, part, self.logp)
             order = np.argsort(lat.end, kind="stable")
@@ -134,7 +136,8 @@ class Blocks:
             for grown, values in ((self.back, end - start), (self.piece, lat.piece[order]), (self.cum, cum), (self.logq, logq), (self.other, other)):
                 grown.add(values)
         self.known.add(missing)
-        return self.known.find(blocks)
+        got[unmet] = self.known.find(unseen) if len(missing) < len(unseen) else np.arange(len(self.known) - len(missing), len(self.known))
+        return got
 
     def draw(self, rows: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Segmentations of the first ``at`` characters of blocks, from the back: (edges, places before them, edges per block)."""
