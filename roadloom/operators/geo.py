@@ -9,6 +9,7 @@ from roadloom.functions.columns import col
 from roadloom.functions.geometry import (
     distance,
     geometry_type,
+    haversine_m,
     measures_from,
     normal_form,
     parse_wkt,
@@ -78,10 +79,19 @@ def within_radius(
     point_y: str = "latitude",
     radius: str | float = "radius",
     keep: list[str] | None = None,
+    metres: bool = False,
 ) -> DataFrame:
     """Rows whose location lies within ``radius`` of their own (x, y) point,
-    with the distance (ST_DWithin + ST_Distance on one table)."""
-    d = distance(F.col(location_x), F.col(location_y), F.col(point_x), F.col(point_y))
+    with the distance (ST_DWithin + ST_Distance on one table).
+
+    Distances are planar in the units of the coordinates; with ``metres`` x and y are longitude and latitude in degrees,
+    and distance and radius are great-circle metres (planar degrees are a quarter shorter east-west than
+    north-south at 41 degrees).
+    """
+    if metres:
+        d = haversine_m(F.col(location_y), F.col(location_x), F.col(point_y), F.col(point_x))
+    else:
+        d = distance(F.col(location_x), F.col(location_y), F.col(point_x), F.col(point_y))
     r = F.col(radius) if isinstance(radius, str) else F.lit(float(radius))
     keep = keep if keep is not None else df.columns
     return df.select(*keep, d.alias("distance")).where(F.col("distance") <= r)

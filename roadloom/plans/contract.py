@@ -332,6 +332,29 @@ def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.nearest_within(points, sites, 60.0)
 
 
+def nearest_sites_own_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three nearest suppliers of each customer, each within the supplier's own radius."""
+    k, s = F.col("c_custkey"), F.col("s_suppkey")
+    points = _t(spark, sf_dir, "customer").select(
+        k.alias("id"), ((k * 7919) % 1000).cast("double").alias("x"), ((k * 104729) % 1000).cast("double").alias("y"))
+    sites = _t(spark, sf_dir, "supplier").select(
+        s.alias("site_id"), ((s * 3571) % 1000).cast("double").alias("site_x"), ((s * 7247) % 1000).cast("double").alias("site_y"),
+        (F.lit(90) + (s % 4) * 20).cast("double").alias("site_radius"))
+    return geo.nearest_within(points, sites, 150.0, site_radius="site_radius", k=3)
+
+
+def within_radius_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers on longitude and latitude, within metres of their own reference point."""
+    k = F.col("c_custkey")
+    places = _t(spark, sf_dir, "customer").select(
+        k.alias("id"),
+        ((F.lit(2_000_000) + (k * 7919) % 200_000) / 1_000_000.0).alias("location_x"),
+        ((F.lit(41_300_000) + (k * 104729) % 150_000) / 1_000_000.0).alias("location_y"),
+        F.lit(2.1).alias("longitude"), F.lit(41.38).alias("latitude"), (F.lit(4000) + (k % 5) * 1500).cast("double").alias("radius"))
+    near = geo.within_radius(places, radius="radius", keep=["id"], metres=True)
+    return near.withColumn("distance", F.round("distance", 3))
+
+
 def _gps_parts(k):
     """Integer parts of a synthetic position derived from key ``k``."""
     lpad3 = lambda c: F.lpad(c.cast("string"), 3, "0")
@@ -609,6 +632,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geometry_groups_lonlat": geometry_groups_lonlat,
     "within_radius": within_radius,
     "nearest_site": nearest_site,
+    "nearest_sites_own_radius": nearest_sites_own_radius,
+    "within_radius_metres": within_radius_metres,
     "gps_normalize": gps_normalize,
     "gps_validate": gps_validate,
     "geo_fence": geo_fence,

@@ -451,3 +451,23 @@ SELECT p_partkey AS id, 'POLYGON' AS geom_type, COUNT(*) OVER (PARTITION BY p_pa
 """
 
 ORACLE_SQL["event_rollup_delta"] = _ROLLUP
+
+ORACLE_SQL["nearest_sites_own_radius"] = f"""
+WITH p AS (SELECT c_custkey AS point_id, {_d('(c_custkey * 7919) % 1000')} AS px, {_d('(c_custkey * 104729) % 1000')} AS py FROM customer),
+     s AS (SELECT s_suppkey AS site_id, {_d('(s_suppkey * 3571) % 1000')} AS site_x, {_d('(s_suppkey * 7247) % 1000')} AS site_y,
+                  {_d('90 + (s_suppkey % 4) * 20')} AS r FROM supplier),
+     d AS (SELECT point_id, site_id, site_x, site_y, r,
+                  sqrt((site_x - px) * (site_x - px) + (site_y - py) * (site_y - py)) AS distance FROM p CROSS JOIN s),
+     o AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY distance, site_id) AS rn FROM d WHERE distance <= r)
+SELECT point_id, site_id, site_x, site_y, distance, CAST(rn AS INTEGER) AS rank FROM o WHERE rn <= 3
+"""
+
+ORACLE_SQL["within_radius_metres"] = """
+WITH p AS (SELECT c_custkey AS id, CAST(2000000 + (c_custkey * 7919) % 200000 AS DOUBLE) / 1000000.0 AS x,
+                  CAST(41300000 + (c_custkey * 104729) % 150000 AS DOUBLE) / 1000000.0 AS y,
+                  CAST(4000 + (c_custkey % 5) * 1500 AS DOUBLE) AS r FROM customer),
+     d AS (SELECT id, r, CAST(2 * 6371008.8 AS DOUBLE) * asin(least(1.0, sqrt(
+                  pow(sin((radians(CAST(41.38 AS DOUBLE)) - radians(y)) / 2), 2)
+                  + cos(radians(y)) * cos(radians(CAST(41.38 AS DOUBLE))) * pow(sin((radians(CAST(2.1 AS DOUBLE)) - radians(x)) / 2), 2)))) AS m FROM p)
+SELECT id, round(m, 3) AS distance FROM d WHERE m <= r
+"""
