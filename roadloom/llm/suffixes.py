@@ -1,20 +1,19 @@
-"""Repeated windows by a depth-limited most-significant-digit radix sort of suffixes.
+"""Repeated windows of D bytes, found by grouping fingerprints around anchors.
 
-Two documents share a window of D bytes when two of their suffixes agree to depth D.  Suffixes are sorted by
-digits from the front, and only groups that still hold suffixes of several documents go on to the next digit; no
-suffix is looked at beyond depth D.
-
-To keep the first pass small, it takes only suffixes at anchors: in every window of D bytes the position whose
-G-byte digit has the smallest hash.  Equal windows have equal anchors, so no repeated window is lost.
+Two documents share a window of D bytes when two of their suffixes agree to depth D.  A depth-limited radix sort would
+order all suffixes digit by digit; its first pass alone costs more than the disk budget (figures in the README), so no pass
+here orders suffixes.  Instead only suffixes at anchors are looked at: in every window of D bytes the position whose
+G-byte digit has the smallest hash.  Equal windows have equal anchors, so no repeated window is lost, and each pass
+groups what the one before has left by the hash of a longer stretch:
 
 * Pass 1 groups anchors by their first digit (G bytes) and keeps groups of several documents.
-* Pass 2 sorts those by the bytes that windows around the anchor can hold (D - G on either side).  Where all of
+* Pass 2 groups those by the bytes that windows around the anchor can hold (D - G on either side).  Where all of
   them agree with a smaller document's, all windows around the anchor are repeated.
 * Pass 3 goes on with groups whose surroundings differ.  A window reaches at least (D - G) / 2 bytes beyond the
   anchor's digit on one side, so a suffix stays only if the digit and that much on a side occur in several documents.
 * Pass 4 takes what is left window by window to depth D.
 
-Digits are compared by 64-bit hashes of the bytes.
+Stretches are compared by hashes of at most 64 bits.
 """
 
 from __future__ import annotations
