@@ -127,28 +127,53 @@ def _spread(sites: DataFrame, size: float) -> DataFrame:
     ).drop("__sx0", "__sy0", "__o")
 
 
-def _grid_pairs(points: DataFrame, sites: DataFrame, size: float) -> DataFrame:
-    """(point, site, distance) for every site in the point's 3 x 3 cells."""
-    p = _cells(points, "__px", "__py", size)
-    pairs = p.join(_spread(sites, size), ["__cx", "__cy"], "inner")
-    return pairs.withColumn("distance", distance(F.col("__px"), F.col("__py"), F.col("site_x"), F.col("site_y")))
+#: Sites of one cell list; denser cells have several lists.
+LISTED = 512
 
 
-def _best(pairs: DataFrame) -> DataFrame:
-    best = pairs.groupBy("point_id").agg(F.min(F.struct("distance", "site_id", "site_x", "site_y")).alias("__b"))
-    return best.select("point_id", "__b.site_id", "__b.site_x", "__b.site_y", "__b.distance")
+def _cell_lists(sites: DataFrame, size: float) -> DataFrame:
+    """(__cx, __cy, __sites): the sites of every 3 x 3 neighbourhood, in lists of at most LISTED."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("__cx", "__cy").orderBy("site_id")
+    numbered = _spread(sites, size).withColumn("__list", F.floor((F.row_number().over(w) - 1) / LISTED))
+    lists = numbered.groupBy("__cx", "__cy", "__list").agg(F.collect_list(F.struct("site_id", "site_x", "site_y", "__sr")).alias("__sites"))
+    return lists.drop("__list")
+
+
+def _first_k(near: Column, k: int) -> Column:
+    return F.slice(F.sort_array(near), 1, k)
 
 
-def _top_k(pairs: DataFrame, k: int) -> DataFrame:
-    """The k nearest per point (rank 1..k); Spark plans the ``rank <= k``
-    filter as a partial top-k before the shuffle (WindowGroupLimit)."""
+def _nearest_listed(points: DataFrame, sites: DataFrame, size: float, k: int, how: str = "inner") -> DataFrame:
+    """``points`` with ``__near``: the k nearest qualifying sites within ``size``, one row per list of the point's cell.
+
+    They are picked inside the row, so pairs of points and sites are never rows that a task must sort.
+    """
+    joined = _cells(points, "__px", "__py", size).join(_cell_lists(sites, size), ["__cx", "__cy"], how)
+
+    def measured(site: Column) -> Column:
+        d = distance(F.col("__px"), F.col("__py"), site["site_x"], site["site_y"])
+        return F.struct(d.alias("distance"), site["site_id"].alias("site_id"), site["site_x"].alias("site_x"),
+                        site["site_y"].alias("site_y"), site["__sr"].alias("__sr"))
+
+    near = F.filter(F.transform("__sites", measured), lambda c: (c["distance"] <= c["__sr"]) & (c["distance"] <= F.lit(size)))
+    return joined.withColumn("__near", _first_k(near, k)).drop("__cx", "__cy", "__sites")
+
+
+def _top_k(found: DataFrame, k: int) -> DataFrame:
+    """The k nearest per point id (rank 1..k, no rank for k = 1) from rows of up to k near sites each."""
+    rows = found.select("point_id", F.explode("__near").alias("__b"))
+    if k == 1:
+        rows = rows.groupBy("point_id").agg(F.min("__b").alias("__b"))
+        return rows.select("point_id", "__b.site_id", "__b.site_x", "__b.site_y", "__b.distance")
     from pyspark.sql import Window
 
     w = Window.partitionBy("point_id").orderBy("distance", "site_id")
     return (
-        pairs.withColumn("rank", F.row_number().over(w))
+        rows.select("point_id", "__b.site_id", "__b.site_x", "__b.site_y", "__b.distance")
+        .withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
-        .select("point_id", "site_id", "site_x", "site_y", "distance", "rank")
     )
 
 
@@ -176,10 +201,12 @@ def nearest_within(
     same pairs as the cross join, with no nested loop.  ``radius`` is the cell
     size and must be >= every per-site radius when ``site_radius`` names a
     column (a site then counts only within its own radius).  Ties are broken
-    by site id.  k = 1 is an aggregation (min of (distance, site)); k > 1 is
-    a ``rank <= k`` filter that Spark runs as a partial top-k before the
-    shuffle.  Output: point_id, site_id, site_x, site_y, distance (+ rank
-    when k > 1).
+    by site id.  The sites of a cell are lists of bounded length, and a point
+    picks its k nearest of a list inside its row, so no task holds or sorts
+    the pairs: what is shuffled is k sites per point and list.  k = 1 then
+    ends in an aggregation (min of (distance, site)), k > 1 in a
+    ``rank <= k`` filter.  Output: point_id, site_id, site_x, site_y, distance
+    (+ rank when k > 1).
 
     Dense cells: one small job over the sites only counts the sites of every
     3 x 3 neighbourhood, i.e. the candidates a point of that cell would meet.
@@ -190,8 +217,8 @@ def nearest_within(
     c of the point they are exactly its k nearest.  Dense points therefore
     meet only the few sites of their fine neighbourhood; points left
     unresolved move to the next coarser grid, and the coarse grid handles the
-    rest.  Each level's unresolved points are checkpointed (lineage cut,
-    survives lost executors).
+    rest.  Each level's points are checkpointed with what they found (lineage
+    cut, survives lost executors).
     """
     cell = float(radius)
     p = points.select(
@@ -221,25 +248,27 @@ def nearest_within(
         s = s.withColumn("__n", F.row_number().over(wl)).where(F.col("__n") <= k).drop("__n")
     s = s.select("site_id", "site_x", "site_y", "__sr")
 
-    def qualifying(pts: DataFrame, size: float, reach: float) -> DataFrame:
-        pairs = _grid_pairs(pts, s, size)
-        return pairs.where((F.col("distance") <= F.col("__sr")) & (F.col("distance") <= F.lit(reach)))
+    def coarse(pts: DataFrame) -> DataFrame:
+        return _nearest_listed(pts, s, cell, k).select("point_id", "__copies", "__near")
 
-    def pick(pairs: DataFrame) -> DataFrame:
-        return _best(pairs) if k == 1 else _top_k(pairs, k)
+    def result(found: DataFrame) -> DataFrame:
+        if k > 1:  # a repeated row counts as often as it is there
+            found = found.select("point_id", F.explode(F.array_repeat("__near", F.least("__copies", F.lit(k)).cast("int"))).alias("__near"))
+        return _top_k(found, k)
 
-    def coarse(pts: DataFrame) -> DataFrame:
-        return pick(qualifying(pts, cell, cell))
+    # Alike points are worked out once; the grouping also deals points to all
+    # tasks, however few files hold them.
+    p = p.groupBy("point_id", "__px", "__py").agg(F.count(F.lit(1)).alias("__copies"))
 
     if not max_candidates:
-        return coarse(p)
+        return result(coarse(p))
 
     # Candidates per point <= sites (before the co-location cut) in the 3 x 3
     # cells around its cell: one small job over the sites decides the plan.
     n_nb = _spread(raw_sites, cell).groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("__ns"))
     densest = n_nb.agg(F.max("__ns")).first()[0]
     if densest is None or densest <= max_candidates:
-        return coarse(p)
+        return result(coarse(p))
     hot = n_nb.where(F.col("__ns") > F.lit(max_candidates)).select("__cx", "__cy", "__ns")
 
     from roadloom.session import checkpoint_dir
@@ -260,24 +289,18 @@ def nearest_within(
         if (fine.agg(F.max("__n")).first()[0] or 0) <= 9 * target_sites_per_cell:
             break
         levels += 1
-    unresolved = in_hot.checkpoint(eager=True)
-    found = []
+    unresolved = in_hot
+    out = coarse(cold)
     for level in range(levels, 0, -1):
-        size = cell / (2 ** level)
-        picked = pick(qualifying(unresolved, size, size))
-        if k > 1:
-            # resolved only with k qualifying sites within one fine cell
-            full = picked.groupBy("point_id").agg(F.max("rank").alias("__m")).where(F.col("__m") >= k)
-            picked = picked.join(full.select("point_id"), "point_id", "left_semi")
-        picked = picked.checkpoint(eager=True)
-        found.append(picked)
-        unresolved = unresolved.join(picked.select("point_id").distinct(), "point_id", "left_anti").checkpoint(eager=True)
+        near = _nearest_listed(unresolved, s, cell / (2 ** level), k, "left")
+        near = near.groupBy("point_id", "__px", "__py", "__copies").agg(F.flatten(F.collect_list("__near")).alias("__near"))
+        # resolved only with k qualifying sites within one fine cell
+        near = near.withColumn("__near", _first_k(F.col("__near"), k)).checkpoint(eager=True)
+        out = out.unionByName(near.where(F.size("__near") >= k).select("point_id", "__copies", "__near"))
+        unresolved = near.where(F.size("__near") < k).drop("__near")
         if unresolved.isEmpty():
             break
-    out = coarse(cold).unionByName(coarse(unresolved))
-    for picked in found:
-        out = out.unionByName(picked)
-    return out
+    return result(out.unionByName(coarse(unresolved)))
 
 
 def fence_predicate(lat: str | Column, lon: str | Column, box: dict[str, float]) -> Column:

@@ -157,3 +157,14 @@ def test_nearest_within_top_k_and_site_radius_dense_path(spark):
             else:
                 got = {(r["point_id"], r["site_id"], r["distance"], r["rank"]) for r in got_df.collect()}
             assert got == want, (kw, mc)
+
+
+def test_points_pick_their_sites_inside_the_row(spark):
+    """Pairs of points and sites are no rows: a point has one row per list of its cell, with k sites at most."""
+    from roadloom.operators import geo
+
+    pts = spark.range(10).select(F.col("id").alias("point_id"), (F.col("id") * 1.0).alias("__px"), F.lit(5.0).alias("__py"))
+    sites = spark.range(geo.LISTED + 100).select(
+        F.col("id").alias("site_id"), (F.col("id") % 10 * 1.0).alias("site_x"), (F.col("id") % 7 * 1.0).alias("site_y"), F.lit(20.0).alias("__sr"))
+    rows = geo._nearest_listed(pts, sites, 20.0, 3).collect()
+    assert len(rows) == 2 * 10 and all(len(r["__near"]) == 3 for r in rows)
