@@ -168,3 +168,16 @@ def test_points_pick_their_sites_inside_the_row(spark):
         F.col("id").alias("site_id"), (F.col("id") % 10 * 1.0).alias("site_x"), (F.col("id") % 7 * 1.0).alias("site_y"), F.lit(20.0).alias("__sr"))
     rows = geo._nearest_listed(pts, sites, 20.0, 3).collect()
     assert len(rows) == 2 * 10 and all(len(r["__near"]) == 3 for r in rows)
+
+
+def test_nearest_within_ranks_all_rows_of_an_id(spark):
+    """An id on several rows, in dense cells and elsewhere, has its nearest sites over all of them; a repeated row counts twice."""
+    pts = spark.createDataFrame([(1, 0.5, 0.5), (1, 500.0, 500.0), (2, 0.5, 0.5), (2, 0.5, 0.5), (None, 0.5, 0.5), (3, None, 1.0)], "id int, x double, y double")
+    sites = spark.range(60).select(F.col("id").alias("site_id"), (F.col("id") / 10.0).alias("site_x"), F.lit(0.0).alias("site_y"))
+    sites = sites.unionByName(spark.createDataFrame([(900, 500.0, 500.25)], "site_id long, site_x double, site_y double"))
+    for mc in (None, 40):
+        kw = dict(max_candidates=mc, target_sites_per_cell=1)
+        one = {r["point_id"]: r["site_id"] for r in nearest_within(pts, sites, 25.0, **kw).collect()}
+        assert nearest_within(pts, sites, 25.0, **kw).count() == 3 and one == {1: 900, 2: 5, None: 5}
+        three = sorted((r["point_id"] or 0, r["rank"], r["site_id"]) for r in nearest_within(pts, sites, 25.0, k=3, **kw).collect())
+        assert three == [(0, 1, 5), (0, 2, 4), (0, 3, 6), (1, 1, 900), (1, 2, 5), (1, 3, 4), (2, 1, 5), (2, 2, 5), (2, 3, 4)]
