@@ -86,3 +86,12 @@ def test_building_the_frame_starts_no_job(spark):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("sequence-build")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rows_carry_no_bounds(spark):
+    """A row meets the bounds of its own key in a broadcast join; no array of all bounds goes through every row."""
+    df = spark.createDataFrame([(k, 5, i, "v") for k in ("hot", "x", None) for i in range(200)], "k string, t int, i int, v string")
+    got = ordered_sequence(df, ["k"], ["t", "i"], row_number="rn", lags={"prev": "v"}, split=8)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and "subquery" not in plan.lower() and plan.count("BroadcastHashJoin") >= 3
+    assert got.agg(F.max("rn")).first()[0] == 200
