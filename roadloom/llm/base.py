@@ -96,8 +96,11 @@ except (AttributeError, OSError):  # another C library
     _TRIM = None
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES):
-    """Consecutive (start, stop) row ranges of a string column of about ``limit`` bytes, one row at least."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, give_back: bool = True):
+    """Consecutive (start, stop) row ranges of a string column of about ``limit`` bytes, one row at least.
+
+    After each, unused memory goes back to the system; without ``give_back`` it is left for the next slice.
+    """
     n = len(column)
     if not n:
         return
@@ -109,7 +112,8 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield start, min(stop, n)
         start = min(stop, n)
-        let_go()
+        if give_back:
+            let_go()
 
 
 def dense(texts: pa.Array) -> pa.Array:
@@ -155,6 +159,9 @@ def word_codes(texts: pa.Array, lower: str = "ascii") -> tuple[np.ndarray, np.nd
 
 def mix64(z: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64, on arrays of uint64."""
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
+    z = z ^ (z >> np.uint64(30))
+    z *= np.uint64(0xBF58476D1CE4E5B9)
+    z ^= z >> np.uint64(27)
+    z *= np.uint64(0x94D049BB133111EB)
+    z ^= z >> np.uint64(31)
+    return z

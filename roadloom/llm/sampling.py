@@ -44,7 +44,12 @@ def _times(constant: np.uint64, n: int) -> np.uint64:
 
 def unit(x: np.ndarray) -> np.ndarray:
     """Numbers strictly between 0 and 1 from hashed uint64 keys."""
-    return ((mix64(x) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    z = mix64(x)
+    z >>= np.uint64(11)
+    u = z.astype(np.float64)
+    u += 0.5
+    u *= 2.0**-53
+    return u
 
 
 def piece_logp(pieces: lattice.Pieces, sharpness: float = SHARPNESS) -> np.ndarray:
@@ -111,7 +116,7 @@ class Blocks:
         missing = pc.unique(unseen)
         for part in lattice.in_parts(missing.to_pylist()):
             lat = lattice.build(self.pieces, part, self.logp)
-            order = np.argsort(lat.end, kind="stable")
+            order = lattice.in_order(lat.end)
             logq = (lat.alpha[lat.start, 0] + lat.logp[:, 0] - lat.alpha[lat.end, 0])[order]
             # the likeliest edge of a node goes first, so that a draw mostly takes the first one it looks at
             cuts = np.flatnonzero(np.diff(lat.end[order], prepend=-1))
@@ -129,6 +134,7 @@ class Blocks:
             before = np.cumsum(count) - count
             cum = np.cumsum(q)
             cum -= np.repeat((cum - q)[before[count > 0]], count[count > 0])
+            cum[np.cumsum(count)[count > 0] - 1] = np.inf  # a draw never goes past a node's last edge
             nodes, edges = self.edge_from.n - 1, self.cum.n
             self.first.add(lat.first + nodes)
             self.length.add(lat.length)
@@ -141,21 +147,24 @@ class Blocks:
 
     def draw(self, rows: np.ndarray, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Segmentations of the first ``at`` characters of blocks, from the back: (edges, places before them, edges per block)."""
-        first, edge_from, cum, back = self.first.data, self.edge_from.data, self.cum.data, self.back.data
-        who, t, base = np.flatnonzero(at > 0), at[at > 0].copy(), first[rows[at > 0]]
+        edge_from, cum, back = self.edge_from.data, self.cum.data, self.back.data
+        who = np.flatnonzero(at > 0)
+        t, key = at[who], keys[who]
+        node = self.first.data[rows[who]] + t
         got, step = [], 0
         while len(who):
-            u = unit(keys[who] + _times(_C, step + 1))
-            e, last = edge_from[base + t], edge_from[base + t + 1] - 1
-            climb = np.flatnonzero((u >= cum[e]) & (e < last))
+            u = unit(key + _times(_C, step + 1))
+            e = edge_from[node]
+            climb = np.flatnonzero(u >= cum[e])
             while len(climb):
                 e[climb] += 1
-                more = e[climb]
-                climb = climb[(u[climb] >= cum[more]) & (more < last[climb])]
-            got.append((who, e, t.copy()))
-            t -= back[e]
-            go = t > 0
-            who, t, base = who[go], t[go], base[go]
+                climb = climb[u[climb] >= cum[e[climb]]]
+            got.append((who, e, t))
+            width = back[e]
+            t = t - width
+            go = np.flatnonzero(t)
+            node = node[go] - width[go]
+            who, t, key = who[go], t[go], key[go]
             step += 1
         count = np.zeros(len(rows), dtype=np.int64)
         for w, _, _ in got:
@@ -163,8 +172,9 @@ class Blocks:
         before = np.cumsum(count) - count
         edges, places = np.zeros(int(count.sum()), dtype=np.int64), np.zeros(int(count.sum()), dtype=np.int64)
         for k, (w, e, at_e) in enumerate(got):
-            edges[before[w] + k] = e
-            places[before[w] + k] = at_e
+            to = before[w] + k
+            edges[to] = e
+            places[to] = at_e
         return edges, places, count
 
 
@@ -186,8 +196,10 @@ class Path:
         with np.errstate(divide="ignore"):
             other[own_from[has]] = np.log(rest[has])
         seeds = keys + _times(_B, r) + np.uint64((1 << 40) + 1) - off[:-1].astype(np.uint64)
-        noise = np.log(-np.log(unit(np.repeat(seeds, sizes) + np.arange(n, dtype=np.uint64))))
-        self.delay = noise - (total[:-1] - np.repeat(total[off[:-1]], sizes) + other)
+        noise = unit(np.repeat(seeds, sizes) + np.arange(n, dtype=np.uint64))
+        np.log(np.negative(np.log(noise, out=noise), out=noise), out=noise)
+        other += total[:-1] - np.repeat(total[off[:-1]], sizes)
+        self.delay = np.subtract(noise, other, out=noise)
         self.delay[ranges(off[:-1], own_from - off[:-1])] = np.inf
 
     def best(self) -> tuple[np.ndarray, np.ndarray]:
@@ -395,7 +407,7 @@ def sampled(docs: DataFrame, k: int = SAMPLES, seed: int = SEED, path: str | Non
             for first, last in slices(batch.column(1), LOOK_UP):
                 texts = dense(batch.column(1).slice(first, last - first))
                 rows, off = blocks_of(store, texts)
-                for a, b in slices(texts, SLICE):
+                for a, b in slices(texts, SLICE, give_back=False):
                     low, high = first + a, first + b
                     part = dense(texts.slice(a, b - a))
                     found = sample_texts(store, rows[off[a]:off[b]], off[a:b + 1] - off[a], mix64(ids[low:high] * _A + np.uint64(seed)), k)

@@ -103,3 +103,36 @@ def test_forward_sums_equal_enumeration(store):
     sums = got.alpha[got.first + got.length, 0]
     for w, s in zip(words, sums):
         assert abs(s - math.log(sum(map(math.exp, segmentations(store, w[1:]).values())))) < 1e-9
+
+
+def test_places_in_order_of_packed_and_of_wide_keys():
+    from roadloom.llm.lattice import in_order
+
+    rng = np.random.default_rng(3)
+    for high in (5, 1 << 20, 1 << 40):  # the last does not fit one number
+        a, b = rng.integers(0, high, 2000), rng.integers(0, 50, 2000)
+        assert (in_order(a, b) == np.lexsort((b, a))).all() and (in_order(b) == np.argsort(b, kind="stable")).all()
+    assert len(in_order(np.zeros(0, np.int64))) == 0
+
+
+def test_memory_goes_back_per_look_up_only(monkeypatch):
+    import pyarrow as pa
+
+    from roadloom.llm import base
+
+    calls = []
+    monkeypatch.setattr(base, "let_go", lambda: calls.append(1))
+    column = pa.array(["abcd"] * 10)
+    assert list(base.slices(column, 8, give_back=False)) == list(base.slices(column, 8)) and len(calls) == 5
+
+
+def test_a_draw_stops_at_the_last_edge_of_a_node():
+    from roadloom.llm.lattice import piece_model_path
+    from roadloom.llm.sampling import Blocks
+    import pyarrow as pa
+
+    store = Blocks(piece_model_path(), 1.0)
+    store.rows(pa.array(["▁segmentation", "▁a"], pa.large_string()))
+    ends = store.edge_from.data[1:store.edge_from.n]
+    last = np.unique(ends[ends > 0]) - 1
+    assert np.isposinf(store.cum.data[last]).all() and np.isposinf(store.cum.data[:store.cum.n]).sum() == len(last)
