@@ -34,6 +34,8 @@ BAND_ROWS = 4
 BATCH = 16
 #: Members of a bucket or hub that are compared in one piece.
 BLOCK = 512
+#: Different ids that are sent to all tasks at most; rows meet more of them in a shuffle.
+SENT = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -196,11 +198,23 @@ def by_sketch(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+def among(ids: DataFrame, *tables: DataFrame) -> list[DataFrame]:
+    """``tables`` (id, ...), for inner joins with ``ids`` (one column, rows may repeat): without rows of other ids if the ids are few.
+
+    Rows with texts or signatures that such a join would drop are then not shuffled for it.
+    """
+    wanted = stable(ids.toDF("wanted").distinct())
+    if wanted.count() > SENT:
+        return list(tables)
+    return [t.join(F.broadcast(wanted), F.col("id") == F.col("wanted"), "left_semi") for t in tables]
+
+
 def verify_hubs(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) that are similar on their full shingle sets; ``texts`` has id, text.
 
     All b of one a are checked against it in pieces of about BLOCK, each with its own copy of a's text.
     """
+    [texts] = among(pairs.select("a").unionAll(pairs.select("b")), texts)
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("pieces"))
     members = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int").alias("piece"), "b", F.lit(1).alias("side"))
     hubs = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.col("a").alias("b"), F.lit(0).alias("side"))
@@ -299,7 +313,9 @@ def join_rest(buckets: DataFrame, reps: DataFrame, texts: DataFrame, found: Data
     mixed = (known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"))
              .filter("low <> high").select("bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    cells = (known.join(mixed, "bucket").withColumn("block", mine)
+    members = stable(known.join(mixed, "bucket"))
+    reps, texts = among(members.select("id"), reps, texts)
+    cells = (members.withColumn("block", mine)
              .select("bucket", "band", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "id", "component"))
     rows = (cells.join(reps.select(F.col("id").alias("rep"), "sig"), F.col("id") == F.col("rep")).drop("rep")
@@ -389,7 +405,9 @@ def drop_near(docs: DataFrame, rule: Rule = USUAL) -> DataFrame:
     All columns are kept, whatever their names; rows without doc_id, words or text stay.  Texts of any length are
     compared on all their shingles.  Rows that share the doc_id that stays all stay; an empty table stays empty.
     """
-    gone = near_groups(docs.select("doc_id", "text"), rule).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    gone = stable(near_groups(docs.select("doc_id", "text"), rule).filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct())
+    if gone.count() <= SENT:  # else whole rows are shuffled to leave a few of them out
+        gone = F.broadcast(gone)
     plain = [f"c{i}" for i in range(len(docs.columns))]
     return docs.toDF(*plain).join(gone, F.col(plain[docs.columns.index("doc_id")]) == F.col("gone"), "left_anti").toDF(*docs.columns)
 

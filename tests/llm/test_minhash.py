@@ -122,3 +122,20 @@ def test_components_of_chains_and_rings(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_whole_rows_are_not_shuffled_for_a_few_ids(spark, monkeypatch):
+    """Few ids are sent to all tasks; with more of them than SENT rows meet theirs in a shuffle, with the same result."""
+    docs = corpus(random.Random(5), 40, 4, 60)
+    df = spark.createDataFrame([(i, "en", t) for i, t in docs], "doc_id long, lang string, text string")
+    texts = df.select(df.doc_id.alias("id"), "text")
+    few = minhash.drop_near(df, CONTRACT)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    [left] = minhash.among(spark.createDataFrame([(docs[0][0],), (docs[0][0],), (-5,)], "a long"), texts)
+    assert [r.id for r in left.collect()] == [docs[0][0]]
+    want = sorted(few.collect())
+    assert {r.doc_id for r in want} == {i for i, _, _, kept in brute(docs, CONTRACT) if kept} and len(want) < len(docs)
+    monkeypatch.setattr(minhash, "SENT", 0)
+    many = minhash.drop_near(df, CONTRACT)
+    assert minhash.among(spark.range(3), texts) == [texts] and sorted(many.collect()) == want
