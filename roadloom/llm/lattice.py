@@ -5,6 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from roadloom.llm.base import dense
 
 #: The sign that stands for a space in the vocabulary.
 SPACE = "▁"
@@ -74,7 +78,8 @@ class Pieces:
                 self.text[i] = self.model.id_to_piece(i).replace(SPACE, " ").encode()
         self.longest = max(map(len, places))
         prefixes = sorted({p[:k] for p in places for k in range(1, len(p) + 1)})
-        self.piece_of = np.array([places.get(p, -1) for p in prefixes], dtype=np.int64)
+        # the last one is for prefixes that were not found, whose place is -1
+        self.piece_of = np.array([*(places.get(p, -1) for p in prefixes), -1], dtype=np.int64)
         keys = np.array([self._hash(p) for p in prefixes], dtype=np.uint64)
         self.keys, self.tables = keys, []
         left, bits = np.arange(len(keys)), 19
@@ -135,10 +140,16 @@ class Lattice:
     alpha: np.ndarray
 
 
-def build(pieces: Pieces, words: list[str], logp: np.ndarray) -> Lattice:
+def build(pieces: Pieces, words: list[str] | pa.Array, logp: np.ndarray) -> Lattice:
     """Lattices of ``words`` and the forward sums over all segmentations (natural logs, per model)."""
-    length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    if isinstance(words, pa.Array):
+        words = dense(words)
+        length = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        text = words.buffers()[2].to_pybytes().decode()
+    else:
+        length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        text = "".join(words)
+    chars = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
     stop = np.repeat(np.cumsum(length), length)
     place = np.arange(len(chars))
     word = np.repeat(np.arange(len(words)), length)
@@ -151,32 +162,38 @@ def build(pieces: Pieces, words: list[str], logp: np.ndarray) -> Lattice:
             break
         h = h * HASH_STEP + (chars[alive + size - 1] + 1).astype(np.uint64)
         found = pieces.find(h)
-        piece = np.where(found >= 0, pieces.piece_of[found], -1)
+        piece = pieces.piece_of[found]
         if size == 1:
             piece = np.where(piece < 0, pieces.size + chars[alive], piece)
-        hit = piece >= 0
+        hit = np.flatnonzero(piece >= 0)
         starts.append(alive[hit])
-        sizes.append(np.full(int(hit.sum()), size))
+        sizes.append(np.full(len(hit), size))
         ids.append(piece[hit])
-        alive, h = alive[found >= 0], h[found >= 0]
+        going = np.flatnonzero(found >= 0)
+        alive, h = alive[going], h[going]
     begin, size, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, sizes, ids))
     node = begin + word[begin] if len(begin) else begin  # each word has one node more than characters
     first = np.cumsum(length) - length + np.arange(len(words))
     depth = node + size - (first[word[begin]] if len(begin) else 0)
     order = in_order(depth, node + size)
     start, end, piece, depth = node[order], (node + size)[order], piece[order], depth[order]
-    weight = pieces.edge_logp(piece, logp)
-    alpha = np.full((int(length.sum()) + len(words), logp.shape[1]), -np.inf)
+    one = logp.shape[1] == 1  # plain rows of numbers are faster than those of one column
+    weight = pieces.edge_logp(piece, logp[:, 0] if one else logp)
+    alpha = np.full((int(length.sum()) + len(words), *weight.shape[1:]), -np.inf)
     alpha[first] = 0.0
-    steps = np.flatnonzero(np.diff(depth, prepend=-1, append=-1))
-    for a, b in zip(steps[:-1], steps[1:]):
-        into = end[a:b]
-        cuts = np.flatnonzero(np.diff(into, prepend=-1))
+    cuts = np.flatnonzero(np.diff(end, prepend=-1))  # the first edge of each node; alike depths lie together too
+    runs = np.diff(np.append(cuts, len(end)))
+    into = end[cuts]
+    steps = np.flatnonzero(np.diff(depth[cuts], prepend=-1, append=-1))
+    bounds = np.append(cuts, len(end))[steps]
+    for x, y, a, b in zip(steps[:-1], steps[1:], bounds[:-1], bounds[1:]):
         value = alpha[start[a:b]] + weight[a:b]
-        top = np.maximum.reduceat(value, cuts, axis=0)
-        runs = np.diff(np.append(cuts, b - a))
-        total = np.add.reduceat(np.exp(value - np.repeat(top, runs, axis=0)), cuts, axis=0)
-        alpha[into[cuts]] = top + np.log(total)
+        heads = cuts[x:y] - a
+        top = np.maximum.reduceat(value, heads, axis=0)
+        total = np.add.reduceat(np.exp(value - np.repeat(top, runs[x:y], axis=0)), heads, axis=0)
+        alpha[into[x:y]] = top + np.log(total)
+    if one:
+        weight, alpha = weight[:, None], alpha[:, None]
     return Lattice(first, length, start, end, piece, weight, alpha)
 
 

@@ -86,7 +86,7 @@ class Blocks:
 
     def clear(self) -> None:
         self.known = Known()
-        self.first, self.length, self.edge_from = Grown(np.int64), Grown(np.int64), Grown(np.int64)
+        self.first, self.length, self.edge_from = Grown(np.int64), Grown(np.int64), Grown(np.int32)
         self.back, self.piece, self.cum = Grown(np.int32), Grown(np.int32), Grown(np.float64)
         #: Logs of an edge's conditional probability and of its alternatives' together (-inf for none).
         self.logq, self.other = Grown(np.float64), Grown(np.float64)
@@ -114,27 +114,28 @@ class Blocks:
             return got
         unseen = blocks.filter(pa.array(unmet))
         missing = pc.unique(unseen)
-        for part in lattice.in_parts(missing.to_pylist()):
-            lat = lattice.build(self.pieces, part, self.logp)
+        for low, high in slices(missing, lattice.CHARS_AT_ONCE, give_back=False):
+            lat = lattice.build(self.pieces, missing.slice(low, high - low), self.logp)
             order = lattice.in_order(lat.end)
-            logq = (lat.alpha[lat.start, 0] + lat.logp[:, 0] - lat.alpha[lat.end, 0])[order]
+            start, end, alpha = lat.start[order], lat.end[order], lat.alpha[:, 0]
+            logq = alpha[start] + lat.logp[:, 0][order] - alpha[end]
             # the likeliest edge of a node goes first, so that a draw mostly takes the first one it looks at
-            cuts = np.flatnonzero(np.diff(lat.end[order], prepend=-1))
+            cuts = np.flatnonzero(np.diff(end, prepend=-1))
             sizes = np.diff(np.append(cuts, len(order)))
-            likeliest = np.flatnonzero(logq == np.repeat(np.maximum.reduceat(logq, cuts), sizes))
-            group = np.searchsorted(cuts, likeliest, side="right") - 1
-            new = np.diff(group, prepend=-1) != 0
-            a, b = cuts[group[new]], likeliest[new]
-            order[a], order[b], logq[a], logq[b] = order[b], order[a], logq[b], logq[a]
-            start, end = lat.start[order], lat.end[order]
+            b = np.flatnonzero(logq == np.repeat(np.maximum.reduceat(logq, cuts), sizes))
+            if len(b) > len(cuts):  # several alike: the first of them
+                group = np.searchsorted(cuts, b, side="right") - 1
+                b = b[np.diff(group, prepend=-1) != 0]
+            a, b = cuts[b != cuts], b[b != cuts]
+            for values in (order, start, logq):
+                values[a], values[b] = values[b], values[a]
             q = np.exp(logq)
             count = np.bincount(end, minlength=len(lat.alpha))
             with np.errstate(divide="ignore"):
-                other = np.log(np.where(count[end] < 2, 0.0, np.maximum(1.0 - q, 1e-17)))
-            before = np.cumsum(count) - count
+                other = np.log(np.where(np.repeat(sizes < 2, sizes), 0.0, np.maximum(1.0 - q, 1e-17)))
             cum = np.cumsum(q)
-            cum -= np.repeat((cum - q)[before[count > 0]], count[count > 0])
-            cum[np.cumsum(count)[count > 0] - 1] = np.inf  # a draw never goes past a node's last edge
+            cum -= np.repeat(cum[cuts] - q[cuts], sizes)
+            cum[cuts + sizes - 1] = np.inf  # a draw never goes past a node's last edge
             nodes, edges = self.edge_from.n - 1, self.cum.n
             self.first.add(lat.first + nodes)
             self.length.add(lat.length)
@@ -154,7 +155,7 @@ class Blocks:
         got, step = [], 0
         while len(who):
             u = unit(key + _times(_C, step + 1))
-            e = edge_from[node]
+            e = edge_from[node].astype(np.int64)
             climb = np.flatnonzero(u >= cum[e])
             while len(climb):
                 e[climb] += 1
@@ -167,8 +168,8 @@ class Blocks:
             who, t, key = who[go], t[go], key[go]
             step += 1
         count = np.zeros(len(rows), dtype=np.int64)
-        for w, _, _ in got:
-            count[w] += 1
+        for k, (w, _, _) in enumerate(got):
+            count[w] = k + 1
         before = np.cumsum(count) - count
         edges, places = np.zeros(int(count.sum()), dtype=np.int64), np.zeros(int(count.sum()), dtype=np.int64)
         for k, (w, e, at_e) in enumerate(got):
@@ -311,12 +312,13 @@ def path_ids(store: Blocks, path: Path) -> tuple[np.ndarray, np.ndarray]:
     if not len(odd):
         return got.astype(np.int32), path.off
     spelled = [store.pieces.byte_ids[list(chr(c - vocabulary).encode())] for c in got[odd].tolist()]
+    sizes = np.array([len(s) for s in spelled])
     count = np.ones(n, dtype=np.int64)
-    count[odd] = [len(s) for s in spelled]
-    sums = np.concatenate([[0], np.cumsum(count)])
-    out = np.repeat(got, count)
-    out[ranges(sums[odd], count[odd])] = np.concatenate(spelled)
-    return out.astype(np.int32), sums[path.off]
+    count[odd] = sizes
+    more = np.concatenate([[0], np.cumsum(sizes - 1)])
+    out = np.repeat(got.astype(np.int32, copy=False), count)
+    out[ranges(odd + more[:-1], sizes)] = np.concatenate(spelled)
+    return out, path.off + more[np.searchsorted(odd, path.off)]
 
 
 _TEXTS: dict[str, tuple[np.ndarray, np.ndarray]] = {}

@@ -136,3 +136,25 @@ def test_a_draw_stops_at_the_last_edge_of_a_node():
     ends = store.edge_from.data[1:store.edge_from.n]
     last = np.unique(ends[ends > 0]) - 1
     assert np.isposinf(store.cum.data[last]).all() and np.isposinf(store.cum.data[:store.cum.n]).sum() == len(last)
+
+
+def test_words_of_an_array_have_the_lattices_of_a_list(store):
+    words = ["\u2581a", "\u2581segmentations", "\u2581\u00e9t\u00e9", "\u2581\U0001f600x", "\u2581"]
+    table = pa.array(["\u2581zzz", *words, "\u2581b"], pa.large_string()).slice(1, len(words))
+    a, b = lattice.build(store.pieces, words, store.logp), lattice.build(store.pieces, table, store.logp)
+    for name in ("first", "length", "start", "end", "piece", "logp", "alpha"):
+        assert np.array_equal(getattr(a, name), getattr(b, name))
+    several = lattice.build(store.pieces, words, np.repeat(store.logp, 3, axis=1))
+    assert several.alpha.shape == (len(a.alpha), 3) and np.allclose(several.alpha, a.alpha)
+
+
+def test_spelled_characters_move_the_ids_behind_them():
+    """Offsets of ids with characters that are several byte pieces, at the ends of texts too."""
+    texts = ["\U00010348", "plain words", "", "\U00010348 in \U00010349 between\U00010348", "end"]
+    rows, off = sampling.blocks_of(store, pa.array(texts, pa.large_string()))
+    for path in sampling.sample_texts(store, rows, off, mix64(np.arange(len(texts), dtype=np.uint64)), 2)[0]:
+        ids, at = sampling.path_ids(store, path)
+        data, ends = sampling.decode_bytes(PATH, ids, at)
+        got = [data[a:b].tobytes().decode() for a, b in zip(ends[:-1], ends[1:])]
+        assert ids.dtype == np.int32 and all(g in (t, "") for g, t in zip(got, texts)) and (at[1:] >= at[:-1]).all() and at[-1] == len(ids)
+        assert got[1] in ("plain words", "") and any(got)
