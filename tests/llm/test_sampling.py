@@ -148,7 +148,7 @@ def test_words_of_an_array_have_the_lattices_of_a_list(store):
     assert several.alpha.shape == (len(a.alpha), 3) and np.allclose(several.alpha, a.alpha)
 
 
-def test_spelled_characters_move_the_ids_behind_them():
+def test_spelled_characters_move_the_ids_behind_them(store):
     """Offsets of ids with characters that are several byte pieces, at the ends of texts too."""
     texts = ["\U00010348", "plain words", "", "\U00010348 in \U00010349 between\U00010348", "end"]
     rows, off = sampling.blocks_of(store, pa.array(texts, pa.large_string()))
